@@ -8,7 +8,8 @@ EVENTS_AS_OF = "2024-01-31"
 
 
 def r6(expression: str) -> str:
-    return f"(round({expression}, 6) + 0.0)"
+    """Six places; the nudge makes both engines round half-way values upwards."""
+    return f"(round(CAST({expression} AS DOUBLE) + 1e-9, 6) + 0.0)"
 
 
 def ts_text(column: str) -> str:

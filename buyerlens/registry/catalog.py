@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from buyerlens.registry import data, features  # noqa: F401
+from buyerlens.registry import data, features, flows, models  # noqa: F401

@@ -235,7 +235,7 @@ def contract_expressions(spark, sf_dir):
               "order_items": sources.items, "order_payments": sources.payments}
     return _union([
         quality.contract_expressions(df, CONTRACTS[name], _NOW).select(
-            F.lit(name).alias("dataset"), "check", "severity", F.round("measure", 6).alias("measure"), "passed"
+            F.lit(name).alias("dataset"), "check", "severity", F.round(F.col("measure") + 1e-9, 6).alias("measure"), "passed"
         )
         for name, df in tables.items()
     ])

@@ -27,11 +27,11 @@ def text(ts: str) -> Column:
 
 
 def rounded(df: DataFrame) -> DataFrame:
-    """Six places for doubles, text for timestamps, no run time stamps."""
+    """Six places for doubles (half-way values upwards), text for timestamps, no run time stamps."""
     kept = [c for c in df.columns if c not in ("built_at", "scored_at")]
     types = dict(df.dtypes)
     return df.select(*[
-        F.round(c, 6).alias(c) if types[c] == "double" else text(c) if types[c] == "timestamp" else F.col(c)
+        F.round(F.col(c) + 1e-9, 6).alias(c) if types[c] == "double" else text(c) if types[c] == "timestamp" else F.col(c)
         for c in kept
     ])
 
@@ -215,7 +215,7 @@ def sample_rows(spark, sf_dir):
 
 
 @register("last_row_per_key", """SELECT CAST(user_id AS VARCHAR) AS customer_unique_id,
-  strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, event_type, round(value, 6) AS value
+  strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, event_type, (round(value + 1e-9, 6) + 0.0) AS value
 FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY events.ts DESC, event_type DESC, value DESC) = 1""")
 def last_row_per_key(spark, sf_dir):
     """Latest event of every user."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,6 +57,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
 
 
+def scratch_path(spark: SparkSession) -> str:
+    """A new folder next to the checkpoints, reachable by every executor."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/scratch-{uuid.uuid4().hex}"
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Materialise ``df`` reliably, so that later passes neither recompute it nor
     depend on the executors that produced it."""

@@ -52,6 +52,27 @@ def inherit_month(children: DataFrame, months: DataFrame) -> DataFrame:
     return children.join(months, "order_id")
 
 
+def land_sources(orders: DataFrame, customers: DataFrame, items: DataFrame, payments: DataFrame,
+                 landing: str) -> None:
+    """Split raw tables into landing files: three monthly datasets and the customer snapshot.
+
+    Children go to the month of their order and those without one are dropped."""
+    months = order_months(orders)
+    dated = {
+        "orders": with_month(orders, "order_purchase_timestamp"),
+        "order_items": inherit_month(items, months), "order_payments": inherit_month(payments, months),
+    }
+    for dataset, rows in dated.items():
+        texts = CONTRACTS[dataset].landing_schema
+        (
+            rows.select(*[F.col(f.name).cast(f.dataType) for f in texts], "year",
+                        F.lpad(F.col("month").cast("string"), 2, "0").alias("month"))
+            .hint("rebalance", "year", "month").write.mode("overwrite").option("header", True)
+            .partitionBy("year", "month").csv(f"{landing}/{dataset}")
+        )
+    customers.write.mode("overwrite").option("header", True).csv(f"{landing}/customers/snapshot=full")
+
+
 def orphan_count(children: DataFrame, months: DataFrame) -> DataFrame:
     per_order = children.groupBy("order_id").count()
     return per_order.join(months, "order_id", "left_anti").agg(
@@ -118,7 +139,7 @@ def write_partitions(df: DataFrame, path: str, partition_by: list[str]) -> int:
     most of the rows, so partitions are balanced by size, not one task each. The
     count comes from the write itself."""
     seen = Observation()
-    balanced = df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
+    balanced = df.hint("rebalance", *partition_by) if partition_by else df
     (
         balanced.observe(seen, F.count(F.lit(1)).alias("n"))
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -172,7 +193,7 @@ def load_partitions(spark: SparkSession, processed: str, dataset: str,
     """Rows of the given months in one pruned read; absent months are skipped and
     no month at all gives an empty table."""
     contract = CONTRACTS[dataset]
-    schema = contract.landing_schema.add("year", "int").add("month", "int")
+    schema = contract.landing_schema.add("year", "integer").add("month", "integer")
     try:
         table = spark.read.schema(schema).parquet(f"{processed}/{dataset}")
     except AnalysisException as error:

@@ -13,29 +13,32 @@ def delivery_stream(spark: SparkSession, landing: str, dataset: str,
                     max_files: int | None = None) -> DataFrame:
     """Rows of new files under ``landing/<dataset>/year=/month=`` with their origin.
 
-    A delivery is one new file per month; a file rewritten under its old name is
-    not seen again, so deliveries carry distinct names."""
+    A delivery is one new file per month, or all files of one Spark write. A file
+    rewritten under its old name is not seen again, so deliveries carry distinct
+    names. ``max_files`` is for one-file deliveries only: it may split a larger one."""
     if dataset not in INCREMENTAL_DATASETS:
         raise ValueError(f"Dataset incremental inválido: {dataset}")
-    schema = CONTRACTS[dataset].landing_schema.add("year", "int").add("month", "int")
+    schema = CONTRACTS[dataset].landing_schema.add("year", "integer").add("month", "integer")
     reader = spark.readStream.schema(schema).option("header", True)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    # the name up to the first dot, without the task number a Spark write puts before it
+    stem = F.regexp_extract(F.col("_metadata.file_name"), r"^(?:part-\d+-)?([^.]+)", 1)
     return reader.csv(f"{landing}/{dataset}").select(
-        "*", F.col("_metadata.file_path").alias("_file"),
+        "*", stem.alias("_delivery"),
         F.col("_metadata.file_modification_time").alias("_delivered"),
     )
 
 
 def newest_delivery(rows: DataFrame) -> DataFrame:
-    """Only the rows of the newest file of every month; ties go to the greater path.
+    """Only the rows of the newest delivery of every month; ties go to the greater name.
 
-    One small aggregate finds the files, and the rows are filtered by a join with
-    it: a month is never gathered in one task."""
+    One small aggregate finds the deliveries, and the rows are filtered by a join
+    with it: a month is never gathered in one task."""
     newest = rows.groupBy("year", "month").agg(
-        F.max(F.struct("_delivered", "_file")).alias("n")
-    ).select(F.col("n._file").alias("_file"))
-    return rows.join(newest, "_file", "left_semi").drop("_file", "_delivered")
+        F.max(F.struct("_delivered", "_delivery")).alias("n")
+    ).select("year", "month", F.col("n._delivery").alias("_delivery"))
+    return rows.join(newest, ["year", "month", "_delivery"], "left_semi").drop("_delivery", "_delivered")
 
 
 def ingest_deliveries(spark: SparkSession, landing: str, processed: str, dataset: str, checkpoint: str,
