@@ -148,6 +148,20 @@ def write_partitions(df: DataFrame, path: str, partition_by: list[str]) -> int:
     return seen.get["n"]
 
 
+def is_partition_complete(spark: SparkSession, path: str, **partition) -> bool:
+    """Whether a partition was committed.
+
+    Files are staged and moved into the partition when the job commits, so a
+    failed write leaves nothing to be found here."""
+    try:
+        table = spark.read.parquet(path)
+    except AnalysisException:
+        return False
+    for column, value in partition.items():
+        table = table.where(F.col(column) == value)
+    return not table.isEmpty()
+
+
 def ingest_months(spark: SparkSession, landing: str, processed: str, dataset: str,
                   months: Sequence[tuple[int, int]]) -> int:
     """Move the given landing months of one dataset to Parquet in one job."""
