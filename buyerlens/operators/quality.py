@@ -55,13 +55,27 @@ def _disallowed(column: str, allowed: tuple[str, ...]) -> Column:
     return F.col(column).isNotNull() & ~F.col(column).isin(list(allowed))
 
 
-def _unpivot(one_row: DataFrame, names: dict[str, str]) -> DataFrame:
-    """Turn the columns of a single row into (check, violations) rows."""
-    pairs = F.array(*[
-        F.struct(F.lit(label).alias("check"), F.col(column).cast("bigint").alias("violations"))
-        for column, label in names.items()
-    ])
-    return one_row.select(F.explode(pairs).alias("p")).select("p.check", "p.violations")
+def _counted(df: DataFrame, counts: dict[str, Column], key: tuple[str, ...] = ()) -> DataFrame:
+    """(check, violations) rows: all ``counts`` in one aggregate, and repeated keys.
+
+    The counters need no shuffle. The key check shuffles nothing but the key
+    columns, one row per key and task, so it stays apart."""
+    parts = []
+    if counts:
+        names = {f"c{i}": label for i, label in enumerate(counts)}
+        one_row = df.agg(*[v.alias(n) for n, v in zip(names, counts.values())])
+        pairs = F.array(*[
+            F.struct(F.lit(label).alias("check"), F.col(column).cast("bigint").alias("violations"))
+            for column, label in names.items()
+        ])
+        parts.append(one_row.select(F.explode(pairs).alias("p")).select("p.check", "p.violations"))
+    if key:
+        # grouping puts null keys together: they equal each other
+        repeated = df.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).agg(
+            F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("violations")
+        )
+        parts.append(repeated.select(F.lit("primary_key_unique").alias("check"), "violations"))
+    return _union(parts)
 
 
 def invalid_samples(df: DataFrame, contract: Contract) -> DataFrame:
@@ -81,8 +95,7 @@ def invalid_samples(df: DataFrame, contract: Contract) -> DataFrame:
 def count_violations(df: DataFrame, contract: Contract, rules: str = "all") -> DataFrame:
     """(check, violations) for nulls, allowed values, row count and primary key.
 
-    All rules share one aggregate; ``rules`` picks ``nulls``, ``values``, ``key``
-    or ``all``."""
+    ``rules`` picks ``nulls``, ``values``, ``key`` or ``all``."""
     counts = _violation_counts(df, contract)
     if rules == "nulls":
         counts = {k: v for k, v in counts.items() if k.startswith("not_null")}
@@ -90,14 +103,12 @@ def count_violations(df: DataFrame, contract: Contract, rules: str = "all") -> D
         counts = {k: v for k, v in counts.items() if k.startswith("allowed")}
     elif rules == "key":
         counts = {}
+    key: tuple[str, ...] = ()
     if rules in ("all", "key") and all(c in df.columns for c in contract.primary_key):
-        # a struct counts null parts as values, so null keys equal each other
-        key = F.struct(*contract.primary_key)
-        counts["primary_key_unique"] = F.count(F.lit(1)) - F.count_distinct(key)
+        key = contract.primary_key
     if rules == "all":
         counts["row_count"] = F.count(F.lit(1))
-    names = {f"c{i}": label for i, label in enumerate(counts)}
-    return _unpivot(df.agg(*[v.alias(n) for n, v in zip(names, counts.values())]), names)
+    return _counted(df, counts, key)
 
 
 def _detail(contract: Contract) -> Column:
@@ -115,40 +126,35 @@ def _detail(contract: Contract) -> Column:
 def validate(df: DataFrame, contract: Contract) -> DataFrame:
     """Report of all checks of a contract: schema, nulls, key, values and row count."""
     spark = df.sparkSession
-    counted = count_violations(df, contract)
     report = [schema_columns(df, contract)]
     if not all(c in df.columns for c in contract.primary_key):
         detail = f"PK incompleta no dataframe: {list(contract.primary_key)}"
         report.append(_rows(spark, [("primary_key", False, "error", 1, detail)]))
-    report.append(
-        counted.where("check LIKE 'not_null:%' OR check = 'primary_key_unique'").select(
-            "check", (F.col("violations") == 0).alias("passed"), F.lit("error").alias("severity"),
-            "violations", _detail(contract).alias("detail"),
-        )
-    )
+    empty = F.lit(None).cast("array<string>").alias("sample")
+    facts = count_violations(df, contract).select("check", "violations", empty)
     if any(f.allowed and f.name in df.columns for f in contract.fields):
-        sample = F.concat(F.lit("["), F.array_join("sample", ", "), F.lit("]"))
-        report.append(
-            counted.where("check LIKE 'allowed_values:%'")
-            .join(invalid_samples(df, contract), "check", "left")
-            .select(
-                "check", (F.col("violations") == 0).alias("passed"), F.lit("error").alias("severity"),
-                "violations",
-                F.when(F.col("violations") == 0, "ok").otherwise(
-                    F.concat(F.col("violations").cast("string"), F.lit(" inválidos; amostra="), sample)
-                ).alias("detail"),
-            )
-        )
+        samples = invalid_samples(df, contract)
+        facts = facts.unionByName(
+            samples.select("check", F.lit(None).cast("bigint").alias("violations"), "sample")
+        ).groupBy("check").agg(F.max("violations").alias("violations"), F.max("sample").alias("sample"))
     declared = next((c for c in contract.checks if c.name == "row_count_min"), None)
-    if declared:
-        report.append(
-            counted.where("check = 'row_count'").select(
-                F.lit("row_count_min").alias("check"), (F.col("violations") >= 1).alias("passed"),
-                F.lit(declared.severity).alias("severity"),
-                F.when(F.col("violations") >= 1, 0).otherwise(1).cast("bigint").alias("violations"),
-                F.concat(F.lit("rows="), F.col("violations").cast("string")).alias("detail"),
-            )
-        )
+    if not declared:
+        facts = facts.where("check <> 'row_count'")
+    rows = F.col("check") == "row_count"
+    n = F.col("violations").cast("string")
+    sample = F.concat(F.lit("["), F.array_join("sample", ", "), F.lit("]"))
+    detail = (
+        F.when(rows, F.concat(F.lit("rows="), n))
+        .when(F.col("check").startswith("allowed_values") & (F.col("violations") > 0),
+              F.concat(n, F.lit(" inválidos; amostra="), sample))
+        .otherwise(_detail(contract))
+    )
+    found = F.when(rows, F.when(F.col("violations") >= 1, 0).otherwise(1)).otherwise(F.col("violations"))
+    report.append(facts.select(
+        F.when(rows, "row_count_min").otherwise(F.col("check")).alias("check"), (found == 0).alias("passed"),
+        F.when(rows, declared.severity if declared else "error").otherwise("error").alias("severity"),
+        found.cast("bigint").alias("violations"), detail.alias("detail"),
+    ))
     return _union(report)
 
 
@@ -164,13 +170,9 @@ def validate_features(features: DataFrame) -> DataFrame:
     types = dict(features.dtypes)
     counts = {f"not_null:{c}": F.count_if(nullish(c, types[c]))
               for c in _not_null_columns(features, contract)}
-    if all(c in features.columns for c in contract.primary_key):
-        counts["primary_key_unique"] = (
-            F.count(F.lit(1)) - F.count_distinct(F.struct(*contract.primary_key))
-        )
     counts |= {name: F.count_if(bad) for name, (_, bad, _) in present.items()}
-    names = {f"c{i}": label for i, label in enumerate(counts)}
-    counted = _unpivot(features.agg(*[v.alias(n) for n, v in zip(names, counts.values())]), names)
+    complete = all(c in features.columns for c in contract.primary_key)
+    counted = _counted(features, counts, contract.primary_key if complete else ())
     detail = _detail(contract)
     for name, (_, _, text) in present.items():
         detail = F.when(

@@ -160,14 +160,16 @@ def _percent_rank_cuts(df: DataFrame, value: Column) -> list[float | None]:
         if not blocks:
             return []
         n = sum(b["n"] for b in blocks)
-        starts = dict(zip((b["part"] for b in blocks), accumulate((b["n"] for b in blocks), initial=0)))
-        before = F.create_map(*[F.lit(x) for pair in starts.items() for x in pair])[F.col("part")]
+        starts = df.sparkSession.createDataFrame(
+            list(zip((b["part"] for b in blocks), accumulate((b["n"] for b in blocks), initial=0))),
+            "part int, before bigint",
+        )
         inside = F.sum("count").over(
             Window.partitionBy("part").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
         )
         # twice the average rank of a run of equal values is 2 * last - count + 1
-        doubled = 2 * (before + inside) - F.col("count") + 1
-        cuts = placed.select("value", doubled.alias("doubled")).agg(*[
+        doubled = 2 * (F.col("before") + inside) - F.col("count") + 1
+        cuts = placed.join(starts, "part").select("value", doubled.alias("doubled")).agg(*[
             F.max(F.when(F.col("doubled") * QUINTILES <= F.lit(2 * k * n), F.col("value"))).alias(f"c{k}")
             for k in range(1, QUINTILES)
         ]).first()

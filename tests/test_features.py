@@ -198,6 +198,31 @@ def test_both_paths_agree_under_skew(spark, broadcast):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_hot_order_is_split_at_run_time(spark):
+    """With low thresholds the join splits the partition of the order that holds most items."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        sources = make_sources(spark, 20_000)
+        kept = plan.windowed_sources(sources, "2018-08-31")
+        level = rollup.order_rollup_from_sources(kept.orders, kept.customers, kept.items, kept.payments)
+        hot = level.where("order_id = 'o5'").first()
+        assert hot.items_count == 20_000
+        rows = level.collect()
+        assert len(rows) == 30
+        assert "skew=true" in level._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+
+
 def test_children_of_an_order_that_leaves_by_dedup_stay_out(spark):
     """One copy of the order is in the window, but the kept copy is not."""
     sources = make_sources(spark, 3)
