@@ -144,14 +144,19 @@ def run_name(algorithm: Column, n_clusters: Column, params: Column) -> Column:
 
 
 def money_sum(column: Column) -> Column:
-    """Exact sum in ten-thousandths, zero when every value is null."""
-    return F.coalesce(F.sum(F.round(column * MONEY_SCALE).cast("bigint")), F.lit(0).cast("bigint"))
+    """Exact sum in ten-thousandths, zero when every value is null or NaN."""
+    known = F.nanvl(column.cast("double"), F.lit(None).cast("double"))
+    return F.coalesce(F.sum(F.round(known * MONEY_SCALE).cast("bigint")), F.lit(0).cast("bigint"))
 
 
 def money(units: Column) -> Column:
     return units / F.lit(float(MONEY_SCALE))
 
 
+# number of positions an identifier can hash to
+HASH_POSITIONS = 2**52
+
+
 def hash_position(identifier: Column, seed: int) -> Column:
     """A reproducible pseudo-random position below 2**52 for an identifier."""
     digest = F.md5(F.concat(F.lit(f"{seed}|"), identifier.cast("string")))

@@ -46,8 +46,8 @@ def clean_orders(orders: DataFrame) -> DataFrame:
 
 def clean_order_items(items: DataFrame) -> DataFrame:
     cleaned = _dedup(items, ["order_id", "order_item_id"], ["price"]).where("price >= 0")
-    # a null freight fails the comparison and is dropped as well
-    return cleaned.where("freight_value >= 0") if "freight_value" in items.columns else cleaned
+    # a null freight fails the comparison and is dropped as well; NaN would pass it
+    return cleaned.where("freight_value >= 0 AND NOT isnan(freight_value)") if "freight_value" in items.columns else cleaned
 
 
 def clean_order_payments(payments: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from buyerlens.functions.scalars import hash_position
+from buyerlens.operators.ranking import first_by_hash
 
 # Size and seed of the silhouette sample.
 SILHOUETTE_ROWS = 4000
@@ -100,9 +100,8 @@ def davies_bouldin(df: DataFrame, label: str, columns: list[str]) -> DataFrame:
 
 def bounded_sample(df: DataFrame, id_column: str, rows: int = SILHOUETTE_ROWS,
                    seed: int = SILHOUETTE_SEED) -> DataFrame:
-    """At most ``rows`` rows in a seeded hash order (each task keeps its own top rows)."""
-    order = hash_position(F.col(id_column), seed)
-    return df.orderBy(order, F.col(id_column).cast("string")).limit(rows)
+    """At most ``rows`` rows, the first in a seeded hash order of the id."""
+    return first_by_hash(df, id_column, rows, seed)
 
 
 def silhouette(df: DataFrame, label: str, columns: list[str], id_column: str,

@@ -19,8 +19,12 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from buyerlens.functions.scalars import hash_position
+from buyerlens.functions.scalars import HASH_POSITIONS, hash_position
 from buyerlens.operators.cluster_metrics import squared_distance
+from buyerlens.operators.ranking import first_by_hash
+
+# up to this many per-task vectors the driver adds them itself
+FEW_TASKS = 64
 
 ALGORITHMS = ("kmeans", "minibatch_kmeans", "gaussian_mixture")
 
@@ -126,9 +130,7 @@ def _summed(df: DataFrame, columns: list[str], partial: Callable[[np.ndarray], n
 
 def seeded_rows(df: DataFrame, columns: list[str], id_column: str, rows: int, seed: int) -> np.ndarray:
     """A bounded reproducible sample of the matrix, in hash order."""
-    order = hash_position(F.col(id_column), seed)
-    sample = df.orderBy(order, F.col(id_column).cast("string")).limit(rows).select(*columns)
-    return sample.toPandas().to_numpy("float64")
+    return first_by_hash(df, id_column, rows, seed).select(*columns).toPandas().to_numpy("float64")
 
 
 def spread_centres(points: np.ndarray, k: int, rng: np.random.RandomState) -> np.ndarray:
@@ -144,7 +146,7 @@ def spread_centres(points: np.ndarray, k: int, rng: np.random.RandomState) -> np
 
 
 def fit_kmeans(df: DataFrame, columns: list[str], k: int, n_init: int = 10, seed: int = 42,
-               max_iter: int = 300, tol: float = 1e-4, parallelism: int = 4) -> CentroidModel:
+               max_iter: int = 300, tol: float = 1e-4, parallelism: int = 8) -> CentroidModel:
     """Best of ``n_init`` seeded fits of the built-in k-means by training cost.
 
     The fits share one cached matrix and run side by side."""
@@ -183,8 +185,8 @@ def fit_minibatch_kmeans(df: DataFrame, columns: list[str], k: int, id_column: s
     position = hash_position(F.col(id_column), seed)
     # the expected share, so that one step sees about batch_size rows
     steps = max_steps if total >= drawn else max(1, math.ceil(total / batch_size))
-    kept = df if total <= drawn else df.where(position < int(2**52 * drawn / total))
-    batches = kept.select(*columns, F.pmod(position, F.lit(steps)).alias("_step")).coalesce(4).persist()
+    kept = df if total <= drawn else df.where(position < HASH_POSITIONS * drawn // total)
+    batches = kept.select(*columns, F.pmod(position, F.lit(steps)).alias("_step")).repartition(4).persist()
     try:
         first = seeded_rows(df, columns, id_column, 3 * batch_size, seed)
         rng = np.random.RandomState(seed)
@@ -259,17 +261,18 @@ def fit_gaussian_mixture(df: DataFrame, columns: list[str], k: int, id_column: s
     n = df.count()
     matrix = df.select(*columns).persist()
     try:
+        few = matrix.rdd.getNumPartitions() <= FEW_TASKS
         starts = []
         for i in range(n_init):
             model = fit_kmeans(matrix, columns, k, n_init=1, seed=seed + i)
             centres = np.array(model.centres)
-            sums = _summed(matrix, columns, lambda block, c=centres: _hard_sums(block, c))
+            sums = _summed(matrix, columns, lambda block, c=centres: _hard_sums(block, c), few)
             starts.append(_maximise(sums, n, len(centres), d, floor))
         best, last = [None] * n_init, [-math.inf] * n_init
         active = list(range(n_init))
         for _ in range(max_iter):
             current = [starts[i] for i in active]
-            sums = _summed(matrix, columns, lambda block, p=current: _responsibility_sums(block, p))
+            sums = _summed(matrix, columns, lambda block, p=current: _responsibility_sums(block, p), few)
             offset, still = 0, []
             for i in active:
                 width = len(starts[i][0]) * (2 * d + 1) + 1

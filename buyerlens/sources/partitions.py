@@ -24,7 +24,7 @@ def read_landing_csv(spark: SparkSession, path: str, contract: Contract) -> Data
     Timestamps stay text until they are cleaned, codes keep their leading zeros."""
     return (
         spark.read.schema(contract.landing_schema)
-        .option("header", True).option("enforceSchema", False).option("nanValue", "").csv(path)
+        .option("header", True).option("enforceSchema", False).csv(path)
     )
 
 

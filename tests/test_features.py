@@ -116,6 +116,14 @@ def test_exact_sample(spark):
     assert ids != {r.id for r in ranking.sample_fraction(df, "id", 0.8, 4).collect()}
 
 
+def test_first_by_hash_equals_a_full_sort(spark):
+    df = spark.range(20_000).repartition(6)
+    got = [r.id for r in ranking.first_by_hash(df, "id", 50, 7).collect()]
+    want = df.orderBy(S.hash_position(F.col("id"), 7), F.col("id").cast("string")).limit(50).collect()
+    assert got == [r.id for r in want]
+    assert ranking.first_by_hash(df, "id", 30_000, 7).count() == 20_000
+
+
 def test_clean_orders(spark):
     schema = "order_id string, customer_id string, order_status string, order_purchase_timestamp string"
     rows = [
@@ -136,11 +144,12 @@ def test_dedup_comes_before_the_null_filter(spark):
 
 def test_clean_items_and_payments(spark):
     items = spark.createDataFrame(
-        [("o1", 1, 10.0, 1.0), ("o1", 2, -1.0, 1.0), ("o2", 1, 5.0, None), ("o2", 2, None, 1.0), ("o3", 1, 1.0, -1.0)],
+        [("o1", 1, 10.0, 1.0), ("o1", 2, -1.0, 1.0), ("o2", 1, 5.0, None), ("o2", 2, None, 1.0), ("o3", 1, 1.0, -1.0),
+         ("o4", 1, 1.0, float("nan")), ("o5", 1, float("nan"), 1.0)],
         "order_id string, order_item_id int, price double, freight_value double",
     )
     assert [r.price for r in cleaning.clean_order_items(items).collect()] == [10.0]
-    assert cleaning.clean_order_items(items.drop("freight_value")).count() == 3
+    assert cleaning.clean_order_items(items.drop("freight_value")).count() == 4
     payments = spark.createDataFrame(
         [("o1", 1, "a", 1, 5.0), ("o1", 1, "a", 1, 5.0), ("o1", 2, "a", 1, -5.0), ("o1", 3, "a", 1, None)],
         "order_id string, payment_sequential int, payment_type string, payment_installments int, payment_value double",
