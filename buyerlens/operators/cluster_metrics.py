@@ -10,6 +10,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from buyerlens.operators.ranking import first_by_hash
+from buyerlens.operators.sizing import broadcast_if_small
+
+# numbers in a centroid table that is still broadcast
+CENTROID_VALUES = 200_000
 
 # Size and seed of the silhouette sample.
 SILHOUETTE_ROWS = 4000
@@ -56,9 +60,12 @@ def centroids(df: DataFrame, label: str, columns: list[str]) -> DataFrame:
 def with_own_centroid(df: DataFrame, label: str, columns: list[str]) -> DataFrame:
     """Rows with squared distance ``d2`` to the centroid of their own label.
 
-    The centroid side has a row per label; Spark broadcasts it while it is below
-    the broadcast threshold and splits a hot label in the sort-merge join beyond."""
-    centres = centroids(df, label, columns).withColumnRenamed("label", "_label")
+    The centroids, a row per label, are broadcast while they hold at most
+    ``CENTROID_VALUES`` numbers; beyond, it is a shuffled join that splits a hot
+    label."""
+    centres = broadcast_if_small(
+        centroids(df, label, columns).withColumnRenamed("label", "_label"), CENTROID_VALUES // (len(columns) + 2)
+    )
     joined = df.join(centres, F.col(label) == F.col("_label"))
     return joined.select(
         F.col(label).alias("label"), "size", *[f"m_{c}" for c in columns],

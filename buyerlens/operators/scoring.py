@@ -16,6 +16,7 @@ from buyerlens.operators import quality
 from buyerlens.operators.clustering import CentroidModel, MixtureModel, fit_clusterer
 from buyerlens.operators.preprocess import FEATURE_COLUMNS, LOG_COLUMNS, Preprocessor, fit_preprocessor
 from buyerlens.operators.ranking import last_per_key
+from buyerlens.operators.sizing import broadcast_if_small
 from buyerlens.session import checkpointed
 from buyerlens.sources.partitions import append_log, write_partitions
 
@@ -56,7 +57,8 @@ def fit_model(features: DataFrame, algorithm: str, k: int, id_column: str = "cus
 def label_lookup(df: DataFrame, labels: DataFrame) -> DataFrame:
     """Add ``segment_label``; clusters without a label are called ``cluster_<id>``."""
     fallback = F.concat(F.lit("cluster_"), F.col("segment_id").cast("string"))
-    return df.join(labels.select("segment_id", "segment_label"), "segment_id", "left").withColumn(
+    named = broadcast_if_small(labels.select("segment_id", "segment_label"))
+    return df.join(named, "segment_id", "left").withColumn(
         "segment_label", F.coalesce("segment_label", fallback)
     )
 

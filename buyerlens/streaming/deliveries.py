@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from buyerlens.contracts import CONTRACTS, INCREMENTAL_DATASETS
+from buyerlens.operators.sizing import broadcast_if_small
 from buyerlens.sources.partitions import write_partitions
 
 
@@ -38,7 +39,7 @@ def newest_delivery(rows: DataFrame) -> DataFrame:
     newest = rows.groupBy("year", "month").agg(
         F.max(F.struct("_delivered", "_delivery")).alias("n")
     ).select("year", "month", F.col("n._delivery").alias("_delivery"))
-    return rows.join(newest, ["year", "month", "_delivery"], "left_semi").drop("_delivery", "_delivered")
+    return rows.join(broadcast_if_small(newest), ["year", "month", "_delivery"], "left_semi").drop("_delivery", "_delivered")
 
 
 def ingest_deliveries(spark: SparkSession, landing: str, processed: str, dataset: str, checkpoint: str,

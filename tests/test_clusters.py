@@ -60,6 +60,14 @@ def test_metrics_match_plain_numpy(blobs):
     assert (row.n_clusters, row.min_size, row.max_size, row.min_share) == (3, 15, 60, 0.15)
 
 
+def test_centroids_beyond_the_broadcast_bound(blobs, monkeypatch):
+    small = M.inertia(blobs, "label", ["x", "y"])
+    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(M, "CENTROID_VALUES", 8)
+    large = M.inertia(blobs, "label", ["x", "y"])
+    assert large.first()[0] == pytest.approx(small.first()[0])
+
+
 def test_silhouette_edges(spark, blobs):
     assert M.silhouette(blobs.withColumn("label", F.lit(0)), "label", ["x", "y"], "id").first()[0] is None
     assert M.silhouette(blobs, "id", ["x", "y"], "id").first()[0] is None
