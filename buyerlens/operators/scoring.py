@@ -20,7 +20,7 @@ from buyerlens.operators.sizing import broadcast_if_small
 from buyerlens.session import checkpointed
 from buyerlens.sources.partitions import append_log, write_partitions
 
-MODEL_NAME = "customer_segmentation_kmeans"
+MODEL_NAME = "purchase_segments"
 
 
 @dataclass(frozen=True)

@@ -46,7 +46,7 @@ def feature_table_persisted(spark, sf_dir):
 
 
 @register("batch_scoring_persisted", f"""WITH {ONE_PERIOD}
-SELECT customer_unique_id, as_of_date, segment_id, segment_label, 'customer_segmentation_kmeans' AS model_name,
+SELECT customer_unique_id, as_of_date, segment_id, segment_label, 'purchase_segments' AS model_name,
   '7' AS model_version FROM scored""")
 def batch_scoring_persisted(spark, sf_dir):
     """Features stored, scored, published and read through the current pointer."""

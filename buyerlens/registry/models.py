@@ -119,7 +119,7 @@ def fixed_centroid_assign(spark, sf_dir):
 
 @register("assign_segments_fixed", f"""WITH {ONE_PERIOD}
 SELECT customer_unique_id, as_of_date, recency_days, frequency, {r6('monetary')} AS monetary, r_score, f_score,
-  m_score, segment_id, segment_label, 'customer_segmentation_kmeans' AS model_name, '7' AS model_version, feature_set_version
+  m_score, segment_id, segment_label, 'purchase_segments' AS model_name, '7' AS model_version, feature_set_version
 FROM scored""")
 def assign_segments_fixed(spark, sf_dir):
     return rounded(_segments(spark, sf_dir))
@@ -452,7 +452,7 @@ def gate_tags(spark, sf_dir):
 @register("segment_lookup", f"""WITH {ONE_PERIOD}
 SELECT c.customer_unique_id, segment_id, segment_label, as_of_date,
   CASE WHEN segment_id IS NOT NULL THEN '{STAMP}' END AS updated_at,
-  CASE WHEN segment_id IS NOT NULL THEN 'customer_segmentation_kmeans' END AS model_name,
+  CASE WHEN segment_id IS NOT NULL THEN 'purchase_segments' END AS model_name,
   CASE WHEN segment_id IS NOT NULL THEN '7' END AS model_version, feature_set_version
 FROM (SELECT DISTINCT customer_unique_id FROM cust) c LEFT JOIN scored s ON c.customer_unique_id = s.customer_unique_id""")
 def segment_lookup(spark, sf_dir):
@@ -462,7 +462,7 @@ def segment_lookup(spark, sf_dir):
 
 
 @register("segments_health", f"""WITH {ONE_PERIOD}
-SELECT 'ok' AS status, true AS scores_available, max(as_of_date) AS as_of_date, 'customer_segmentation_kmeans' AS model_name,
+SELECT 'ok' AS status, true AS scores_available, max(as_of_date) AS as_of_date, 'purchase_segments' AS model_name,
   '7' AS model_version, count(*) AS n_customers, count(DISTINCT segment_id) AS n_segments, '{STAMP}' AS scored_at FROM scored""")
 def segments_health(spark, sf_dir):
     return scoring.segments_health(current_partition(_two_periods(spark, sf_dir)))
