@@ -36,6 +36,7 @@ LANES = 64
 CHUNKS = 13
 MAX_DISTANCE = 2 * CHUNKS - 1
 TILE = 512
+BROADCAST_IDS = 1 << 20
 PAIRS_AT_ONCE = 1 << 19
 
 _LANE = numbers(LANES, 101) | np.uint64(1)
@@ -98,9 +99,7 @@ def _keys(batches):
             part = batch.slice(low, 4096)
             keys = _masked_keys(_lane_matrix(part.column(1))).view(np.int64)
             yield pa.RecordBatch.from_pydict({
-                "key": pa.array(keys.ravel()), "id": pa.array(np.repeat(part.column(0).to_numpy(), LANES)),
-                "lane": pa.array(np.tile(np.arange(LANES, dtype=np.int16), part.num_rows)),
-            })
+                "key": pa.array(keys.ravel()), "id": pa.array(np.repeat(part.column(0).to_numpy(), LANES))})
 
 
 def _distance(a: pa.Array, b: pa.Array) -> pa.Array:
@@ -139,6 +138,8 @@ def _near(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
 def confirm(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """Pairs ``(a, b)`` whose full sets are similar enough."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    if wanted.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+        wanted = F.broadcast(wanted)  # else the texts of all documents would be shuffled for a few
     source = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(wanted, "doc_id", "left_semi")
     sets = source.mapInArrow(_sets, "id long, set binary")
     shared = F.arrow_udf(_shared, "long")
@@ -183,8 +184,8 @@ def _first_lane(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.argmax(meets, axis=1)
 
 
-def _compare(key, lane, tile_a, tile_b, id_, component, n, tile, lanes):
-    starts = _group_bounds(key, lane, tile_a, tile_b)
+def _compare(key, tile_a, tile_b, id_, component, n, tile, lanes):
+    starts = _group_bounds(key, tile_a, tile_b)
     for i, j in _pairs_of(np.diff(starts), starts[:-1]):
         ok = (component[i] != component[j]) & (100 * np.minimum(n[i], n[j]) >= PERCENT * np.maximum(n[i], n[j]))
         # in a group of two tiles, pairs within one tile are compared elsewhere
@@ -192,34 +193,35 @@ def _compare(key, lane, tile_a, tile_b, id_, component, n, tile, lanes):
         i, j = i[ok], j[ok]
         ok = (lanes[i] != lanes[j]).sum(axis=1) <= MAX_DISTANCE
         i, j = i[ok], j[ok]
-        ok = _first_lane(lanes[i], lanes[j]) == lane[i]
-        i, j = i[ok], j[ok]
+        if len(i):
+            first = _masked_keys(lanes[i])[np.arange(len(i)), _first_lane(lanes[i], lanes[j])]
+            ok = first.view(np.int64) == key[i]
+            i, j = i[ok], j[ok]
         yield pa.RecordBatch.from_pydict({
             "a": pa.array(np.minimum(id_[i], id_[j])), "b": pa.array(np.maximum(id_[i], id_[j])),
         })
 
 
 def _tiles(batches):
-    """Rows sorted by (key, lane, tile_a, tile_b); a group that goes on in the next batch is carried there."""
+    """Rows sorted by (key, tile_a, tile_b); a group that goes on in the next batch is carried there."""
     rest = None
     for batch in batches:
         table = pa.Table.from_batches([batch])
         table = table if rest is None else pa.concat_tables([rest, table])
-        columns = [table.column(i).to_numpy() for i in range(8)]
-        bounds = _group_bounds(*columns[:4])
+        columns = [table.column(i).to_numpy() for i in range(7)]
+        bounds = _group_bounds(*columns[:3])
         cut = int(bounds[-2]) if len(bounds) > 1 else 0
         if cut:
-            yield from _compare(*(c[:cut] for c in columns), _lane_matrix(table.column(8).slice(0, cut)))
+            yield from _compare(*(c[:cut] for c in columns), _lane_matrix(table.column(7).slice(0, cut)))
         rest = table.slice(cut).combine_chunks()
     if rest is not None and rest.num_rows:
-        yield from _compare(*(rest.column(i).to_numpy() for i in range(8)), _lane_matrix(rest.column(8)))
+        yield from _compare(*(rest.column(i).to_numpy() for i in range(7)), _lane_matrix(rest.column(7)))
 
 
-def _left_over(nodes: DataFrame, keys: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _left_over(busy: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Key rows with their component, and the buckets that hold more than one, with their size."""
-    known = nodes.select("id").join(labels, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
-    rows = keys.join(known, "id")
-    buckets = rows.groupBy("key", "lane").agg(
+    rows = busy.join(labels, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
+    buckets = rows.groupBy("key").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"),
         F.min(F.struct(F.xxhash64("id", "key").alias("h"), "id", "component")).alias("pivot"),
     ).where("low <> high").drop("low", "high")
@@ -228,28 +230,28 @@ def _left_over(nodes: DataFrame, keys: DataFrame, labels: DataFrame) -> tuple[Da
 
 def _links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Confirmed links between nodes, enough to connect all that any links connect."""
-    keys = nodes.select("id", "lanes").mapInArrow(_keys, "key long, id long, lane smallint")
-    pivots = keys.groupBy("key", "lane").agg(F.min("id").alias("a"), F.count("*").alias("size")).where("size > 1")
-    pairs = keys.join(pivots, ["key", "lane"]).where("id <> a").select("a", F.col("id").alias("b")).distinct()
+    keys = nodes.select("id", "lanes").mapInArrow(_keys, "key long, id long")
+    shared = keys.groupBy("key").agg(F.min("id").alias("a"), F.count("*").alias("size")).where("size > 1").drop("size")
+    # most keys are one document's alone; only the others are looked at again
+    busy = checkpointed(keys.join(shared, "key").select("key", "id", "a"))
+    pairs = busy.where("id <> a").select("a", F.col("id").alias("b")).distinct()
     links = checkpointed(confirm(docs, checkpointed(_near(nodes, pairs))))
 
-    rows, buckets = _left_over(nodes, keys, components(links))
+    rows, buckets = _left_over(busy, components(links))
     again = (
-        rows.join(buckets.select("key", "lane", "pivot"), ["key", "lane"]).where("component <> pivot.component")
+        rows.join(buckets.select("key", "pivot"), "key").where("component <> pivot.component")
         .select(F.least("id", "pivot.id").alias("a"), F.greatest("id", "pivot.id").alias("b")).distinct()
     )
     links = checkpointed(links.unionAll(confirm(docs, checkpointed(_near(nodes, again)))))
 
-    rows, buckets = _left_over(nodes, keys, components(links))
+    rows, buckets = _left_over(busy, components(links))
     # two rows of a bucket were both tried already: one of them is the pivot of the round before
-    buckets = buckets.where("size > 2").select("key", "lane", F.ceil(F.col("size") / TILE).cast("int").alias("tiles"))
-    dealt = rows.join(buckets, ["key", "lane"]).withColumn("tile", F.pmod(F.xxhash64("id"), "tiles").cast("int"))
+    buckets = buckets.where("size > 2").select("key", F.ceil(F.col("size") / TILE).cast("int").alias("tiles"))
+    dealt = rows.join(buckets, "key").withColumn("tile", F.pmod(F.xxhash64("id"), "tiles").cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select(
-        "key", "lane", F.least("tile", "other").alias("tile_a"), F.greatest("tile", "other").alias("tile_b"),
-        "id", "component", "tile",
-    )
-    full = dealt.join(nodes, "id").select("key", "lane", "tile_a", "tile_b", "id", "component", "n", "tile", "lanes")
-    order = ["key", "lane", "tile_a", "tile_b"]
+        "key", F.least("tile", "other").alias("tile_a"), F.greatest("tile", "other").alias("tile_b"), "id", "component", "tile")
+    order = ["key", "tile_a", "tile_b"]
+    full = dealt.join(nodes, "id").select(*order, "id", "component", "n", "tile", "lanes")
     last = full.repartition(*order).sortWithinPartitions(*order).mapInArrow(_tiles, "a long, b long")
     return links.unionAll(confirm(docs, checkpointed(last)))
 
