@@ -37,6 +37,8 @@ CHUNKS = 13
 MAX_DISTANCE = 2 * CHUNKS - 1
 TILE = 512
 BROADCAST_IDS = 1 << 20
+#: Different members that the buckets of one group try in the second round.
+PIVOTS = 4
 PAIRS_AT_ONCE = 1 << 19
 
 _LANE = numbers(LANES, 101) | np.uint64(1)
@@ -223,28 +225,30 @@ def _left_over(busy: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame
     rows = busy.join(labels, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
     buckets = rows.groupBy("key").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"),
-        F.min(F.struct(F.xxhash64("id", "key").alias("h"), "id", "component")).alias("pivot"),
+        F.min(F.struct(F.xxhash64("id", F.pmod("key", F.lit(PIVOTS))).alias("h"), "id", "component")).alias("pivot"),
     ).where("low <> high").drop("low", "high")
     return rows, buckets
 
 
 def _links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Confirmed links between nodes, enough to connect all that any links connect."""
+    """Confirmed links between nodes, or a component's star, enough to connect all that any links connect."""
     keys = nodes.select("id", "lanes").mapInArrow(_keys, "key long, id long")
     shared = keys.groupBy("key").agg(F.min("id").alias("a"), F.count("*").alias("size")).where("size > 1").drop("size")
     # most keys are one document's alone; only the others are looked at again
     busy = checkpointed(keys.join(shared, "key").select("key", "id", "a"))
     pairs = busy.where("id <> a").select("a", F.col("id").alias("b")).distinct()
-    links = checkpointed(confirm(docs, checkpointed(_near(nodes, pairs))))
+    labels = checkpointed(components(confirm(docs, checkpointed(_near(nodes, pairs)))))
 
-    rows, buckets = _left_over(busy, components(links))
+    rows, buckets = _left_over(busy, labels)
     again = (
         rows.join(buckets.select("key", "pivot"), "key").where("component <> pivot.component")
         .select(F.least("id", "pivot.id").alias("a"), F.greatest("id", "pivot.id").alias("b")).distinct()
     )
-    links = checkpointed(links.unionAll(confirm(docs, checkpointed(_near(nodes, again)))))
+    # what is connected by now is passed on as one link for each document to its component
+    stars = labels.select(F.col("id").alias("a"), F.col("component").alias("b"))
+    labels = checkpointed(components(stars.unionAll(confirm(docs, checkpointed(_near(nodes, again))))))
 
-    rows, buckets = _left_over(busy, components(links))
+    rows, buckets = _left_over(busy, labels)
     # two rows of a bucket were both tried already: one of them is the pivot of the round before
     buckets = buckets.where("size > 2").select("key", F.ceil(F.col("size") / TILE).cast("int").alias("tiles"))
     dealt = rows.join(buckets, "key").withColumn("tile", F.pmod(F.xxhash64("id"), "tiles").cast("int"))
@@ -253,7 +257,8 @@ def _links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     order = ["key", "tile_a", "tile_b"]
     full = dealt.join(nodes, "id").select(*order, "id", "component", "n", "tile", "lanes")
     last = full.repartition(*order).sortWithinPartitions(*order).mapInArrow(_tiles, "a long, b long")
-    return links.unionAll(confirm(docs, checkpointed(last)))
+    stars = labels.select(F.col("id").alias("a"), F.col("component").alias("b"))
+    return stars.unionAll(confirm(docs, checkpointed(last)))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
