@@ -9,6 +9,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
@@ -30,12 +31,13 @@ ALGORITHMS = ("kmeans", "minibatch_kmeans", "gaussian_mixture")
 
 
 def first_smallest(scores: list[Column]) -> Column:
-    """Index of the smallest of the given columns; the first one on ties."""
+    """Index of the smallest of the given columns; the first one on ties. Null where one is null or NaN."""
+    unknown = reduce(lambda a, b: a | b, [s.isNull() | F.isnan(s) for s in scores])
     smallest = F.least(*scores) if len(scores) > 1 else scores[0]
     index = F.lit(len(scores) - 1)
     for k in range(len(scores) - 2, -1, -1):
         index = F.when(scores[k] <= smallest, k).otherwise(index)
-    return index.cast("int")
+    return F.when(~unknown, index).cast("int")
 
 
 def _by_score(df: DataFrame, scores: list[Column], out: str) -> DataFrame:

@@ -59,8 +59,13 @@ class Preprocessor:
         return df.select("*", *self.expressions())
 
 
+def _known(column: str) -> Column:
+    """The column's number; NaN is missing, as null is."""
+    return F.nanvl(F.col(column).cast("double"), F.lit(None).cast("double"))
+
+
 def _filled(column: str, median: float | None, log: bool) -> Column:
-    value = F.coalesce(F.col(column).cast("double"), F.lit(median).cast("double"))
+    value = F.coalesce(_known(column), F.lit(median).cast("double"))
     return log1p_nonneg(value) if log else value
 
 
@@ -69,8 +74,8 @@ def _middle_ranks(n: int) -> list[int]:
 
 
 def column_medians(df: DataFrame, columns: list[str]) -> dict[str, float | None]:
-    """Exact interpolated medians of the non-null values, found by distributed rank."""
-    found = order_statistics(df, {c: F.col(c) for c in columns}, _middle_ranks)
+    """Exact interpolated medians of the values that are neither null nor NaN, by distributed rank."""
+    found = order_statistics(df, {c: _known(c) for c in columns}, _middle_ranks)
     medians = {}
     for c in columns:
         pair = [found[c].rows[r][0] for r in _middle_ranks(found[c].n) if r in found[c].rows]

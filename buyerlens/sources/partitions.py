@@ -166,10 +166,12 @@ def ingest_months(spark: SparkSession, landing: str, processed: str, dataset: st
                   months: Sequence[tuple[int, int]]) -> int:
     """Move the given landing months of one dataset to Parquet in one job."""
     if dataset not in INCREMENTAL_DATASETS:
-        raise ValueError(f"Dataset incremental inválido: {dataset}")
+        raise ValueError(f"{dataset} is not delivered by month")
     contract = CONTRACTS[dataset]
     rows = (
         spark.read.schema(contract.landing_schema).option("header", True)
+        # columns in another order are an error, not swapped values
+        .option("enforceSchema", False).option("escape", '"')
         .option("basePath", f"{landing}/{dataset}")
         .csv([f"{landing}/{dataset}/year={y:04d}/month={m:02d}" for y, m in months])
     )
