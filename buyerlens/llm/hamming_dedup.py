@@ -11,8 +11,10 @@ Exact copies are one node from the start. Pairs are never expanded within a buck
 1. each member of a bucket is compared with the bucket's least member, links are confirmed on the full
    sets, and linked documents become one component;
 2. buckets that still hold several components are tried again with another member, drawn by hash;
-3. what is left is compared exactly, across components only, in tiles of a bounded number of rows, and
-   only pairs within the signature distance leave the tile, under the first key that they share.
+3. what is left is compared exactly, across components only, in tiles of a bounded number of rows. Rows
+   bring the least values of their set along, so only pairs leave the tile, under the first key that
+   they share, whose sets are similar enough: exactly so for sets that are whole there, by the share
+   among the least values of the union for larger ones.
 
 A link skipped in step 3 would join documents that are already in one component.
 
@@ -35,11 +37,15 @@ PERCENT = 85
 LANES = 64
 CHUNKS = 13
 MAX_DISTANCE = 2 * CHUNKS - 1
-TILE = 512
+TILE = 2048
 BROADCAST_IDS = 1 << 20
 #: Different members that the buckets of one group try in the second round.
 PIVOTS = 4
 PAIRS_AT_ONCE = 1 << 19
+#: Values of a set that a tile sees, and how many of the union's least two similar sets share: five
+#: deviations below the mean.
+SKETCH = 1024
+SKETCH_SHARED = int(SKETCH * PERCENT / 100 - 5 * (SKETCH * PERCENT * (100 - PERCENT) / 10**4) ** 0.5)
 
 _LANE = numbers(LANES, 101) | np.uint64(1)
 _CHUNK_OF = np.arange(LANES) * CHUNKS // LANES
@@ -118,15 +124,31 @@ def _shared(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array(out)
 
 
-def _sets(batches):
-    for batch in batches:
-        data, offsets = buffers(batch.column(1))
-        for low, high in slices(offsets):
-            value, first = shingles(words(data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low]), SHINGLE)
-            yield pa.RecordBatch.from_pydict({
-                "id": batch.column(0).slice(low, high - low),
-                "set": pa.array([value[i:j].tobytes() for i, j in zip(first, first[1:])], pa.binary()),
-            })
+def _sets(cut):
+    def run(batches):
+        for batch in batches:
+            data, offsets = buffers(batch.column(1))
+            for low, high in slices(offsets):
+                value, first = shingles(words(data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low]), SHINGLE)
+                yield pa.RecordBatch.from_pydict({
+                    "id": batch.column(0).slice(low, high - low),
+                    "set": pa.array([cut(value[i:j]).tobytes() for i, j in zip(first, first[1:])], pa.binary()),
+                })
+    return run
+
+
+def _least(values: np.ndarray) -> np.ndarray:
+    """The upper halves of the least values, in order and not made distinct, so that two sets share at
+    least as many of them as they share values."""
+    return (values[:SKETCH] >> np.uint64(32)).astype(np.uint32)
+
+
+def _sets_of(docs: DataFrame, wanted: DataFrame, cut=lambda values: values) -> DataFrame:
+    """``id, set``: what ``cut`` leaves of the sorted sets of the distinct ids in ``wanted(doc_id)``."""
+    if wanted.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+        wanted = F.broadcast(wanted)  # else the texts of all documents would be shuffled for a few
+    source = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(wanted, "doc_id", "left_semi")
+    return source.mapInArrow(_sets(cut), "id long, set binary")
 
 
 def _near(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -139,11 +161,7 @@ def _near(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def confirm(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """Pairs ``(a, b)`` whose full sets are similar enough."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    if wanted.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
-        wanted = F.broadcast(wanted)  # else the texts of all documents would be shuffled for a few
-    source = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(wanted, "doc_id", "left_semi")
-    sets = source.mapInArrow(_sets, "id long, set binary")
+    sets = _sets_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
     shared = F.arrow_udf(_shared, "long")
     both = (
         pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a")
@@ -169,6 +187,13 @@ def _pairs_of(sizes: np.ndarray, starts: np.ndarray):
     while low < len(sizes):
         high = max(low + 1, int(np.searchsorted(np.cumsum(total[low:]), PAIRS_AT_ONCE, side="right")) + low)
         n = sizes[low:high]
+        if total[low] > PAIRS_AT_ONCE:
+            rows, step = int(n[0]), max(1, PAIRS_AT_ONCE // int(n[0]))
+            for top in range(0, rows, step):
+                i, j = np.divmod(np.arange(top * rows, min(top + step, rows) * rows), rows)
+                yield starts[low] + i[i < j], starts[low] + j[i < j]
+            low = high
+            continue
         member = np.repeat(np.arange(high - low), n)
         left = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         times = n[member]
@@ -186,7 +211,16 @@ def _first_lane(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.argmax(meets, axis=1)
 
 
-def _compare(key, tile_a, tile_b, id_, component, n, tile, lanes):
+def _may_link(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two sets, given by their least values in order, can be similar enough."""
+    same = x[y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x]
+    if max(len(x), len(y)) < SKETCH:
+        return 100 * len(same) >= PERCENT * (len(x) + len(y) - len(same))
+    last = np.union1d(x, y)[SKETCH - 1]
+    return np.searchsorted(same, last, side="right") >= SKETCH_SHARED
+
+
+def _compare(key, tile_a, tile_b, id_, component, n, tile, lanes, sets):
     starts = _group_bounds(key, tile_a, tile_b)
     for i, j in _pairs_of(np.diff(starts), starts[:-1]):
         ok = (component[i] != component[j]) & (100 * np.minimum(n[i], n[j]) >= PERCENT * np.maximum(n[i], n[j]))
@@ -199,6 +233,9 @@ def _compare(key, tile_a, tile_b, id_, component, n, tile, lanes):
             first = _masked_keys(lanes[i])[np.arange(len(i)), _first_lane(lanes[i], lanes[j])]
             ok = first.view(np.int64) == key[i]
             i, j = i[ok], j[ok]
+            known = {r: np.frombuffer(sets[r].as_buffer(), dtype=np.uint32) for r in np.unique(np.append(i, j)).tolist()}
+            ok = np.fromiter((_may_link(known[x], known[y]) for x, y in zip(i.tolist(), j.tolist())), dtype=bool, count=len(i))
+            i, j = i[ok], j[ok]
         yield pa.RecordBatch.from_pydict({
             "a": pa.array(np.minimum(id_[i], id_[j])), "b": pa.array(np.maximum(id_[i], id_[j])),
         })
@@ -214,10 +251,10 @@ def _tiles(batches):
         bounds = _group_bounds(*columns[:3])
         cut = int(bounds[-2]) if len(bounds) > 1 else 0
         if cut:
-            yield from _compare(*(c[:cut] for c in columns), _lane_matrix(table.column(7).slice(0, cut)))
+            yield from _compare(*(c[:cut] for c in columns), _lane_matrix(table.column(7).slice(0, cut)), table.column(8))
         rest = table.slice(cut).combine_chunks()
     if rest is not None and rest.num_rows:
-        yield from _compare(*(rest.column(i).to_numpy() for i in range(7)), _lane_matrix(rest.column(7)))
+        yield from _compare(*(rest.column(i).to_numpy() for i in range(7)), _lane_matrix(rest.column(7)), rest.column(8))
 
 
 def _left_over(busy: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -255,7 +292,9 @@ def _links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select(
         "key", F.least("tile", "other").alias("tile_a"), F.greatest("tile", "other").alias("tile_b"), "id", "component", "tile")
     order = ["key", "tile_a", "tile_b"]
-    full = dealt.join(nodes, "id").select(*order, "id", "component", "n", "tile", "lanes")
+    dealt = checkpointed(dealt)
+    sets = _sets_of(docs, dealt.select(F.col("id").alias("doc_id")).distinct(), _least)
+    full = dealt.join(nodes.join(sets, "id"), "id").select(*order, "id", "component", "n", "tile", "lanes", "set")
     last = full.repartition(*order).sortWithinPartitions(*order).mapInArrow(_tiles, "a long, b long")
     stars = labels.select(F.col("id").alias("a"), F.col("component").alias("b"))
     return stars.unionAll(confirm(docs, checkpointed(last)))
