@@ -111,6 +111,46 @@ def bounded_sample(df: DataFrame, id_column: str, rows: int = SILHOUETTE_ROWS,
     return first_by_hash(df, id_column, rows, seed)
 
 
+def squared_silhouette(df: DataFrame, label: str, columns: list[str]) -> DataFrame:
+    """One row: mean silhouette of all labelled rows by squared Euclidean distance.
+
+    A row's mean squared distance to a cluster is its squared distance to the centroid plus the
+    cluster's variance, so two passes over the rows suffice. The driver holds one row per label, up to
+    ``CENTROID_VALUES`` numbers; more labels are an error. Null unless there are at least two clusters
+    and fewer clusters than rows. A row alone in its cluster counts 0."""
+    rows = df.where(F.col(label).isNotNull()).select(F.col(label).cast("string").alias("label"), *columns)
+    most = CENTROID_VALUES // (len(columns) + 2)
+    variance = sum((F.var_pop(c) for c in columns[1:]), F.var_pop(columns[0]))
+    summary = distribution_summary(rows, "label").select("n_clusters", (F.col("max_size") > 1).alias("shared")).first()
+    if summary.n_clusters < 2 or not summary.shared:
+        return df.sparkSession.createDataFrame([(None,)], "silhouette double")
+    if summary.n_clusters > most:
+        raise ValueError(f"{summary.n_clusters} labels; the silhouette takes up to {most}")
+    table = rows.groupBy("label").agg(
+        F.count(F.lit(1)).alias("size"), variance.alias("v"), *[F.avg(c).alias(f"m_{c}") for c in columns]
+    ).orderBy("label").toPandas()
+    code = {name: i for i, name in enumerate(table["label"])}
+    centres, spread = table[[f"m_{c}" for c in columns]].to_numpy("float64"), table["v"].to_numpy("float64")
+    sizes = table["size"].to_numpy("float64")
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total, n = 0.0, 0
+        for batch in batches:
+            points, own = batch[columns].to_numpy("float64"), batch["label"].map(code).to_numpy("int64")
+            inside, near = np.zeros(len(points)), np.full(len(points), np.inf)
+            for k in range(len(sizes)):
+                mean = ((points - centres[k]) ** 2).sum(axis=1) + spread[k]
+                mine = own == k
+                inside[mine] = mean[mine] * sizes[k] / max(1.0, sizes[k] - 1)
+                near[~mine] = np.minimum(near[~mine], mean[~mine])
+            top = np.maximum(near, inside)
+            value = np.divide(near - inside, top, out=np.zeros(len(top)), where=top > 0)
+            total, n = total + float(value[sizes[own] > 1].sum()), n + len(points)
+        yield pd.DataFrame({"s": [total], "n": [n]})
+
+    return rows.mapInPandas(score, "s double, n long").agg((F.sum("s") / F.sum("n")).alias("silhouette"))
+
+
 def silhouette(df: DataFrame, label: str, columns: list[str], id_column: str,
                rows: int = SILHOUETTE_ROWS, seed: int = SILHOUETTE_SEED) -> DataFrame:
     """One row: mean Euclidean silhouette of a sample of at most ``rows`` rows.
@@ -196,14 +236,13 @@ def adjusted_rand(df: DataFrame, a: str, b: str) -> DataFrame:
     )
 
 
-def cluster_metrics(df: DataFrame, label: str, columns: list[str], id_column: str,
-                    with_inertia: bool = True) -> dict:
-    """Silhouette, Davies-Bouldin, inertia and sizes of one labelling as plain values."""
+def cluster_metrics(df: DataFrame, label: str, columns: list[str], with_inertia: bool = True) -> dict:
+    """Silhouette of all rows, Davies-Bouldin, inertia and sizes of one labelling as plain values."""
     sizes = distribution_summary(df, label).first()
     n = df.count()
     metrics: dict = {"silhouette": None, "davies_bouldin": None, "inertia": None, **sizes.asDict()}
     if 2 <= metrics["n_clusters"] < n:
-        metrics["silhouette"] = silhouette(df, label, columns, id_column).first()[0]
+        metrics["silhouette"] = squared_silhouette(df, label, columns).first()[0]
         metrics["davies_bouldin"] = davies_bouldin(df, label, columns).first()[0]
     if with_inertia:
         metrics["inertia"] = inertia(df, label, columns).first()[0]

@@ -20,14 +20,14 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from buyerlens.functions.scalars import HASH_POSITIONS, hash_position
+from buyerlens.functions.scalars import hash_position
 from buyerlens.operators.cluster_metrics import squared_distance
 from buyerlens.operators.ranking import first_by_hash
 
-# up to this many per-task vectors the driver adds them itself
-FEW_TASKS = 64
-
-ALGORITHMS = ("kmeans", "minibatch_kmeans", "gaussian_mixture")
+# mini-batch fits: batches that a group of rows takes in one pass, and when a centre is starved
+GROUP_BATCHES = 64
+STARVED = 0.01
+STARVED_EPOCHS = 3
 
 
 def first_smallest(scores: list[Column]) -> Column:
@@ -102,13 +102,11 @@ class MixtureModel:
         return (parameters * math.log(n) - 2 * self.log_likelihood, 2 * parameters - 2 * self.log_likelihood)
 
 
-def _summed(df: DataFrame, columns: list[str], partial: Callable[[np.ndarray], np.ndarray],
-            few_tasks: bool = False) -> np.ndarray:
+def _summed(df: DataFrame, columns: list[str], partial: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
     """Sum of ``partial(block)`` over all blocks of rows, with block a rows x columns matrix.
 
     Each task returns one vector. The vectors are added by position in a shuffle,
-    so that the driver receives one vector however many tasks there are; with
-    ``few_tasks`` it adds the handful of vectors itself."""
+    so that the driver receives one vector however many tasks there are."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = None
         for batch in batches:
@@ -119,8 +117,11 @@ def _summed(df: DataFrame, columns: list[str], partial: Callable[[np.ndarray], n
             yield pd.DataFrame({"v": [total]})
 
     vectors = df.select(*columns).mapInPandas(run, "v array<double>")
-    if few_tasks:
-        return np.array([r["v"] for r in vectors.collect()]).sum(axis=0)
+    return _added(vectors)
+
+
+def _added(vectors: DataFrame) -> np.ndarray:
+    """Sum of the vectors ``v`` by position."""
     rows = (
         vectors.select(F.posexplode("v").alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x")).collect()
     )
@@ -175,49 +176,80 @@ def fit_kmeans(df: DataFrame, columns: list[str], k: int, n_init: int = 10, seed
 
 def fit_minibatch_kmeans(df: DataFrame, columns: list[str], k: int, id_column: str,
                          batch_size: int = 1024, n_init: int = 10, seed: int = 42,
-                         max_steps: int = 60, patience: int = 10) -> CentroidModel:
-    """Mini-batch k-means with per-centre learning rates (Sculley 2010).
-
-    The rows of all batches, at most ``batch_size * max_steps``, are drawn in one
-    pass by hash. Starting centres are
-    the best of ``n_init`` seedings on the first rows of that draw; the steps stop
-    when the smoothed batch cost has not improved for ``patience`` steps."""
+                         max_epochs: int = 20, patience: int = 2, tol: float = 1e-4) -> CentroidModel:
+    """Mini-batch k-means with per-centre learning rates (Sculley 2010) over all rows.
+
+    Rows are dealt by hash into groups of about ``GROUP_BATCHES`` batches. In an epoch, one pass, each
+    group takes its batches one after the other from the epoch's centres, and the groups' centres are
+    averaged by the rows that they saw. Starting centres are the best of ``n_init`` seedings on a
+    sample of three batches. In the first epochs a centre with less than ``STARVED`` of the largest one's
+    rows moves to a row far from all centres. It ends when the mean cost has not improved by the share
+    ``tol`` for ``patience`` epochs."""
     total = df.count()
-    drawn = batch_size * max_steps
+    groups = max(1, math.ceil(total / (batch_size * GROUP_BATCHES)))
     position = hash_position(F.col(id_column), seed)
-    # the expected share, so that one step sees about batch_size rows
-    steps = max_steps if total >= drawn else max(1, math.ceil(total / batch_size))
-    kept = df if total <= drawn else df.where(position < HASH_POSITIONS * drawn // total)
-    batches = kept.select(*columns, F.pmod(position, F.lit(steps)).alias("_step")).repartition(4).persist()
+    dealt = df.select(
+        *[F.col(c).cast("double").alias(c) for c in columns], position.alias("_position"),
+    ).withColumn("_group", F.pmod("_position", F.lit(groups)))
+    dealt = dealt.repartition("_group").persist()
     try:
         first = seeded_rows(df, columns, id_column, 3 * batch_size, seed)
         rng = np.random.RandomState(seed)
         starts = [spread_centres(first, k, rng) for _ in range(n_init)]
         costs = [_nearest(first, c)[1].sum() for c in starts]
         centres, counts = starts[int(np.argmin(costs))].copy(), np.zeros(k)
-        smoothed, best, waited, step = None, math.inf, 0, 0
-        while step < max_steps and waited < patience:
-            batch = batches.where(F.col("_step") == step % steps)
-            sums = _summed(batch, columns, lambda block, c=centres: _assignment_sums(block, c), few_tasks=True)
-            step += 1
-            if not sums.ndim:
-                continue
-            sums, cost = sums[:-1].reshape(k, -1), sums[-1]
-            seen = sums[:, 0]
-            counts += seen
-            hit = seen > 0
-            rate = (seen[hit] / counts[hit])[:, None]
-            centres = centres.copy()
-            centres[hit] = (1 - rate) * centres[hit] + rate * (sums[hit, 1:] / seen[hit, None])
-            mean = cost / seen.sum()
-            smoothed = mean if smoothed is None else 0.7 * smoothed + 0.3 * mean
-            waited = 0 if smoothed < best else waited + 1
-            best = min(best, smoothed)
+        best, waited = math.inf, 0
+        for epoch in range(max_epochs):
+            run = _epoch(columns, centres, counts / groups, batch_size)
+            passed = dealt.groupBy("_group").applyInPandas(run, "v array<double>, far double, row array<double>")
+            passed = passed.persist()
+            try:
+                sums = _added(passed)
+                seen, moved, cost = sums[:k], sums[k:-1].reshape(k, -1), sums[-1]
+                hit = seen > 0
+                centres = centres.copy()
+                centres[hit] = moved[hit] / seen[hit, None]
+                counts = counts + seen
+                starved = np.flatnonzero(seen < STARVED * seen.max())
+                if len(starved) and epoch < STARVED_EPOCHS:
+                    far = passed.orderBy(F.desc("far"), "row").limit(len(starved)).collect()
+                    for c, row in zip(starved, far):
+                        centres[c], counts[c] = row["row"], 0
+                    continue
+            finally:
+                passed.unpersist()
+            waited = 0 if cost < best * (1 - tol) else waited + 1
+            best = min(best, cost)
+            if waited >= patience:
+                break
         model = CentroidModel(list(columns), centres.tolist())
         cost = model.with_distance(df).agg(F.sum("d2")).first()[0]
         return CentroidModel(list(columns), centres.tolist(), cost)
     finally:
-        batches.unpersist()
+        dealt.unpersist()
+
+
+def _epoch(columns: list[str], start: np.ndarray, before: np.ndarray, batch_size: int):
+    """One group's pass: rows seen per centre, its centres times these, the cost; and its farthest row."""
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        rows = group.sort_values(["_position", *columns])[columns].to_numpy("float64")
+        centres, counts, seen, cost, far, farthest = start.copy(), before.copy(), np.zeros(len(start)), 0.0, -1.0, rows[0]
+        for low in range(0, len(rows), batch_size):
+            block = rows[low : low + batch_size]
+            own, d2 = _nearest(block, centres)
+            if d2.max() > far:
+                far, farthest = float(d2.max()), block[d2.argmax()]
+            sums = _assignment_sums(block, centres)
+            sums, cost = sums[:-1].reshape(len(centres), -1), cost + sums[-1]
+            here = sums[:, 0]
+            counts += here
+            seen += here
+            hit = here > 0
+            rate = (here[hit] / counts[hit])[:, None]
+            centres[hit] = (1 - rate) * centres[hit] + rate * (sums[hit, 1:] / here[hit, None])
+        vector = np.concatenate([seen, (centres * seen[:, None]).ravel(), [cost]])
+        return pd.DataFrame({"v": [vector], "far": [far], "row": [farthest]})
+    return run
 
 
 def _nearest(block: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -263,18 +295,17 @@ def fit_gaussian_mixture(df: DataFrame, columns: list[str], k: int, id_column: s
     n = df.count()
     matrix = df.select(*columns).persist()
     try:
-        few = matrix.rdd.getNumPartitions() <= FEW_TASKS
         starts = []
         for i in range(n_init):
             model = fit_kmeans(matrix, columns, k, n_init=1, seed=seed + i)
             centres = np.array(model.centres)
-            sums = _summed(matrix, columns, lambda block, c=centres: _hard_sums(block, c), few)
+            sums = _summed(matrix, columns, lambda block, c=centres: _hard_sums(block, c))
             starts.append(_maximise(sums, n, len(centres), d, floor))
         best, last = [None] * n_init, [-math.inf] * n_init
         active = list(range(n_init))
         for _ in range(max_iter):
             current = [starts[i] for i in active]
-            sums = _summed(matrix, columns, lambda block, p=current: _responsibility_sums(block, p), few)
+            sums = _summed(matrix, columns, lambda block, p=current: _responsibility_sums(block, p))
             offset, still = 0, []
             for i in active:
                 width = len(starts[i][0]) * (2 * d + 1) + 1
@@ -308,21 +339,30 @@ def _maximise(sums: np.ndarray, n: int, k: int, d: int, floor: float):
     return mass / mass.sum(), means, np.maximum(variances, 0) + floor
 
 
+# by name: the fit, whether it takes the id column, and the parameters a trial may set
+_FITS = {
+    "kmeans": (fit_kmeans, False, {"n_init"}),
+    "minibatch_kmeans": (fit_minibatch_kmeans, True, {"n_init", "batch_size"}),
+    "gaussian_mixture": (fit_gaussian_mixture, True, {"n_init"}),
+}
+
+
+def known_algorithm(name: str) -> str:
+    """The algorithm's own name; ``gmm`` is short for the mixture."""
+    own = {"gmm": "gaussian_mixture"}.get(name.lower(), name.lower())
+    if own not in _FITS:
+        raise ValueError(f"unknown clustering {name!r}; there are {', '.join(_FITS)}")
+    return own
+
+
 def fit_clusterer(algorithm: str, df: DataFrame, columns: list[str], id_column: str, k: int,
                   seed: int = 42, **params):
-    """Fit one of the supported algorithms; other names are an error."""
-    name = algorithm.lower()
-    if name == "kmeans":
-        return fit_kmeans(df, columns, k, n_init=int(params.get("n_init", 10)), seed=seed)
-    if name == "minibatch_kmeans":
-        return fit_minibatch_kmeans(
-            df, columns, k, id_column, batch_size=int(params.get("batch_size", 1024)),
-            n_init=int(params.get("n_init", 10)), seed=seed,
-        )
-    if name in ("gaussian_mixture", "gmm"):
-        if params.get("covariance_type", "diag") != "diag":
-            raise ValueError("only diagonal covariances are supported")
-        return fit_gaussian_mixture(df, columns, k, id_column, n_init=int(params.get("n_init", 2)), seed=seed)
-    raise ValueError(
-        f"Algoritmo '{algorithm}' incompatível com o contrato operacional. Suportados: {ALGORITHMS}"
-    )
+    """Fit the named algorithm; names and parameters that it does not know are errors."""
+    name = known_algorithm(algorithm)
+    fit, by_id, accepted = _FITS[name]
+    if name == "gaussian_mixture" and params.pop("covariance_type", "diag") != "diag":
+        raise ValueError("only diagonal covariances are supported")
+    if unknown := set(params) - accepted:
+        raise ValueError(f"{name} takes no {', '.join(sorted(unknown))}")
+    given = {key: int(value) for key, value in params.items()}
+    return fit(df, columns, k, *([id_column] if by_id else []), seed=seed, **given)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from buyerlens.operators import quality
 from buyerlens.operators.cluster_metrics import cluster_metrics
-from buyerlens.operators.clustering import ALGORITHMS, MixtureModel
+from buyerlens.operators.clustering import MixtureModel, known_algorithm
 from buyerlens.operators.gates import PromotionPolicy, evaluate_promotion, with_champion
 from buyerlens.operators.profiles import build_profiles
 from buyerlens.operators.scoring import (
@@ -30,6 +30,7 @@ SEARCH = {
     "gaussian_mixture": {"n_clusters": [4, 5, 6], "covariance_type": ["diag"]},
 }
 SEARCH_QUICK = {"kmeans": {"n_clusters": [3, 4]}}
+DEFAULT_CLUSTERS = 5
 STABILITY = {"n_subsamples": 2, "fraction": 0.80}
 
 TRIAL_SCHEMA = (
@@ -43,16 +44,13 @@ TRIAL_SCHEMA = (
 def search_space(search: dict[str, dict[str, list]]) -> Iterator[dict]:
     """The grid points in order: ``algorithm, n_clusters, params, run_name``."""
     for algorithm, grid in search.items():
-        if algorithm not in ALGORITHMS:
-            raise ValueError(
-                f"Algoritmo '{algorithm}' incompatível com o contrato operacional. Suportados: {ALGORITHMS}"
-            )
-        choices = [v if isinstance(v, list) else [v] for v in grid.values()]
-        for values in itertools.product(*choices):
-            params = dict(zip(grid, values))
-            k = int(params.pop("n_clusters", params.pop("n_components", 5)))
-            name = "_".join([algorithm, f"k{k}", *(f"{key}={value}" for key, value in params.items())])
-            yield {"algorithm": algorithm, "n_clusters": k, "params": params, "run_name": name}
+        known_algorithm(algorithm)
+        axes = {axis: values if isinstance(values, list) else [values] for axis, values in grid.items()}
+        sizes = axes.pop("n_clusters", None) or axes.pop("n_components", [DEFAULT_CLUSTERS])
+        for k, *rest in itertools.product(sizes, *axes.values()):
+            params = dict(zip(axes, rest))
+            suffix = "".join(f"_{axis}={value}" for axis, value in params.items())
+            yield {"algorithm": algorithm, "n_clusters": int(k), "params": params, "run_name": f"{algorithm}_k{k}{suffix}"}
 
 
 @dataclass(frozen=True)
@@ -67,7 +65,7 @@ class Experiment:
 def evaluate_model(model: SegmentModel, features: DataFrame) -> tuple[DataFrame, dict]:
     """Features with their segment, and the metrics of that labelling."""
     labelled = model.clusters.assign(model.prepare(features))
-    metrics = cluster_metrics(labelled, "segment_id", model.preprocessor.outputs, ID, with_inertia=False)
+    metrics = cluster_metrics(labelled, "segment_id", model.preprocessor.outputs, with_inertia=False)
     metrics |= {"bic": None, "aic": None, "inertia": None}
     if isinstance(model.clusters, MixtureModel):
         metrics["bic"], metrics["aic"] = model.clusters.information_criteria(features.count())

@@ -141,11 +141,8 @@ worst AS (
   SELECT a.label, max((a.s + b.s) / list_distance(ca.c, cb.c)) AS w
   FROM spread a JOIN spread b ON a.label <> b.label
   JOIN centres ca ON ca.label = a.label JOIN centres cb ON cb.label = b.label GROUP BY a.label)"""
-# the reproducible sample of at most 4000 points, then mean distances to every cluster
-_SILHOUETTE = """few AS (
-  SELECT * FROM pts QUALIFY row_number() OVER (
-    ORDER BY ('0x' || substr(md5('42|' || vec_id), 1, 13))::BIGINT, vec_id::VARCHAR) <= 4000),
-sizes AS (SELECT label, count(*) AS n FROM few GROUP BY label),
+# mean distances of each point in "few" to every cluster
+_SILHOUETTE_OF = """sizes AS (SELECT label, count(*) AS n FROM few GROUP BY label),
 means AS (
   SELECT a.vec_id, a.label AS own, b.label AS other, sum(list_distance(a.v, b.v)) AS total
   FROM few a, few b GROUP BY ALL),
@@ -154,6 +151,12 @@ ab AS (
     min(CASE WHEN own <> other THEN total / n END) AS b
   FROM means JOIN sizes ON sizes.label = other GROUP BY ALL),
 sil AS (SELECT avg(CASE WHEN a IS NULL THEN 0 ELSE coalesce((b - a) / nullif(greatest(a, b), 0), 0) END) AS silhouette FROM ab)"""
+# the reproducible sample of at most 4000 points; and all points, by squared distance
+_SILHOUETTE = f"""few AS (
+  SELECT * FROM pts QUALIFY row_number() OVER (
+    ORDER BY ('0x' || substr(md5('42|' || vec_id), 1, 13))::BIGINT, vec_id::VARCHAR) <= 4000),
+{_SILHOUETTE_OF}"""
+_SQUARED = f"few AS (SELECT * FROM pts), {_SILHOUETTE_OF.replace('list_distance(a.v, b.v)', 'list_distance(a.v, b.v) ** 2')}"
 
 
 @register("cluster_distribution", f"SELECT label, size, {r6('size / sum(size) OVER ()')} AS share FROM (SELECT label, count(*) AS size FROM embeddings GROUP BY label)")
@@ -179,14 +182,20 @@ def silhouette_euclid(spark, sf_dir):
     return rounded(metrics.silhouette(points, "label", columns, "vec_id"))
 
 
-@register("cluster_metrics_row", f"""WITH {_POINTS}, {_CENTRES}, {_DB}, {_SILHOUETTE},
+@register("silhouette_squared", f"WITH {_POINTS}, {_SQUARED} SELECT {r6('silhouette')} AS silhouette FROM sil")
+def silhouette_squared(spark, sf_dir):
+    points, columns = _points(spark, sf_dir)
+    return rounded(metrics.squared_silhouette(points, "label", columns))
+
+
+@register("cluster_metrics_row", f"""WITH {_POINTS}, {_CENTRES}, {_DB}, {_SQUARED},
 n AS (SELECT count(*) AS size FROM pts GROUP BY label)
 SELECT (SELECT {r6('silhouette')} FROM sil) AS silhouette, (SELECT {r6('avg(w)')} FROM worst) AS davies_bouldin,
   (SELECT {r6('sum(d * d)')} FROM own) AS inertia, count(*) AS n_clusters, min(size) AS min_size,
   max(size) AS max_size, {r6('min(size) / sum(size)')} AS min_share FROM n""")
 def cluster_metrics_row(spark, sf_dir):
     points, columns = _points(spark, sf_dir)
-    row = metrics.cluster_metrics(points, "label", columns, "vec_id")
+    row = metrics.cluster_metrics(points, "label", columns)
     return rounded(spark.createDataFrame(
         [tuple(row.values())],
         "silhouette double, davies_bouldin double, inertia double, n_clusters bigint, min_size bigint, "

@@ -77,6 +77,34 @@ def test_silhouette_edges(spark, blobs):
     assert M.davies_bouldin(blobs.withColumn("label", F.lit(0)), "label", ["x", "y"]).first()[0] is None
 
 
+def test_squared_silhouette_takes_all_rows(spark, blobs):
+    def plain(points, labels):
+        d, out = distances(points) ** 2, []
+        for i, own in enumerate(labels):
+            a = d[i, labels == own].sum() / ((labels == own).sum() - 1)
+            b = min(d[i, labels == k].mean() for k in set(labels) if k != own)
+            out.append((b - a) / max(a, b))
+        return np.mean(out)
+
+    assert M.squared_silhouette(blobs, "label", ["x", "y"]).first()[0] == pytest.approx(plain(POINTS, LABELS))
+    assert M.squared_silhouette(blobs.withColumn("label", F.lit(0)), "label", ["x", "y"]).first()[0] is None
+    assert M.squared_silhouette(blobs, "id", ["x", "y"]).first()[0] is None
+    many = spark.range(6000).select("id", (F.col("id") % 2).alias("label"), (F.col("id") % 2 * 5 + F.col("id") / 6000).alias("x"))
+    one = many.withColumn("x", F.when(F.col("id") == 5500, 400.0).otherwise(F.col("x")))
+    found = [M.squared_silhouette(df, "label", ["x"]).first()[0] for df in (many, one)]
+    assert found[0] - found[1] > 0.01
+
+
+def test_minibatch_sees_all_rows(spark):
+    n = 12_000
+    df = spark.range(n).select("id", (F.col("id") % 3 * 10 + F.xxhash64("id") % 100 / 100).alias("x"))
+    model = clustering.fit_minibatch_kmeans(df, ["x"], 3, "id", batch_size=64, n_init=2)
+    assert np.allclose(sorted(c[0] for c in model.centres), [0, 10, 20], atol=0.2)
+    moved = df.withColumn("x", F.when(F.col("id") == n - 1, 1000.0).otherwise(F.col("x")))
+    other = clustering.fit_minibatch_kmeans(moved, ["x"], 3, "id", batch_size=64, n_init=2)
+    assert not np.allclose(sorted(model.centres), sorted(other.centres), atol=1e-3)
+
+
 def test_silhouette_sample_is_reproducible(blobs):
     small = M.silhouette(blobs, "label", ["x", "y"], "id", rows=40).first()[0]
     assert small == pytest.approx(M.silhouette(blobs.repartition(9), "label", ["x", "y"], "id", rows=40).first()[0])
