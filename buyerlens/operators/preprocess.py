@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from buyerlens.functions.scalars import log1p_nonneg
-from buyerlens.operators.ranking import order_statistics
+from buyerlens.operators.ranking import value_ranks
 
 # Modelling columns in order, and the skewed ones among them.
 FEATURE_COLUMNS = [
@@ -75,12 +75,8 @@ def _middle_ranks(n: int) -> list[int]:
 
 def column_medians(df: DataFrame, columns: list[str]) -> dict[str, float | None]:
     """Exact interpolated medians of the values that are neither null nor NaN, by distributed rank."""
-    found = order_statistics(df, {c: _known(c) for c in columns}, _middle_ranks)
-    medians = {}
-    for c in columns:
-        pair = [found[c].rows[r][0] for r in _middle_ranks(found[c].n) if r in found[c].rows]
-        medians[c] = sum(pair) / 2 if pair else None
-    return medians
+    found = value_ranks(df, {c: _known(c) for c in columns}, _middle_ranks)
+    return {c: sum(found[c].values()) / len(found[c]) if found[c] else None for c in columns}
 
 
 def fit_preprocessor(df: DataFrame, columns: list[str] | None = None,

@@ -95,6 +95,46 @@ def order_statistics(
         placed.unpersist()
 
 
+def value_ranks(df: DataFrame, metrics: dict[str, Column],
+                ranks: Callable[[int], Sequence[int]]) -> dict[str, dict[int, float]]:
+    """The values at the 1-based ``ranks(n)`` of each metric, nulls left out.
+
+    Equal values are counted before they are sorted, so a value that most rows share is one row."""
+    names = list(metrics)
+    entries = F.array(*[
+        F.struct(F.lit(i).alias("metric"), metrics[name].cast("double").alias("value")) for i, name in enumerate(names)
+    ])
+    counts = (
+        df.select(F.explode(entries).alias("e")).select("e.metric", "e.value").where("value IS NOT NULL")
+        .groupBy("metric", "value").count()
+    )
+    placed = (
+        counts.repartitionByRange("metric", "value").withColumn("part", F.spark_partition_id())
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    )
+    try:
+        blocks = placed.groupBy("metric", "part").agg(F.sum("count").alias("n")).orderBy("metric", "part").collect()
+        found: dict[str, dict[int, float]] = {name: {} for name in names}
+        wanted = []
+        for i, name in enumerate(names):
+            own = [b for b in blocks if b["metric"] == i]
+            before = [0, *accumulate(b["n"] for b in own)]
+            for rank in {r for r in ranks(before[-1]) if 1 <= r <= before[-1]}:
+                k = max(j for j in range(len(own)) if before[j] < rank)
+                wanted.append((i, own[k]["part"], rank - before[k], rank))
+        if wanted:
+            last = F.sum("count").over(
+                Window.partitionBy("metric", "part").orderBy("value").rowsBetween(Window.unboundedPreceding, 0))
+            asked = df.sparkSession.createDataFrame(wanted, "metric int, part int, inside bigint, rank bigint")
+            hits = placed.withColumn("last", last).join(asked, ["metric", "part"]).where(
+                (F.col("inside") <= F.col("last")) & (F.col("inside") > F.col("last") - F.col("count")))
+            for row in hits.select("metric", "rank", "value").collect():
+                found[names[row["metric"]]][row["rank"]] = row["value"]
+        return found
+    finally:
+        placed.unpersist()
+
+
 def _after(value: Column, identifier: Column, cut: tuple[float, str | None]) -> Column:
     cut_value, cut_id = F.lit(cut[0]), F.lit(cut[1])
     return (value > cut_value) | ((value == cut_value) & (identifier > cut_id))

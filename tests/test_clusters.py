@@ -145,6 +145,14 @@ def test_medians_and_standardising(spark):
     assert preprocess.column_medians(even, ["v"]) == {"v": 2.5}
 
 
+def test_medians_with_a_value_that_most_rows_share(spark):
+    rows = spark.range(5000).select(
+        F.when(F.col("id") % 100 < 97, 1.0).otherwise(F.col("id").cast("double")).alias("hot"),
+        F.when(F.col("id") % 3 > 0, F.col("id").cast("double")).alias("gaps"), F.lit(None).cast("double").alias("none"))
+    plain = rows.toPandas().astype("float64").median()
+    assert preprocess.column_medians(rows, ["hot", "gaps", "none"]) == {"hot": plain["hot"], "gaps": plain["gaps"], "none": None}
+
+
 def test_missing_model_column(toy_features):
     with pytest.raises(KeyError):
         preprocess.select_model_frame(toy_features.drop("monetary"))
