@@ -95,11 +95,22 @@ class MixtureModel:
         """Component with the largest responsibility."""
         return _by_score(df, [-self._log_density(k) for k in range(self.k)], out)
 
-    def information_criteria(self, n: int) -> tuple[float, float]:
-        """(BIC, AIC) for ``n`` rows."""
+    def information_criteria(self, n: int, log_likelihood: float | None = None) -> tuple[float, float]:
+        """(BIC, AIC) for ``n`` rows of this likelihood, that of the training rows when none is given."""
+        level = self.log_likelihood if log_likelihood is None else log_likelihood
         d = len(self.columns)
         parameters = 2 * self.k * d + self.k - 1
-        return (parameters * math.log(n) - 2 * self.log_likelihood, 2 * parameters - 2 * self.log_likelihood)
+        return (parameters * math.log(n) - 2 * level, 2 * parameters - 2 * level)
+
+    def likelihood_of(self, df: DataFrame) -> tuple[int, float]:
+        """Rows of ``df`` and their log-likelihood, in one aggregate."""
+        names = [f"_log{k}" for k in range(self.k)]
+        logs = df.select(*[self._log_density(k).alias(n) for k, n in enumerate(names)])
+        top = F.greatest(*names) if self.k > 1 else F.col(names[0])
+        share = reduce(lambda a, b: a + b, [F.exp(F.col(n) - F.col("_top")) for n in names])
+        found = logs.withColumn("_top", top).agg(
+            F.count(F.lit(1)).alias("n"), F.sum(F.col("_top") + F.log(share)).alias("level")).first()
+        return found["n"], found["level"]
 
 
 def _summed(df: DataFrame, columns: list[str], partial: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:

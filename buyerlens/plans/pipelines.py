@@ -111,6 +111,9 @@ def current_segments(spark: SparkSession, root: str) -> DataFrame:
     table = spark.read.schema(CONTRACTS["customer_segments"].schema).parquet(f"{root}/segments")
     try:
         pointer = spark.read.parquet(f"{root}/current")
-    except AnalysisException:
+    except AnalysisException as error:
+        # only an absent pointer means that nothing was published
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         pointer = None
     return partitions.current_partition(table, pointer)

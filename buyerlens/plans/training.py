@@ -68,7 +68,7 @@ def evaluate_model(model: SegmentModel, features: DataFrame) -> tuple[DataFrame,
     metrics = cluster_metrics(labelled, "segment_id", model.preprocessor.outputs, with_inertia=False)
     metrics |= {"bic": None, "aic": None, "inertia": None}
     if isinstance(model.clusters, MixtureModel):
-        metrics["bic"], metrics["aic"] = model.clusters.information_criteria(features.count())
+        metrics["bic"], metrics["aic"] = model.clusters.information_criteria(*model.clusters.likelihood_of(labelled))
     else:
         metrics["inertia"] = model.clusters.with_distance(labelled).agg(F.sum("d2")).first()[0]
     return labelled.drop(*model.preprocessor.outputs), metrics

@@ -24,7 +24,7 @@ def read_landing_csv(spark: SparkSession, path: str, contract: Contract) -> Data
     Timestamps stay text until they are cleaned, codes keep their leading zeros."""
     return (
         spark.read.schema(contract.landing_schema)
-        .option("header", True).option("enforceSchema", False).csv(path)
+        .option("header", True).option("enforceSchema", False).option("escape", '"').csv(path)
     )
 
 
@@ -119,10 +119,11 @@ def missing_partitions(months: DataFrame, observed: DataFrame,
 def landed_partitions(spark: SparkSession, root: str) -> DataFrame:
     """(dataset, year, month) of the files under ``root/<dataset>/year=/month=``.
 
-    Lists files without opening them: the content column is never selected."""
+    Compressed files (``.csv.gz`` and the like) count. Lists files without opening
+    them: the content column is never selected."""
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv").load(root).select("path")
+        .option("pathGlobFilter", "*.csv*").load(root).select("path")
     )
     parts = F.regexp_extract("path", r"/([^/]+)/year=\d+/month=\d+/[^/]+$", 1)
     return files.select(
@@ -243,9 +244,14 @@ def load_features(spark: SparkSession, path: str, as_of: str | date, version: st
 
 
 def current_partition(table: DataFrame, pointer: DataFrame | None = None) -> DataFrame:
-    """Rows of the published as-of date, or of the greatest one without a pointer."""
+    """Rows of the published as-of date, or of the greatest one without a pointer.
+
+    The pointer's one date is read first, so that it prunes the stored partitions."""
     if pointer is not None:
-        return table.join(pointer.select("as_of_date"), "as_of_date", "left_semi")
+        dates = [row["as_of_date"] for row in pointer.select("as_of_date").distinct().limit(2).collect()]
+        if len(dates) > 1:
+            raise ValueError("the pointer names several as-of dates")
+        return table.where(F.col("as_of_date").isin(dates))
     newest = table.agg(F.max("as_of_date").alias("as_of_date"))
     return table.join(newest, "as_of_date", "left_semi")
 

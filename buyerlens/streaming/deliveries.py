@@ -10,19 +10,20 @@ from buyerlens.operators.sizing import broadcast_if_small
 from buyerlens.sources.partitions import write_partitions
 
 
-def delivery_stream(spark: SparkSession, landing: str, dataset: str,
-                    max_files: int | None = None) -> DataFrame:
+def delivery_stream(spark: SparkSession, landing: str, dataset: str) -> DataFrame:
     """Rows of new files under ``landing/<dataset>/year=/month=`` with their origin.
 
     A delivery is one new file per month, or all files of one Spark write. A file
     rewritten under its old name is not seen again, so deliveries carry distinct
-    names. ``max_files`` is for one-file deliveries only: it may split a larger one."""
+    names. A run takes all new files in one batch, so it does not split a delivery."""
     if dataset not in INCREMENTAL_DATASETS:
-        raise ValueError(f"Dataset incremental inválido: {dataset}")
+        raise ValueError(f"{dataset} is not delivered by month")
     schema = CONTRACTS[dataset].landing_schema.add("year", "integer").add("month", "integer")
-    reader = spark.readStream.schema(schema).option("header", True)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
+    reader = (
+        spark.readStream.schema(schema).option("header", True)
+        # columns in another order are an error, not swapped values
+        .option("enforceSchema", False).option("escape", '"')
+    )
     # the name up to the first dot, without the task number a Spark write puts before it
     stem = F.regexp_extract(F.col("_metadata.file_name"), r"^(?:part-\d+-)?([^.]+)", 1)
     return reader.csv(f"{landing}/{dataset}").select(
@@ -42,8 +43,7 @@ def newest_delivery(rows: DataFrame) -> DataFrame:
     return rows.join(broadcast_if_small(newest), ["year", "month", "_delivery"], "left_semi").drop("_delivery", "_delivered")
 
 
-def ingest_deliveries(spark: SparkSession, landing: str, processed: str, dataset: str, checkpoint: str,
-                      max_files: int | None = None) -> None:
+def ingest_deliveries(spark: SparkSession, landing: str, processed: str, dataset: str, checkpoint: str) -> None:
     """Process all deliveries that have arrived, then stop.
 
     A micro-batch overwrites exactly the months it touches and reads nothing back
@@ -54,7 +54,7 @@ def ingest_deliveries(spark: SparkSession, landing: str, processed: str, dataset
             write_partitions(newest_delivery(batch), f"{processed}/{dataset}", ["year", "month"])
 
     query = (
-        delivery_stream(spark, landing, dataset, max_files)
+        delivery_stream(spark, landing, dataset)
         .writeStream.foreachBatch(replace_months).trigger(availableNow=True)
         .option("checkpointLocation", f"{checkpoint}/{dataset}").start()
     )

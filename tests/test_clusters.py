@@ -191,6 +191,11 @@ def test_mixture_likelihood(blobs):
     assert (got == logs.argmax(axis=1)).all()
     bic, aic = model.information_criteria(100)
     assert bic - aic == pytest.approx(14 * (math.log(100) - 2))
+    # the criteria of other rows come from the likelihood of those rows
+    few = logs[:50]
+    n, level = model.likelihood_of(blobs.where("id < 50"))
+    assert n == 50 and level == pytest.approx(np.log(np.exp(few).sum(axis=1)).sum())
+    assert model.information_criteria(n, level)[1] == pytest.approx(28 - 2 * level)
 
 
 def test_unknown_algorithm(blobs):

@@ -1,10 +1,11 @@
 from __future__ import annotations
 
+import gzip
 import os
 import time
 
 import pytest
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, StreamingQueryException
 
 from buyerlens.contracts import CONTRACTS
 from buyerlens.sources import partitions as P
@@ -92,6 +93,34 @@ def test_current_partition(spark):
     assert [r.id for r in P.current_partition(table).collect()] == ["b"]
     pointer = spark.createDataFrame([("2018-01-01",)], "as_of_date string")
     assert [r.id for r in P.current_partition(table, pointer).collect()] == ["a"]
+    with pytest.raises(ValueError):
+        P.current_partition(table, table)
+
+
+def test_pointer_prunes_the_stored_table(spark, tmp_path):
+    rows = spark.createDataFrame([(i, f"2018-0{m}-01") for i in range(5) for m in (1, 2, 3)], "id int, as_of_date string")
+    P.write_partitions(rows, f"{tmp_path}/t", ["as_of_date"])
+    table = spark.read.schema("id int, as_of_date string").parquet(f"{tmp_path}/t")
+    current = P.current_partition(table, spark.createDataFrame([("2018-02-01",)], "as_of_date string"))
+    plan = current._jdf.queryExecution().executedPlan().toString()
+    assert current.count() == 5 and "2018-02-01" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
+
+
+def test_compressed_landing_files_count(spark, tmp_path):
+    landing, processed = f"{tmp_path}/landing", f"{tmp_path}/processed"
+    payments(landing, 7, "a", "o1,1,boleto,1,10.5")
+    customers(landing)
+    os.makedirs(f"{landing}/order_payments/year=2018/month=08")
+    with gzip.open(f"{landing}/order_payments/year=2018/month=08/b.csv.gz", "wt") as f:
+        f.write(f"{PAY}\no2,1,boleto,1,1.5\n")
+    assert P.ingest_window(spark, landing, processed, "2018-08-31", 60)["rows"]["order_payments"] == 2
+
+
+def test_swapped_columns_stop_the_stream(spark, tmp_path):
+    csv(f"{tmp_path}/l/order_payments/year=2018/month=07/a.csv",
+        "payment_type,order_id,payment_sequential,payment_installments,payment_value", "boleto,o1,1,1,1.0")
+    with pytest.raises(StreamingQueryException):
+        ingest_deliveries(spark, f"{tmp_path}/l", f"{tmp_path}/p", "order_payments", f"{tmp_path}/c")
 
 
 def test_children_inherit_their_month(spark):
