@@ -6,11 +6,12 @@ customer there, and so is each token that follows a word without a restaurant. T
 measure gives unknown words half of its mass and shares the rest among the known words.
 
 Counts (word, context) are dealt by word, so one task has a word's tables in all restaurants and in the
-parent. A Gibbs move takes a customer of a dish up and seats them anew: given ``c`` customers at ``t``
-tables, one sits alone with probability ``S(c-1, t-1) / S(c, t)`` (generalised Stirling numbers), and
-takes a new table with the odds ``(strength + discount * tables) * P(word | parent)`` to
-``c - 1 - discount * t``. Totals of whole restaurants are those of the pass before. Predictive
-probabilities are averaged over the samples after burn-in.
+parent. A sweep seats all customers of each dish anew, first in the contexts, then in the parent: ``t``
+tables for ``c`` customers have the probability ``~ S(c, t) * new ** t`` (generalised Stirling numbers),
+where a new table has the odds ``new = (strength + discount * tables) * P(word | parent)``. It is what
+single moves tend to, exact up to ``EXACT`` customers and by the saddle point above (`Seating`).
+Totals of whole restaurants are those of the pass before. Predictive probabilities are averaged over
+the samples after burn-in.
 
 Nothing grows in a single place: contexts are at most ``1 / context_share``, and words and pairs that
 are broadcast to the scorers hold at least ``heavy_share`` of the tokens, so there are at most
@@ -23,6 +24,7 @@ of their own. Without training tokens every token is unknown."""
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +39,7 @@ END_HASH = numbers(1, 211)[0]
 _PAIR = numbers(2, 223) | np.uint64(1)
 _DRAW = numbers(3, 227) | np.uint64(1)
 STIRLING = 64
+EXACT = 1024
 NO_CONTEXT = -1
 
 
@@ -47,7 +50,6 @@ class Settings:
     burn_in: int = 3
     samples: int = 3
     passes: int = 2
-    moves: int = 6
     strength: float = 1.0
     parent_strength: float = 10.0
     chunk_rows: int = 200_000
@@ -171,52 +173,106 @@ def _uniform(key: np.ndarray, *steps: int) -> np.ndarray:
     return (mix(x) >> np.uint64(11)).astype(np.float64) * 2.0**-53
 
 
-def alone_odds(discount: float, most: int = STIRLING) -> np.ndarray:
-    """``S(c-1, t-1) / S(c, t)`` for up to ``most`` customers: how likely one of ``c`` at ``t`` tables
-    sits alone."""
+def log_stirling(discount: float, most: int = STIRLING) -> np.ndarray:
+    """Logarithms of the generalised Stirling numbers ``S(c, t)`` for up to ``most`` customers."""
     log = np.full((most + 1, most + 1), -np.inf)
     log[1, 1] = 0
-    ratio = np.zeros((most + 1, most + 1))
-    ratio[1, 1] = 1
     t = np.arange(1, most + 1)
     with np.errstate(divide="ignore", invalid="ignore"):
         for c in range(2, most + 1):
-            stay = np.log(np.maximum(0, c - 1 - discount * t)) + log[c - 1, 1:]
-            log[c, 1:] = np.logaddexp(log[c - 1, :-1], stay)
-            ratio[c, 1:] = np.where(np.isfinite(log[c, 1:]), np.exp(log[c - 1, :-1] - log[c, 1:]), 0)
+            log[c, 1:] = np.logaddexp(log[c - 1, :-1], np.log(np.maximum(0, c - 1 - discount * t)) + log[c - 1, 1:])
+    return log
+
+
+def alone_odds(discount: float, most: int = STIRLING) -> np.ndarray:
+    """``S(c-1, t-1) / S(c, t)`` for up to ``most`` customers: how likely one of ``c`` at ``t`` tables
+    sits alone."""
+    log = log_stirling(discount, most)
+    ratio = np.zeros_like(log)
+    ratio[1, 1] = 1
+    held = np.isfinite(log[2:, 1:])
+    with np.errstate(invalid="ignore"):
+        ratio[2:, 1:] = np.where(held, np.exp(log[1:-1, :-1] - log[2:, 1:]), 0)
     return ratio
 
 
-def _seat(c, new, discount, key, step):
-    """Tables after seating ``c`` customers one after another; ``new`` are the odds of a new table. Above
-    some customers, a quarter as many come at once."""
-    t = np.minimum(c, 1).astype(np.float64)
-    m = t.copy()
-    go = np.flatnonzero(c > 1)
-    while len(go):
-        more = np.minimum(c[go] - m[go], np.maximum(1, m[go] // 4))
-        expected = more * new[go] / (new[go] + m[go] - discount * t[go])
-        m[go] += more
-        step += 1
-        t[go] = np.minimum(t[go] + np.floor(expected + _uniform(key[go], 1000 + step)), m[go])
-        go = go[m[go] < c[go]]
-    return t
-
-
-def _move(c, t, new, discount, alone, key, sweep, moves):
-    """Gibbs moves: take a customer of each dish up, seat them anew."""
-    for j in range(moves):
-        go = np.flatnonzero(c > max(1, j))
-        if not len(go):
-            break
-        cc, tt = c[go], t[go]
-        few = cc <= STIRLING
-        p = np.where(few, alone[np.where(few, cc, 1).astype(np.int64), np.where(few, tt, 1).astype(np.int64)],
-                     np.minimum(1, discount * tt / cc))
-        tt = tt - ((_uniform(key[go], sweep, j, 0) < p) & (tt > 1))
-        odds = new[go] / (new[go] + cc - 1 - discount * tt)
-        t[go] = tt + (_uniform(key[go], sweep, j, 1) < odds)
-    return t
+class Seating:
+    """Draws the tables of dishes with ``c`` customers from ``P(t) ~ S(c, t) * new ** t``, where ``new``
+    are the odds of a new table: all customers of a dish are seated anew at once.
+
+    Up to ``EXACT`` customers the numbers are exact. Above, ``S(c, t) / S(c, t - 1)`` comes from how
+    likely a customer sits alone, by the saddle point: tables have sizes of the law with the generating
+    function ``1 - (1 - z) ** discount``, tilted to the mean ``c / t``, corrected as at ``EXACT`` customers."""
+
+    def __init__(self, discount: float):
+        self.discount, self.log = discount, log_stirling(discount, EXACT)
+        rest = np.concatenate([-np.log1p(-np.geomspace(1e-7, 0.5, 4000)), np.linspace(np.log(2), 690, 8000)[1:]])
+        z, some = -np.expm1(-rest), -np.expm1(-discount * rest)
+        self.size = np.log(discount * z / some) + (1 - discount) * rest
+        self.single = discount * z / some
+        # where one table holds nearly all, which depends on t / c ** discount, the saddle point is corrected
+        t = np.arange(2, EXACT + 1)
+        self.spread = np.log(t) - discount * np.log(EXACT)
+        self.factor = np.ones(len(t))
+        self.factor = np.exp(self.log[EXACT - 1, t - 1] - self.log[EXACT, t]) / self._alone(float(EXACT), t)
+
+    def _alone(self, c, t):
+        odds = (t - 1) / c * np.interp(np.log(c / t), self.size, self.single)
+        return np.minimum(odds * np.interp(np.log(t) - self.discount * np.log(c), self.spread, self.factor), 1 - 1e-9)
+
+    def _ratio(self, c, t, log_new):
+        """``log(P(t) / P(t - 1))`` for ``t`` of at least 2."""
+        if c.max() <= EXACT:
+            n, at = c.astype(np.int64), np.clip(t, 2, c).astype(np.int64)
+            return log_new + self.log[n, at] - self.log[n, at - 1]
+        return log_new + np.log1p(-self._alone(c, t - 1)) - np.log(self._alone(c, t)) - np.log(c - 1 - self.discount * (t - 1))
+
+    def _many(self, c, log_new, u):
+        low, high = np.ones(len(c)), c.copy()
+        for _ in range(int(np.log2(c.max())) + 2):
+            at = np.ceil((low + high) / 2)
+            up = (at > 1) & (self._ratio(c, np.maximum(at, 2), log_new) >= 0)
+            low, high = np.where(up, at, low), np.where(up, high, np.maximum(low, at - 1))
+        near = np.clip(low, 2, c - 1)
+        far = np.minimum(near + np.maximum(1, near // 8), c)
+        fall = self._ratio(c, near, log_new) - self._ratio(c, far, log_new)
+        width = np.sqrt(np.maximum(1, far - near) / np.maximum(fall, 1e-9))
+        # 128 places, eight deviations to each side of the mode
+        stride = np.maximum(1, np.ceil(width / 8))
+        place = np.maximum(1, low - 64 * stride)[:, None] + stride[:, None] * np.arange(128)
+        middle = np.minimum(place[:, :-1] + (stride[:, None] + 1) / 2, c[:, None])
+        weight = np.zeros(place.shape)
+        np.cumsum(stride[:, None] * self._ratio(c[:, None], middle, log_new[:, None]), axis=1, out=weight[:, 1:])
+        weight[place > c[:, None]] = -np.inf
+        total = np.cumsum(np.exp(weight - weight.max(axis=1, keepdims=True)), axis=1)
+        wanted = u * total[:, -1]
+        i = np.minimum((total <= wanted[:, None]).sum(axis=1), place.shape[1] - 1)
+        row = np.arange(len(c))
+        under = np.where(i > 0, total[row, np.maximum(i - 1, 0)], 0)
+        inside = (wanted - under) / np.maximum(total[row, i] - under, 1e-300)
+        return np.clip(place[row, i] + np.floor(np.clip(inside, 0, 1) * stride) - stride // 2, 1, c)
+
+    def draw(self, c, new, key, *steps: int):
+        t = np.minimum(c, 1).astype(np.float64)
+        few = np.flatnonzero((c > 1) & (c <= STIRLING))
+        few = few[np.argsort(c[few], kind="stable")]
+        u, log_new = _uniform(key, *steps), np.log(new)
+        for n in range(2, STIRLING + 1):
+            rows = few[np.searchsorted(c[few], n) : np.searchsorted(c[few], n, side="right")]
+            if len(rows):
+                w = self.log[n, 1 : n + 1] + log_new[rows, None] * np.arange(1, n + 1)
+                total = np.cumsum(np.exp(w - w.max(axis=1, keepdims=True)), axis=1)
+                t[rows] = 1 + np.minimum((total <= (u[rows] * total[:, -1])[:, None]).sum(axis=1), n - 1)
+        for many in (np.flatnonzero((c > STIRLING) & (c <= EXACT)), np.flatnonzero(c > EXACT)):
+            for at in range(0, len(many), 4096):
+                rows = many[at : at + 4096]
+                t[rows] = self._many(c[rows].astype(np.float64), log_new[rows], u[rows])
+        return t
+
+
+@lru_cache(maxsize=4)
+def seating(discount: float) -> Seating:
+    return Seating(discount)
 
 
 @dataclass
@@ -239,7 +295,7 @@ def _sample(h, u, c, totals: Totals, types: int, discounts, s: Settings, keep: b
     dish = np.cumsum(new_dish) - 1
     direct = u < 0
     c = c.astype(np.float64)
-    alone, alone0 = alone_odds(d), alone_odds(d0)
+    seats, seats0 = seating(d), seating(d0)
     base = 0.5 / max(1, types)
     parent_new = np.full(len(first), (s.parent_strength + d0 * totals.parent_tables) * base)
     at = np.maximum(u, 0)
@@ -252,16 +308,14 @@ def _sample(h, u, c, totals: Totals, types: int, discounts, s: Settings, keep: b
 
     t = np.where(direct, 0, 1.0)
     above = customers(t)
-    t0 = _seat(above, parent_new, d0, key[first], 0)
+    t0 = seats0.draw(above, parent_new, key[first], 0, 1)
     p = (above - d0 * t0 + parent_new) / total
     mine = np.flatnonzero(~direct)
-    t[mine] = _seat(c[mine], scale[mine] * p[dish[mine]], d, key[mine], 50)
     mean, mean_pair = np.zeros(len(first)), np.zeros(len(h))
     for sweep in range(s.burn_in + s.samples):
-        t[mine] = _move(c[mine], t[mine], scale[mine] * p[dish[mine]], d, alone, key[mine], sweep, s.moves)
+        t[mine] = seats.draw(c[mine], scale[mine] * p[dish[mine]], key[mine], sweep, 0)
         above = customers(t)
-        t0 = np.clip(t0, 1, above)
-        t0 = _move(above, t0, parent_new, d0, alone0, key[first], 100 + sweep, s.moves)
+        t0 = seats0.draw(above, parent_new, key[first], 1 + sweep, 1)
         p = (above - d0 * t0 + parent_new) / total
         if sweep >= s.burn_in:
             mean += p

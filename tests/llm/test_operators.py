@@ -188,6 +188,19 @@ def test_odds_of_sitting_alone():
         assert odds[c, t] == pytest.approx(stirling.get((c - 1, t - 1), 1.0 if c == 1 else 0) / s)
 
 
+@pytest.mark.parametrize("c, new", [(7, 0.4), (64, 3.0), (65, 0.02), (400, 5.0), (400, 0.3), (900, 300.0), (2000, 0.3), (2000, 40.0)])
+def test_a_sweep_seats_all_customers_of_a_dish(c, new):
+    """Table counts against the law ``S(c, t) * new ** t`` from whole Stirling numbers."""
+    log = pitman_yor.log_stirling(0.6, c)[c, 1:] + np.arange(1, c + 1) * math.log(new)
+    law = np.exp(log - log.max())
+    law, t, n = law / law.sum(), np.arange(1, c + 1), 40_000
+    mean = (law * t).sum()
+    deviation = math.sqrt((law * (t - mean) ** 2).sum())
+    got = pitman_yor.Seating(0.6).draw(np.full(n, c), np.full(n, new), words.numbers(n, 5), 0, 0)
+    assert abs(got.mean() - mean) < 5 * deviation / math.sqrt(n) + 0.01 * mean
+    assert got.std() == pytest.approx(deviation, rel=0.05) and got.min() >= 1 and got.max() <= c
+
+
 def test_quality_measures(docs, empty):
     got = {r.doc_id: r for r in quality_divergence.divergence_report(docs).collect()}
     for r in docs.collect():
