@@ -1,9 +1,8 @@
 """A hierarchical Pitman-Yor language model, sampled over a cluster, and texts scored with it.
 
-Words that hold ``context_share`` of all training tokens each open a context restaurant; the words that
-follow them are its customers. All context restaurants share one parent: each of their tables is a
-customer there, and so is each token that follows a word without a restaurant. The parent's base
-measure gives unknown words half of its mass and shares the rest among the known words.
+Each word that occurs opens a context restaurant; the words that follow it are its customers. All context
+restaurants share one parent: each of their tables is a customer there. The parent's base measure gives
+unknown words half of its mass and shares the rest among the known words.
 
 Counts (word, context) are dealt by word, so one task has a word's tables in all restaurants and in the
 parent. A sweep seats all customers of each dish anew, first in the contexts, then in the parent: ``t``
@@ -13,9 +12,11 @@ single moves tend to, exact up to ``EXACT`` customers and by the saddle point ab
 Totals of whole restaurants are those of the pass before. Predictive probabilities are averaged over
 the samples after burn-in.
 
-Nothing grows in a single place: contexts are at most ``1 / context_share``, and words and pairs that
-are broadcast to the scorers hold at least ``heavy_share`` of the tokens, so there are at most
-``1 / heavy_share``. All others meet the model by a shuffle.
+Nothing grows in a single place: totals of restaurants are a table keyed by context that meets the counts
+by a shuffle, and a word after more than ``chunk_rows`` contexts is split over tasks, which take its
+customers in the parent from the pass before. Words and pairs that are broadcast to the scorers hold at
+least ``heavy_share`` of the tokens, so there are at most ``1 / heavy_share`` of each. All others meet
+the model by a shuffle.
 
 Random numbers are hashes of what they are for: reruns agree, whatever the partitions. A null text is
 empty and has the end token alone; a null id counts as empty text for the split; repeated rows are rows
@@ -40,12 +41,10 @@ _PAIR = numbers(2, 223) | np.uint64(1)
 _DRAW = numbers(3, 227) | np.uint64(1)
 STIRLING = 64
 EXACT = 1024
-NO_CONTEXT = -1
 
 
 @dataclass(frozen=True)
 class Settings:
-    context_share: float = 1 / 512
     heavy_share: float = 1 / (1 << 20)
     burn_in: int = 3
     samples: int = 3
@@ -58,12 +57,11 @@ class Settings:
 @dataclass
 class Model:
     """Fitted state. ``table`` holds ``key, base, score, known``: what a word or a pair adds to the
-    scores of a text that has been scored as if the word were unknown and its context new."""
+    scores of a text that has been scored as if all words and contexts were new. A word's score holds what
+    it adds as the context of the next: each text has every token, its end too, once as a context."""
 
     tokens: int
     types: int
-    contexts: np.ndarray
-    backoff: np.ndarray
     unknown: float
     table: DataFrame
     heavy: list[np.ndarray] = field(default_factory=list)
@@ -97,7 +95,7 @@ def _place(known: np.ndarray, wanted: np.ndarray) -> np.ndarray:
 
 
 def _pair_key(word: np.ndarray, context: np.ndarray) -> np.ndarray:
-    return mix(word * _PAIR[0] + (context + 2).astype(np.uint64) * _PAIR[1])
+    return mix(word * _PAIR[0] + mix(context) * _PAIR[1])
 
 
 def _texts(batch, column: int):
@@ -106,64 +104,24 @@ def _texts(batch, column: int):
         yield low, high, _tokens(data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low])
 
 
-def _summed(parts: list) -> tuple[np.ndarray, np.ndarray]:
-    keys = np.concatenate([p[0] for p in parts])
-    distinct, inverse = np.unique(keys, return_inverse=True)
-    return distinct, np.bincount(inverse, weights=np.concatenate([p[1] for p in parts])).astype(np.int64)
-
-
-def _frequent(share: float):
-    def run(batches):
-        for batch in batches:
-            h, n = _summed([np.unique(t, return_counts=True) for _, _, (t, _) in _texts(batch, 0)] or [(np.zeros(0, np.uint64), np.zeros(0))])
-            yield pa.RecordBatch.from_pydict({"h": pa.array(h[n >= share * n.sum()].view(np.int64))})
-    return run
-
-
-def _counted(candidates: np.ndarray):
-    def run(batches):
-        counts, total = np.zeros(len(candidates), dtype=np.int64), 0
-        for batch in batches:
-            for _, _, (tokens, _) in _texts(batch, 0):
-                at = _place(candidates, tokens)
-                counts += np.bincount(at[at >= 0], minlength=len(candidates))
-                total += len(tokens)
+def _pairs(batches):
+    """Per batch: how often each token follows each other."""
+    for batch in batches:
+        keys, sample, counts = [], [], []
+        for _, _, (tokens, _) in _texts(batch, 0):
+            context = _previous(tokens)
+            key, first, n = np.unique(_pair_key(tokens, context), return_index=True, return_counts=True)
+            keys.append(key)
+            counts.append(n)
+            sample.append((tokens[first], context[first]))
+        if not keys:
+            continue
+        key, first, inverse = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
         yield pa.RecordBatch.from_pydict({
-            "i": pa.array(np.arange(-1, len(counts)), pa.int32()), "n": pa.array(np.append([total], counts), pa.int64()),
+            "h": pa.array(np.concatenate([s[0] for s in sample])[first].view(np.int64)),
+            "u": pa.array(np.concatenate([s[1] for s in sample])[first].view(np.int64)),
+            "c": pa.array(np.bincount(inverse, weights=np.concatenate(counts)).astype(np.int64)),
         })
-    return run
-
-
-def frequent_contexts(texts: DataFrame, share: float) -> np.ndarray:
-    """Tokens that hold at least ``share`` of all. Such a token holds it in some batch, so the first pass
-    names it, and the second counts all that were named. Both return bounded rows for each batch."""
-    named = np.sort(np.array(
-        [r.h for r in texts.mapInArrow(_frequent(share), "h long").distinct().collect()], dtype=np.int64).view(np.uint64))
-    rows = texts.mapInArrow(_counted(named), "i int, n long").groupBy("i").agg(F.sum("n").alias("n")).collect()
-    n = {r.i: r.n for r in rows}
-    return named[[n.get(i, 0) >= share * n.get(-1, 0) for i in range(len(named))]] if len(named) else named
-
-
-def _pairs(contexts: np.ndarray):
-    """Per batch: how often each token follows each context, or none."""
-    def run(batches):
-        for batch in batches:
-            keys, sample, counts = [], [], []
-            for _, _, (tokens, _) in _texts(batch, 0):
-                context = _place(contexts, _previous(tokens))
-                key, first, n = np.unique(_pair_key(tokens, context), return_index=True, return_counts=True)
-                keys.append(key)
-                counts.append(n)
-                sample.append((tokens[first], context[first]))
-            if not keys:
-                continue
-            key, first, inverse = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
-            yield pa.RecordBatch.from_pydict({
-                "h": pa.array(np.concatenate([s[0] for s in sample])[first].view(np.int64)),
-                "u": pa.array(np.concatenate([s[1] for s in sample])[first], pa.int32()),
-                "c": pa.array(np.bincount(inverse, weights=np.concatenate(counts)).astype(np.int64)),
-            })
-    return run
 
 
 def _uniform(key: np.ndarray, *steps: int) -> np.ndarray:
@@ -277,62 +235,79 @@ def seating(discount: float) -> Seating:
 
 @dataclass
 class Totals:
-    """Whole restaurants: customers and tables of each context and of the parent."""
+    """The whole parent restaurant: its customers and tables."""
+
+    customers: float
+    tables: float
+
+
+_ROWS = ("h", "u", "part", "c", "customers", "tables", "above", "leads")
 
-    customers: np.ndarray
-    tables: np.ndarray
-    parent_customers: float
-    parent_tables: float
 
+def _placed(counts: DataFrame, words_: DataFrame, rows: int) -> DataFrame:
+    """Counts beside the totals of their context, dealt by word. A word after more than ``rows`` contexts
+    has several parts, which know its customers in the parent, ``above``; the one that leads has its row."""
+    split = words_.where(F.col("contexts") > rows).select("h", "above", "lead", F.ceil(F.col("contexts") / rows).alias("parts"))
+    beside = counts.join(words_.select(F.col("h").alias("u"), "customers", "tables"), "u").join(F.broadcast(split), "h", "left")
+    part = F.coalesce(F.pmod(F.xxhash64("u"), F.col("parts")), F.lit(0)).cast("int")
+    return beside.select(
+        "h", "u", part.alias("part"), "c", F.col("customers").cast("double").alias("customers"), F.col("tables").cast("double").alias("tables"),
+        F.coalesce(F.col("above").cast("double"), F.lit(-1.0)).alias("above"),
+        F.coalesce(F.col("lead") == F.col("u"), F.lit(True)).cast("int").alias("leads"),
+    ).repartition("h", "part").sortWithinPartitions("h", "part", "u")
 
-def _sample(h, u, c, totals: Totals, types: int, discounts, s: Settings, keep: bool):
-    """Sample the tables of whole dishes; rows are sorted by ``h`` and then by ``u``."""
+
+def _sample(chunk, totals: Totals, types: int, discounts, s: Settings, keep: bool):
+    """Sample the tables of whole dishes, or parts of them; rows are sorted by ``h``, ``part`` and ``u``."""
+    h, u, part, c, customers, tables, known_above, leads = chunk
     d, d0 = discounts
-    key = _pair_key(h, u.astype(np.int64))
+    key = _pair_key(h, u)
     new_dish = np.ones(len(h), dtype=bool)
-    new_dish[1:] = h[1:] != h[:-1]
+    new_dish[1:] = (h[1:] != h[:-1]) | (part[1:] != part[:-1])
     first = np.flatnonzero(new_dish)
     dish = np.cumsum(new_dish) - 1
-    direct = u < 0
+    dish_key = mix(h[first])
+    leads = np.maximum.reduceat(leads, first)
     c = c.astype(np.float64)
     seats, seats0 = seating(d), seating(d0)
     base = 0.5 / max(1, types)
-    parent_new = np.full(len(first), (s.parent_strength + d0 * totals.parent_tables) * base)
-    at = np.maximum(u, 0)
-    scale = np.where(direct, 0, s.strength + d * totals.tables[at])
-    room = s.strength + totals.customers[at]
-    total = s.parent_strength + totals.parent_customers
-
-    def customers(t):
-        return np.add.reduceat(np.where(direct, c, t), first)
-
-    t = np.where(direct, 0, 1.0)
-    above = customers(t)
-    t0 = seats0.draw(above, parent_new, key[first], 0, 1)
+    parent_new = np.full(len(first), (s.parent_strength + d0 * totals.tables) * base)
+    scale = s.strength + d * tables
+    room = s.strength + customers
+    total = s.parent_strength + totals.customers
+
+    def above_of(t):
+        return np.where(known_above[first] >= 0, known_above[first], np.add.reduceat(t, first))
+
+    t = np.ones(len(h))
+    above = above_of(t)
+    t0 = seats0.draw(above, parent_new, dish_key, 0, 1)
     p = (above - d0 * t0 + parent_new) / total
-    mine = np.flatnonzero(~direct)
     mean, mean_pair = np.zeros(len(first)), np.zeros(len(h))
     for sweep in range(s.burn_in + s.samples):
-        t[mine] = seats.draw(c[mine], scale[mine] * p[dish[mine]], key[mine], sweep, 0)
-        above = customers(t)
-        t0 = seats0.draw(above, parent_new, key[first], 1 + sweep, 1)
+        t = seats.draw(c, scale * p[dish], key, sweep, 0)
+        above = above_of(t)
+        t0 = seats0.draw(above, parent_new, dish_key, 1 + sweep, 1)
         p = (above - d0 * t0 + parent_new) / total
         if sweep >= s.burn_in:
             mean += p
             mean_pair += (c - d * t + scale * p[dish]) / room
     if not keep:
-        return np.bincount(at[mine], weights=t[mine], minlength=len(totals.tables)), above.sum(), t0.sum()
-    return first, dish, mean / s.samples, mean_pair / s.samples
+        return first, t, np.add.reduceat(t, first), t0 * leads
+    return first, dish, leads, mean / s.samples, mean_pair / s.samples, scale / room
 
 
 def _dishes(batches, rows: int):
-    """Chunks of whole dishes as arrays h, u, c."""
+    """Chunks of whole dishes, or whole parts of dishes, as arrays."""
     held: list = []
     size = 0
 
-    def joined():
+    def arrays():
         table = pa.Table.from_batches(held)
-        return [table.column(i).to_numpy() for i in range(3)]
+        return [table.column(name).to_numpy() for name in _ROWS]
+
+    def chunk(x):
+        return [x[0].view(np.uint64), x[1].view(np.uint64), *x[2:]]
 
     for batch in batches:
         if not batch.num_rows:
@@ -340,43 +315,44 @@ def _dishes(batches, rows: int):
         held.append(batch)
         size += batch.num_rows
         if size >= rows:
-            h, u, c = joined()
-            cut = int(np.searchsorted(h, h[-1]))  # the last dish may go on
-            if cut:
-                yield h[:cut].view(np.uint64), u[:cut], c[:cut]
-                held = [pa.RecordBatch.from_arrays([pa.array(x[cut:]) for x in (h, u, c)], names=["h", "u", "c"])]
-                size = len(h) - cut
+            x = arrays()
+            other = np.flatnonzero((x[0] != x[0][-1]) | (x[2] != x[2][-1]))
+            if len(other):  # the last dish may go on
+                cut = int(other[-1]) + 1
+                yield chunk([a[:cut] for a in x])
+                held = [pa.RecordBatch.from_arrays([pa.array(a[cut:]) for a in x], names=list(_ROWS))]
+                size -= cut
     if size:
-        h, u, c = joined()
-        yield h.view(np.uint64), u, c
+        yield chunk(arrays())
 
 
 def _totals_of(totals, types, discounts, s):
+    """Per chunk: tables of each context, customers and tables of each word in the parent."""
     def run(batches):
-        for h, u, c in _dishes(batches, s.chunk_rows):
-            tables, above, t0 = _sample(h, u, c, totals, types, discounts, s, keep=False)
-            values = np.concatenate([[above, t0], tables])
+        for chunk in _dishes(batches, s.chunk_rows):
+            first, t, above, t0 = _sample(chunk, totals, types, discounts, s, keep=False)
+            context, at = np.unique(chunk[1], return_inverse=True)
+            none, nothing = np.zeros(len(context)), np.zeros(len(first))
             yield pa.RecordBatch.from_pydict({
-                "i": pa.array(np.arange(-2, len(tables)), pa.int32()), "n": pa.array(values, pa.float64())})
+                "h": pa.array(np.concatenate([context, chunk[0][first]]).view(np.int64)),
+                "tables": pa.array(np.concatenate([np.bincount(at, weights=t), nothing])),
+                "above": pa.array(np.concatenate([none, above])), "t0": pa.array(np.concatenate([none, t0])),
+            })
     return run
 
 
-def _scores_of(totals, types, tokens, discounts, backoff, unknown, s):
+def _scores_of(totals, types, discounts, unknown, s):
     """Rows of the model's table; ``n`` is the count by which a row is heavy."""
-    half = 0.5
-
     def run(batches):
-        for h, u, c in _dishes(batches, s.chunk_rows):
-            first, dish, p, pair = _sample(h, u, c, totals, types, discounts, s, keep=True)
-            count = np.add.reduceat(c, first)
-            rows = np.flatnonzero(u >= 0)
-            delta = np.log10(pair[rows]) - np.log10(backoff[u[rows]] * p[dish[rows]])
+        for chunk in _dishes(batches, s.chunk_rows):
+            h, u, c = chunk[0], chunk[1], chunk[3]
+            first, dish, leads, p, pair, backoff = _sample(chunk, totals, types, discounts, s, keep=True)
+            own = np.flatnonzero(leads)
             yield pa.RecordBatch.from_pydict({
-                "key": pa.array(np.concatenate([h[first], _pair_key(h[rows], u[rows].astype(np.int64))]).view(np.int64)),
-                "base": pa.array(np.concatenate([np.log10((count + half) / half), np.zeros(len(rows))])),
-                "score": pa.array(np.concatenate([np.log10(p / unknown), delta])),
-                "known": pa.array(np.repeat([1, 0], [len(first), len(rows)]), pa.int32()),
-                "n": pa.array(np.concatenate([count, c[rows]])),
+                "key": pa.array(np.concatenate([h[first[own]], _pair_key(h, u)]).view(np.int64)),
+                "score": pa.array(np.concatenate([np.log10(p[own] / unknown), np.log10(pair) - np.log10(backoff * p[dish])])),
+                "known": pa.array(np.repeat([1, 0], [len(own), len(h)]), pa.int32()),
+                "n": pa.array(np.concatenate([np.zeros(len(own), dtype=np.int64), c])),
             })
     return run
 
@@ -384,44 +360,43 @@ def _scores_of(totals, types, tokens, discounts, backoff, unknown, s):
 def fit(docs: DataFrame, settings: Settings = Settings()) -> Model:
     """The model of all rows of ``docs(text)``."""
     texts = docs.select(F.col("text").cast("string"))
-    contexts = frequent_contexts(texts, settings.context_share)
-    counts = checkpointed(
-        texts.mapInArrow(_pairs(contexts), "h long, u int, c long").repartition("h").groupBy("h", "u")
-        .agg(F.sum("c").alias("c")).sortWithinPartitions("h", "u")
-    )
-    of_dish = counts.groupBy("h").agg(F.sum("c").alias("c"), F.sum(F.when(F.col("u") < 0, F.col("c")).otherwise(1)).alias("above"))
-    row = of_dish.agg(
+    counts = checkpointed(texts.mapInArrow(_pairs, "h long, u long, c long").groupBy("h", "u").agg(F.sum("c").alias("c")))
+    # every token is a context as often as a word, as each text's end comes before its first word
+    of_dish = counts.groupBy("h").agg(F.sum("c").alias("c"), F.count("*").alias("contexts"), F.min("u").alias("lead"))
+    of_context = counts.groupBy(F.col("u").alias("h")).agg(F.sum("c").alias("customers"), F.count("*").cast("double").alias("tables"))
+    words_ = checkpointed(of_dish.join(of_context, "h").withColumn("above", F.col("contexts").cast("double")))
+    row = words_.agg(
         F.count("*").alias("types"), F.coalesce(F.sum("c"), F.lit(0)).alias("tokens"), F.coalesce(F.sum("above"), F.lit(0)).alias("above"),
         F.count_if(F.col("above") == 1).alias("n1"), F.count_if(F.col("above") == 2).alias("n2"),
     ).first()
-    of_context = {r.u: r for r in counts.where("u >= 0").groupBy("u").agg(
-        F.sum("c").alias("c"), F.count("*").alias("t"), F.count_if(F.col("c") == 1).alias("n1"), F.count_if(F.col("c") == 2).alias("n2")).collect()}
-    n = len(contexts)
-    totals = Totals(
-        np.array([of_context[i].c if i in of_context else 0 for i in range(n)], dtype=float),
-        np.array([of_context[i].t if i in of_context else 0 for i in range(n)], dtype=float),
-        float(row.above), float(row.types))
+    pair = counts.agg(F.count_if(F.col("c") == 1).alias("n1"), F.count_if(F.col("c") == 2).alias("n2")).first()
+    totals = Totals(float(row.above), float(row.types))
 
     def discount(n1: int, n2: int) -> float:
         return min(0.95, max(0.1, n1 / (n1 + 2 * n2))) if n1 + n2 else 0.5
 
-    discounts = (discount(sum(r.n1 for r in of_context.values()), sum(r.n2 for r in of_context.values())), discount(row.n1, row.n2))
+    discounts = (discount(pair.n1, pair.n2), discount(row.n1, row.n2))
     for _ in range(settings.passes - 1):
-        found = {r.i: r.n for r in counts.mapInArrow(
-            _totals_of(totals, row.types, discounts, settings), "i int, n double").groupBy("i").agg(F.sum("n").alias("n")).collect()}
-        if found:
-            totals = Totals(totals.customers, np.array([found.get(i, 0.0) for i in range(n)]), found[-2], found[-1])
-    backoff = (settings.strength + discounts[0] * totals.tables) / (settings.strength + totals.customers)
-    unknown = 0.5 * (settings.parent_strength + discounts[1] * totals.parent_tables) / (settings.parent_strength + totals.parent_customers)
-    table = checkpointed(counts.mapInArrow(
-        _scores_of(totals, row.types, row.tokens, discounts, backoff, unknown, settings),
-        "key long, base double, score double, known int, n long"))
+        found = _placed(counts, words_, settings.chunk_rows).mapInArrow(
+            _totals_of(totals, row.types, discounts, settings), "h long, tables double, above double, t0 double")
+        found = found.groupBy("h").agg(*[F.sum(name).alias(name) for name in ("tables", "above", "t0")])
+        words_ = checkpointed(words_.drop("tables", "above", "t0").join(found, "h"))
+        whole = words_.agg(F.sum("above").alias("above"), F.sum("t0").alias("t0")).first()
+        totals = Totals(whole.above or 0.0, whole.t0 or 0.0)
+    unknown = 0.5 * (settings.parent_strength + discounts[1] * totals.tables) / (settings.parent_strength + totals.customers)
+    rows = checkpointed(_placed(counts, words_, settings.chunk_rows).mapInArrow(
+        _scores_of(totals, row.types, discounts, unknown, settings), "key long, score double, known int, n long"))
+    half = 0.5
+    backoff = F.log10((settings.strength + discounts[0] * F.col("tables")) / (settings.strength + F.col("customers")))
+    of_word = words_.select(F.col("h").alias("key"), F.log10((F.col("c") + half) / half).alias("base"), backoff.alias("backoff"), F.col("c").alias("n"))
+    table = rows.where("known = 0").select("key", F.lit(0.0).alias("base"), "score", "known", "n").unionAll(
+        rows.where("known = 1").drop("n").join(of_word, "key").select("key", "base", (F.col("score") + F.col("backoff")).alias("score"), "known", "n"))
     most = max(1.0, settings.heavy_share * row.tokens)
     heavy = table.where(F.col("n") >= most).select("key", "base", "score", "known").toArrow()
     heavy = [heavy.column(i).to_numpy() for i in range(4)]
     order = np.argsort(heavy[0].view(np.uint64))
     heavy = [heavy[0].view(np.uint64)[order], *(x[order] for x in heavy[1:])]
-    return Model(row.tokens, row.types, contexts, backoff, unknown, table.where(F.col("n") < most).drop("n"), heavy)
+    return Model(row.tokens, row.types, unknown, table.where(F.col("n") < most).drop("n"), heavy)
 
 
 def _local(broadcast, tokens_total: int, types: int, unknown: float):
@@ -429,16 +404,14 @@ def _local(broadcast, tokens_total: int, types: int, unknown: float):
     base_unknown = float(np.log10(0.5 / (tokens_total + 0.5 * (types + 1))))
 
     def run(batches):
-        contexts, backoff, key, base, score, known = broadcast.value
-        log_backoff, log_unknown = np.log10(backoff), float(np.log10(unknown))
+        key, base, score, known = broadcast.value
+        log_unknown = float(np.log10(unknown))
         row_id = TaskContext.get().partitionId() << 33
         for batch in batches:
             for low, high, (tokens, begin) in _texts(batch, 1):
                 rows = high - low
                 row = np.repeat(np.arange(rows), np.diff(begin))
-                context = _place(contexts, _previous(tokens))
-                inside = context >= 0
-                pair = _pair_key(tokens[inside], context[inside])
+                pair = _pair_key(tokens, _previous(tokens))
                 at_word, at_pair = _place(key, tokens), _place(key, pair)
                 word, both = at_word >= 0, at_pair >= 0
                 sums = []
@@ -446,11 +419,9 @@ def _local(broadcast, tokens_total: int, types: int, unknown: float):
                     x = np.full(len(tokens), default, dtype=float)
                     x[word] += value[at_word[word]]
                     sums.append(x)
-                step = np.zeros(int(inside.sum()))
-                step[both] = score[at_pair[both]]
-                sums[1][inside] += log_backoff[context[inside]] + step
+                sums[1][both] += score[at_pair[both]]
                 ask = np.concatenate([tokens[~word], pair[~both]])
-                ask_row = np.concatenate([row[~word], row[inside][~both]])
+                ask_row = np.concatenate([row[~word], row[~both]])
                 code, first, n = np.unique(mix(ask ^ mix(ask_row.astype(np.uint64))), return_index=True, return_counts=True)
                 ids = row_id + np.arange(rows)
                 row_id += rows
@@ -476,7 +447,7 @@ def _local(broadcast, tokens_total: int, types: int, unknown: float):
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
-    sent = docs.sparkSession.sparkContext.broadcast((model.contexts, model.backoff, *model.heavy))
+    sent = docs.sparkSession.sparkContext.broadcast(tuple(model.heavy))
     asked = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         _local(sent, model.tokens, model.types, model.unknown),
         "row long, key long, n long, doc_id long, n_tokens long, base_own double, score_own double, known_own long")

@@ -188,6 +188,21 @@ def test_odds_of_sitting_alone():
         assert odds[c, t] == pytest.approx(stirling.get((c - 1, t - 1), 1.0 if c == 1 else 0) / s)
 
 
+def test_rare_words_are_contexts_too(spark):
+    """300 words that each hold 1/1200 of the tokens tell what follows them, however dishes are split."""
+    train = spark.createDataFrame([(f"a{i} b{i} x",) for i in range(300) for _ in range(3)], "text string")
+    texts = spark.createDataFrame([(0, "a1 b1 x"), (1, "a1 b2 x"), (2, "new b2 x"), (3, "b1 new")], "doc_id long, text string")
+    scores = []
+    for rows in (200_000, 20):
+        model = pitman_yor.fit(train, pitman_yor.Settings(chunk_rows=rows))
+        scores.append([r.score for r in pitman_yor.score(texts, model).orderBy("doc_id").collect()])
+    for a in scores:
+        assert a[0] > a[1] + 1.5 and all(x < 0 for x in a)
+    # P(b1 | a1) is near (3 - discount) / (3 + strength), P(a1 | end) is 1/300
+    assert 10 ** scores[0][0] == pytest.approx(0.6 / 300, rel=0.4)
+    assert scores[1] == pytest.approx(scores[0], abs=0.3)
+
+
 @pytest.mark.parametrize("c, new", [(7, 0.4), (64, 3.0), (65, 0.02), (400, 5.0), (400, 0.3), (900, 300.0), (2000, 0.3), (2000, 40.0)])
 def test_a_sweep_seats_all_customers_of_a_dish(c, new):
     """Table counts against the law ``S(c, t) * new ** t`` from whole Stirling numbers."""
