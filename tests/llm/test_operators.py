@@ -271,3 +271,11 @@ def test_pages(spark):
     got = {r.page_id: r.text for r in template_pages.extracted(table).collect()}
     assert got[3] == "Title 3 Text& of 3 more" and got[6] == got[7] == "" and got[8] == "plain open"
     assert template_pages.extracted(table.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("page, text", [
+    ("a<svg/><p>b", "a b"), ("<div>a<math /></div>b", "a b"), ("<div><svg><text>x</text></div>a", "a"), ("<svg><text>x<p>a</p>", "a"),
+    ("<div><object>x</div>a", "a"), ("<div><select><option>x</div>a", "a"), ("<div><canvas>x</div><p>a", "a"), ("a<script>b<p>c", "a"),
+])
+def test_embedded_elements_end_where_browsers_end_them(page, text):
+    assert template_pages.main_text(page, frozenset()) == text
