@@ -279,3 +279,9 @@ def test_pages(spark):
 ])
 def test_embedded_elements_end_where_browsers_end_them(page, text):
     assert template_pages.main_text(page, frozenset()) == text
+
+
+def test_long_blocks_that_differ_late_are_no_template(spark):
+    pages = [(i, f"http://h.example/{i}", f"<div>menu</div><div>{'same words ' * 60}number {i:04d}</div>") for i in range(6)]
+    got = template_pages.extracted(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    assert all(r.text.endswith(f"number {r.page_id:04d}") and r.text.startswith("same") for r in got)
