@@ -285,3 +285,15 @@ def test_long_blocks_that_differ_late_are_no_template(spark):
     pages = [(i, f"http://h.example/{i}", f"<div>menu</div><div>{'same words ' * 60}number {i:04d}</div>") for i in range(6)]
     got = template_pages.extracted(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
     assert all(r.text.endswith(f"number {r.page_id:04d}") and r.text.startswith("same") for r in got)
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<body class='has-sidebar'><p>a</p></body>", "a"), ("<body class='sidebar'><p>a</p></body>", "a"),
+    ("<div id=page class='layout-with-sidebar'><p>a</div>", "a"), ("<article class='post no-comments'>a</article>", "a"),
+    ("<main class='no-sidebar'>a</main>", "a"), ("<div id='legal'><p>a</p><div class='menu'>m</div></div>", "a"),
+    ("<div class='widget'><article>a</article></div><div class='comments'><article>c</article></div>", "a"),
+    ("<form><div class='nav'>n</div><div>a</div></form>", "a"), ("<form><main>a</main></form><div>x</div>", "a"),
+    ("<div class='cookie-notice'>c</div><p>a", "a"), ("<div class='x sidebar'>c</div><p>a", "a"), ("<p>a<form>f</form>", "a"),
+])
+def test_no_whole_page_is_excluded(page, text):
+    assert template_pages.main_text(page, frozenset()) == text
