@@ -173,3 +173,28 @@ def test_delivery_of_several_files(spark, tmp_path):
     rows.repartition(4).write.option("header", True).csv(f"{tmp_path}/l/order_payments/year=2018/month=07")
     ingest_deliveries(spark, f"{tmp_path}/l", f"{tmp_path}/p", "order_payments", f"{tmp_path}/c")
     assert len(stored(spark, f"{tmp_path}/p")) == 20
+
+
+def test_a_delivery_in_two_runs_and_an_older_one(spark, tmp_path):
+    landing, processed = f"{tmp_path}/l", f"{tmp_path}/p"
+    name = "part-0000{}-5e0b-[a] b-c00{}"
+
+    def run():
+        ingest_deliveries(spark, landing, processed, "order_payments", f"{tmp_path}/c")
+        return [r[0] for r in stored(spark, processed)]
+
+    payments(landing, 7, name.format(0, 0), "o1,1,boleto,1,1.0")
+    payments(landing, 7, name.format(0, 1), "o2,1,boleto,1,2.0")
+    assert run() == ["o1", "o2"]
+    payments(landing, 7, name.format(1, 0), "o3,1,boleto,1,3.0")
+    assert run() == ["o1", "o2", "o3"]
+    payments(landing, 7, "old", "o4,1,boleto,1,4.0")
+    os.utime(f"{landing}/order_payments/year=2018/month=07/old.csv", (1e9, 1e9))
+    assert run() == ["o1", "o2", "o3"]
+    payments(landing, 8, "other", "o5,1,boleto,1,5.0")
+    # a newer delivery stands between the parts of one that is newest in the end
+    payments(landing, 7, "between", "o6,1,boleto,1,6.0")
+    assert run() == ["o5", "o6"]
+    time.sleep(1.1)
+    payments(landing, 7, name.format(2, 0), "o7,1,boleto,1,7.0")
+    assert run() == ["o1", "o2", "o3", "o5", "o7"]
