@@ -297,3 +297,9 @@ def test_long_blocks_that_differ_late_are_no_template(spark):
 ])
 def test_no_whole_page_is_excluded(page, text):
     assert template_pages.main_text(page, frozenset()) == text
+
+
+def test_frame_texts_that_stand_twice_are_template(spark):
+    pages = [(i, f"http://h.example/{i}", f"<div>menu</div><div>text {i}</div><div>menu</div>") for i in range(6)]
+    got = template_pages.extracted(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    assert sorted(r.text for r in got) == [f"text {i}" for i in range(6)]
