@@ -38,5 +38,5 @@ QUERIES = {
     "pipeline": _pipeline,
 }
 
-#: The others fit models, fill knapsacks or link transitively; tests hold them against brute force.
+#: The others fit models, fill knapsacks or link transitively; tests hold parts of them against brute force.
 ORACLES = {"op3_decontamination": positional_index.ORACLE}

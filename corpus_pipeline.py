@@ -39,8 +39,8 @@ STAGES = [
     ("token ids", token_ids),
 ]
 
-#: No SQL: the stages link transitively, fill knapsacks and use a tokenizer. ``tests/llm`` holds the
-#: stages against brute force.
+#: No SQL: the stages link transitively, fill knapsacks and use a tokenizer. ``tests/llm`` compares
+#: only the names of the stages; no test runs them chained.
 ORACLE_SQL = None
 
 
