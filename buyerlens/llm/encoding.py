@@ -4,16 +4,19 @@ The vocabulary drops white space, so words between ASCII white space can be enco
 keeps the ids of words it has met in a cache of bounded size, by a 64-bit hash and the length, and asks
 the tokenizer for the others only. Words of ASCII and plain Latin letters, which the normaliser leaves
 alone but for their case, are split into letters, digits and signs here and merged by the tokenizer's
-bare model; all others go through the whole tokenizer."""
+bare model; all others go through the whole tokenizer, as do words that hold the string of a special
+token, which is that token's id, or ordinary text if ``special`` is false. Long texts are encoded in pieces of
+some megabytes that end at white space."""
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 
-from buyerlens.llm.words import words
+from buyerlens.llm.words import IS_SPACE, SLICE_BYTES, slices, words
 
 END = 1
 VOCABULARY = "word_bpe_49k.json"
@@ -41,11 +44,12 @@ def _byte_letters() -> list[str]:
 
 
 class Encoder:
-    def __init__(self, path: str):
+    def __init__(self, path: str, special: bool = False):
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
+        self.whole.encode_special_tokens = not special
+        self.names = [t.content for t in self.whole.get_added_tokens_decoder().values()] if special else []
         self.bare = Tokenizer(self.whole.model)
         self.letters = dict(enumerate(_byte_letters()))
         self.parts: dict[str, list[int]] = {}
@@ -61,7 +65,7 @@ class Encoder:
         out: list = [None] * len(found)
         split, odd, new = {}, [], set()
         for i, word in enumerate(found):
-            if _PLAIN.fullmatch(word):
+            if _PLAIN.fullmatch(word) and not any(name in word for name in self.names):
                 split[i] = _PART.findall(word.lower())
                 new.update(p for p in split[i] if p not in self.parts)
             else:
@@ -121,7 +125,34 @@ class Encoder:
         return out, begin
 
 
-@lru_cache(maxsize=1)
-def encoder(path: str) -> Encoder:
+    def long_text(self, data: np.ndarray, end: int = END) -> np.ndarray:
+        """Ids of one text, piece by piece, and the end id."""
+        out, low = [], 0
+        while low < len(data):
+            high = min(len(data), low + SLICE_BYTES)
+            if high < len(data):
+                spaces = np.flatnonzero(IS_SPACE[data[low:high]])
+                if len(spaces):
+                    high = low + int(spaces[-1]) + 1
+                else:  # one word goes on
+                    spaces = np.flatnonzero(IS_SPACE[data[high:]])
+                    high += int(spaces[0]) + 1 if len(spaces) else len(data) - high
+            out.append(self.encode(data[low:high], np.array([0, high - low]), end)[0][:-1])
+            low = high
+        return np.concatenate([*out, np.array([end], dtype=np.uint32)])
+
+    def slices(self, data: np.ndarray, offsets: np.ndarray, end: int = END) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """Ranges of rows with their ids and where each row begins; a long row is a range of its own."""
+        for low, high in slices(offsets):
+            part = data[offsets[low] : offsets[high]]
+            if len(part) > SLICE_BYTES:
+                ids = self.long_text(part, end)
+                yield low, high, ids, np.array([0, len(ids)])
+            else:
+                yield low, high, *self.encode(part, offsets[low : high + 1] - offsets[low], end)
+
+
+@lru_cache(maxsize=2)
+def encoder(path: str, special: bool = False) -> Encoder:
     """One encoder for all tasks of a worker."""
-    return Encoder(path)
+    return Encoder(path, special)

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from buyerlens.llm import (
-    budget_mix, hamming_dedup, pii_votes, pitman_yor, positional_index, quality_divergence, secret_automaton,
-    separator_scan, simple8b, template_pages,
+    budget_mix, exact_packing, hamming_dedup, merkle_windows, pii_votes, pitman_yor, positional_index, quality_divergence, secret_automaton,
+    separator_scan, simple8b, source_audit, template_pages,
 )
 from buyerlens.session import configure
 
@@ -35,8 +35,15 @@ QUERIES = {
     "op8_secret_scan": _over("documents", secret_automaton.secret_report),
     "op9_source_mix": _over("documents", budget_mix.mix_report),
     "op10_personal_data": _over("documents", pii_votes.personal_report),
+    "op11_merkle_manifest": _over("documents", merkle_windows.manifest_report),
+    "op12_exact_packing": _over("documents", exact_packing.packed),
+    "op13_source_audit": _over("documents", source_audit.divergence),
     "pipeline": _pipeline,
 }
 
 #: The others fit models, fill knapsacks or link transitively; tests hold parts of them against brute force.
-ORACLES = {"op3_decontamination": positional_index.ORACLE}
+ORACLES = {
+    "op3_decontamination": positional_index.ORACLE,
+    "op11_merkle_manifest": merkle_windows.ORACLE,
+    "op13_source_audit": source_audit.ORACLE,
+}

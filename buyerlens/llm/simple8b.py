@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from buyerlens.llm.encoding import encoder, vocabulary_path
-from buyerlens.llm.words import buffers, slices
+from buyerlens.llm.words import buffers
 from buyerlens.session import scratch_path
 
 BLOCK = 1024
@@ -133,11 +133,10 @@ def unpack(payload: np.ndarray, blocks: np.ndarray, n: int, size: int = BLOCK) -
 
 def _writer(path: str):
     def run(batches):
-        part, chunk, enc = TaskContext.get().partitionId(), 0, encoder(path)
+        part, chunk, enc = TaskContext.get().partitionId(), 0, encoder(path, True)
         for batch in batches:
             data, offsets = buffers(batch.column(1))
-            for low, high in slices(offsets):
-                ids, begin = enc.encode(data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low])
+            for low, high, ids, begin in enc.slices(data, offsets):
                 payload, blocks = pack(ids)
                 yield pa.RecordBatch.from_pydict({
                     "part": pa.array([part], pa.int32()), "chunk": pa.array([chunk], pa.int32()),

@@ -7,4 +7,4 @@ from buyerlens.llm import queries
 def test_stages_and_names():
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "quality rules", "near-dedup", "decontamination", "source mix", "token ids"]
-    assert sorted(queries.QUERIES) == sorted(["pipeline", *(n for n in queries.QUERIES if n.startswith("op"))]) and len(queries.QUERIES) == 11
+    assert sorted(queries.QUERIES) == sorted(["pipeline", *(n for n in queries.QUERIES if n.startswith("op"))]) and len(queries.QUERIES) == 14
