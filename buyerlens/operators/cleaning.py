@@ -45,7 +45,12 @@ def clean_orders(orders: DataFrame) -> DataFrame:
 
 
 def clean_order_items(items: DataFrame) -> DataFrame:
-    cleaned = _dedup(items, ["order_id", "order_item_id"], ["price"]).where("price >= 0")
+    return with_price(_dedup(items, ["order_id", "order_item_id"], ["price"]))
+
+
+def with_price(items: DataFrame) -> DataFrame:
+    """Items with a price, and a freight if they have the column, of at least zero."""
+    cleaned = items.where("price >= 0")
     # a null freight fails the comparison and is dropped as well; NaN would pass it
     return cleaned.where("freight_value >= 0 AND NOT isnan(freight_value)") if "freight_value" in items.columns else cleaned
 

@@ -13,11 +13,12 @@ def restrict_children(children: DataFrame, orders: DataFrame) -> DataFrame:
     return children.join(orders.select("order_id"), "order_id", "left_semi")
 
 
-def payment_per_order(payments: DataFrame) -> DataFrame:
+def payment_per_order(payments: DataFrame, rows: str | None = None) -> DataFrame:
     """Total, mean installments, number of types and most frequent type per order.
 
     Counting per (order, type) first makes the distinct count and the mode plain
-    aggregates. Ties of the mode go to the smallest text."""
+    aggregates. Ties of the mode go to the smallest text. ``rows`` names a further
+    column for the number of payments."""
     by_type = (
         payments.where(F.col("order_id").isNotNull())
         .groupBy("order_id", "payment_type")
@@ -36,6 +37,7 @@ def payment_per_order(payments: DataFrame) -> DataFrame:
         F.min_by("payment_type", F.when(typed, F.struct(-F.col("n"), F.col("payment_type")))).alias(
             "payment_type_mode"
         ),
+        *([F.sum("n").alias(rows)] if rows else []),
     )
 
 

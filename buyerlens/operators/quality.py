@@ -15,6 +15,13 @@ from buyerlens.functions.scalars import nullish
 REPORT_SCHEMA = "check string, passed boolean, severity string, violations bigint, detail string"
 SAMPLE_VALUES = 5
 
+# Ranges of a feature table by check: column, least value, text of a violation.
+FEATURE_RANGES = {
+    "frequency_positive": ("frequency", 1, " clientes com frequency < 1"),
+    "recency_non_negative": ("recency_days", 0, " recency negativas"),
+    "monetary_non_negative": ("monetary", 0, " monetary negativas"),
+}
+
 
 def _union(reports: Iterable[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, reports)
@@ -51,6 +58,17 @@ def _violation_counts(df: DataFrame, contract: Contract) -> dict[str, Column]:
     return counts
 
 
+def row_counters(df: DataFrame, contract: Contract) -> dict[str, Column]:
+    """Violations of all rules that a single pass counts: nulls, values and, if declared, some row at all.
+
+    A contract column that the table lacks is a violation of its schema."""
+    missing, _ = column_differences(df, contract.columns)
+    counts = {"schema_columns": F.max(F.lit(len(missing)))} | _violation_counts(df, contract)
+    if any(c.name == "row_count_min" for c in contract.checks):
+        counts["row_count_min"] = F.when(F.count(F.lit(1)) >= 1, 0).otherwise(1)
+    return counts
+
+
 def _disallowed(column: str, allowed: tuple[str, ...]) -> Column:
     return F.col(column).isNotNull() & ~F.col(column).isin(list(allowed))
 
@@ -111,6 +129,18 @@ def count_violations(df: DataFrame, contract: Contract, rules: str = "all") -> D
     return _counted(df, counts, key)
 
 
+def detail_text(contract: Contract, check: str, n: int) -> str:
+    """The detail of a counted check, as the reports spell it."""
+    if not n:
+        return "ok"
+    kind, _, column = check.partition(":")
+    if kind == "not_null":
+        return f"{n} nulos em {column}"
+    if kind == "primary_key_unique":
+        return f"{n} duplicatas em PK {list(contract.primary_key)}"
+    return f"{n}{FEATURE_RANGES[check][2]}" if check in FEATURE_RANGES else str(n)
+
+
 def _detail(contract: Contract) -> Column:
     check, n = F.col("check"), F.col("violations").cast("string")
     column = F.element_at(F.split(check, ":"), -1)
@@ -158,19 +188,19 @@ def validate(df: DataFrame, contract: Contract) -> DataFrame:
     return _union(report)
 
 
+def feature_counters(features: DataFrame) -> dict[str, Column]:
+    """One count per null and range rule of a feature table."""
+    types = dict(features.dtypes)
+    counts = {f"not_null:{c}": F.count_if(nullish(c, types[c])) for c in _not_null_columns(features, CUSTOMER_FEATURES)}
+    return counts | {
+        name: F.count_if(F.col(column) < least) for name, (column, least, _) in FEATURE_RANGES.items() if column in features.columns}
+
+
 def validate_features(features: DataFrame) -> DataFrame:
     """Report on a feature table: schema, nulls, key and the three value ranges."""
     contract = CUSTOMER_FEATURES
-    ranges = {
-        "frequency_positive": ("frequency", F.col("frequency") < 1, " clientes com frequency < 1"),
-        "recency_non_negative": ("recency_days", F.col("recency_days") < 0, " recency negativas"),
-        "monetary_non_negative": ("monetary", F.col("monetary") < 0, " monetary negativas"),
-    }
-    present = {k: v for k, v in ranges.items() if v[0] in features.columns}
-    types = dict(features.dtypes)
-    counts = {f"not_null:{c}": F.count_if(nullish(c, types[c]))
-              for c in _not_null_columns(features, contract)}
-    counts |= {name: F.count_if(bad) for name, (_, bad, _) in present.items()}
+    present = {k: v for k, v in FEATURE_RANGES.items() if v[0] in features.columns}
+    counts = feature_counters(features)
     complete = all(c in features.columns for c in contract.primary_key)
     counted = _counted(features, counts, contract.primary_key if complete else ())
     detail = _detail(contract)

@@ -6,19 +6,20 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import date
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from buyerlens.contracts import FEATURE_SET_VERSION, SEGMENT_COLUMNS
+from buyerlens.contracts import CONTRACTS, FEATURE_SET_VERSION, SEGMENT_COLUMNS
 from buyerlens.functions.scalars import as_date, is_finite, iso_date
 from buyerlens.operators import quality
 from buyerlens.operators.clustering import CentroidModel, MixtureModel, fit_clusterer
 from buyerlens.operators.preprocess import FEATURE_COLUMNS, LOG_COLUMNS, Preprocessor, fit_preprocessor
 from buyerlens.operators.ranking import last_per_key
 from buyerlens.operators.sizing import broadcast_if_small
-from buyerlens.session import checkpointed
 from buyerlens.sources.partitions import append_log, write_partitions
+from buyerlens.sources.versions import VersionedTable
 
 MODEL_NAME = "purchase_segments"
 
@@ -86,7 +87,7 @@ def assign_segments(features: DataFrame, model: SegmentModel, labels: DataFrame
     """Segments of a feature table. Empty or invalid features are an error."""
     if strict:
         if features.isEmpty():
-            raise ValueError("Feature table vazia — inferência abortada")
+            raise ValueError("no feature rows to score")
         quality.assert_valid(quality.validate_features(features), "customer_features")
     if labels is None:
         labels = features.sparkSession.createDataFrame(
@@ -96,28 +97,38 @@ def assign_segments(features: DataFrame, model: SegmentModel, labels: DataFrame
     return segment_projection(scored, model.name, model.version, feature_set_version, scored_at)
 
 
-def persist_segments(scored: DataFrame, path: str, log_path: str | None = None) -> dict:
-    """Replace the as-of partition of the segments table and log what was written.
+def segment_store(spark: SparkSession, path: str) -> VersionedTable:
+    """Segments by as-of date, in buckets of customers."""
+    return VersionedTable(spark, path, CONTRACTS["customer_segments"].schema, "customer_segments", key="customer_unique_id")
 
-    The rows are materialised once for the write and its summary."""
-    spark = scored.sparkSession
-    kept = checkpointed(scored)
-    written = write_partitions(kept, path, ["as_of_date"])
-    facts = kept.agg(
-        F.count_distinct("segment_id").alias("n_segments"), F.max("model_version").alias("version"),
-        F.max("as_of_date").alias("as_of_date"),
-    ).first()
-    summary = {"dataset": "customer_segments", "row_count": written, **facts.asDict()}
+
+def persist_segments(scored: DataFrame, path: str, log_path: str | None = None, expected_rows: int | None = None) -> dict:
+    """Store the segments of one as-of date as a new version and log what was written.
+
+    The summary is observed by the write; repeated customers are an error."""
+    spark, store = scored.sparkSession, segment_store(scored.sparkSession, path)
+
+    def date_of(facts: dict) -> str:
+        if facts["as_of_date"] is None or facts["as_of_date"] != facts["first_date"]:
+            raise ValueError(f"one as-of date expected, found {facts['first_date']} to {facts['as_of_date']}")
+        return str(facts["as_of_date"])
+
+    commit = store.write(
+        scored, date_of,
+        facts={"version": F.max("model_version"), "as_of_date": F.max("as_of_date"), "first_date": F.min("as_of_date")},
+        expected_rows=expected_rows)
+    summary = {
+        "dataset": "customer_segments", "row_count": commit["row_count"], "version": commit["facts"]["version"],
+        "as_of_date": commit["partition"], "n_segments": store.read(commit).agg(F.count_distinct("segment_id")).first()[0],
+    }
     if log_path:
-        append_log(spark, log_path, **summary)
+        append_log(spark, log_path, **summary, passed=commit["passed"], report=commit["report"])
     return summary
 
 
 def publish_current(spark: SparkSession, path: str, as_of: str | date, **facts: str) -> None:
-    """Overwrite the one-row table that names the current partition."""
-    columns = {"as_of_date": as_date(as_of).isoformat(), **{k: str(v) for k, v in facts.items()}}
-    row = spark.createDataFrame([tuple(columns.values())], list(columns))
-    row.withColumn("published_at", F.current_timestamp()).coalesce(1).write.mode("overwrite").parquet(path)
+    """Make the newest stored version of a date the current one, by a further commit."""
+    segment_store(spark, path).publish(as_date(as_of).isoformat(), **facts)
 
 
 def signature_compatible(model: SegmentModel, sample: DataFrame, expected: list[str] | None = None) -> dict:
@@ -155,14 +166,13 @@ def smoke_predict(model: SegmentModel, features: DataFrame, min_rows: int = 5,
 def integration_probe(features: DataFrame, model: SegmentModel, path: str) -> dict:
     """Score, write, read back and compare the three row counts."""
     try:
-        scored = checkpointed(assign_segments(features, model))
-        written = persist_segments(scored, path)
-        spark = features.sparkSession
-        back = spark.read.schema(scored.schema).parquet(path).where(F.col("as_of_date") == written["as_of_date"])
-        passed = back.count() == written["row_count"] == features.count()
-        return {"passed": passed, "detail": f"scores uri={path} rows={written['row_count']}"}
-    except Exception as error:  # noqa: BLE001 - the gate reports any failure
+        written = persist_segments(assign_segments(features, model), path)
+    except (ValueError, PySparkException, Py4JJavaError) as error:
+        # refused rows, and a store or a model that fails at run time; an error in this code is not caught
         return {"passed": False, "detail": str(error)[:500]}
+    store = segment_store(features.sparkSession, path)
+    back = store.read(store.snapshot().live[written["as_of_date"]]).count()
+    return {"passed": back == written["row_count"] == features.count(), "detail": f"scores uri={path} rows={written['row_count']}"}
 
 
 def segment_lookup(ids: DataFrame, segments: DataFrame) -> DataFrame:

@@ -4,19 +4,19 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from buyerlens.contracts import CONTRACTS, FEATURE_SET_VERSION
+from buyerlens.contracts import CONTRACTS, CUSTOMER_FEATURES, FEATURE_SET_VERSION
 from buyerlens.functions.scalars import as_date
-from buyerlens.operators import cleaning, quality
-from buyerlens.operators.scoring import SegmentModel, assign_segments, persist_segments, publish_current
-from buyerlens.plans import feature_table
+from buyerlens.operators import cleaning, quality, scoring
+from buyerlens.operators.scoring import SegmentModel, assign_segments, persist_segments, publish_current, segment_store
+from buyerlens.plans import checked, feature_table
 from buyerlens.session import checkpointed
 from buyerlens.sources import partitions
 from buyerlens.sources.adapters import Sources
-from buyerlens.sources.partitions import append_log, write_partitions
+from buyerlens.sources.partitions import append_log, feature_store
+from buyerlens.sources.versions import VersionedTable
 
 
 def load_sources(spark: SparkSession, processed: str, as_of: str | date, window_days: int = 365) -> Sources:
@@ -33,7 +33,8 @@ def load_sources(spark: SparkSession, processed: str, as_of: str | date, window_
 def check_sources(sources: Sources) -> None:
     """Raise when a raw table breaks its contract or a cleaned one a foreign key.
 
-    Both look at all loaded rows, before any business filter."""
+    Both look at all loaded rows, before any business filter. This is the stand-alone form, with samples of
+    invalid values; ``build_enriched`` takes the same counts while it writes."""
     named = {"orders": sources.orders, "order_items": sources.items,
              "order_payments": sources.payments, "customers": sources.customers}
     for name, table in named.items():
@@ -49,31 +50,60 @@ def check_sources(sources: Sources) -> None:
     )
 
 
-def build_enriched(sources: Sources, path: str, as_of: str | date, window_days: int = 365,
-                   statuses: tuple[str, ...] = ("delivered",), strict: bool = True) -> int:
-    """Validate, clean, join and write the enriched items of one as-of date."""
-    if strict:
-        check_sources(sources)
-    items = feature_table.enriched_items(sources, as_of, window_days, statuses)
-    return write_partitions(
-        items.withColumn("as_of_date", F.lit(as_date(as_of).isoformat())), path, ["as_of_date"]
-    )
+def enriched_store(spark: SparkSession, path: str, like: DataFrame) -> VersionedTable:
+    return VersionedTable(spark, path, like.schema, "orders_enriched")
 
 
-def persist_features(features: DataFrame, path: str, log_path: str | None = None, strict: bool = True) -> int:
-    """Validate a feature table and replace its (version, as-of) partition."""
-    kept = checkpointed(features)
+def build_enriched(sources: Sources, path: str, as_of: str | date, window_days: int = 365,
+                   statuses: tuple[str, ...] = ("delivered",), strict: bool = True) -> tuple[DataFrame, int]:
+    """Clean, join and store the enriched items of one as-of date; return them and their number.
+
+    With ``strict`` the one job that writes them also counts what breaks a contract or a foreign key, and
+    rows that do are dropped again."""
+    spark = sources.items.sparkSession
     if strict:
-        quality.assert_valid(quality.validate_features(kept), "customer_features")
-    written = write_partitions(kept, path, ["feature_set_version", "as_of_date"])
+        items, watched = checked.checked_items(sources, as_of, window_days, statuses)
+        store = enriched_store(spark, path, items)
+
+        def report() -> list[tuple]:
+            found = watched.report()
+            if found is None:
+                # an empty branch was planned away with its counters
+                check_sources(sources)
+            return found or []
+
+        commit = store.write(items, as_date(as_of).isoformat(), upstream=report)
+    else:
+        items = feature_table.enriched_items(sources, as_of, window_days, statuses)
+        store = enriched_store(spark, path, items)
+        commit = store.write(items, as_date(as_of).isoformat())
+    return store.read(commit), commit["row_count"]
+
+
+def persist_features(features: DataFrame, path: str, log_path: str | None = None, strict: bool = True,
+                     expected_rows: int | None = None) -> int:
+    """Store a feature table as the new version of its (feature set, as-of date) and return its rows.
+
+    The write validates on the way; with ``strict`` a table that fails leaves nothing but its report. Rows
+    of one feature set and date are expected. ``expected_rows`` sets the number of buckets."""
+    spark, store = features.sparkSession, feature_store(features.sparkSession, path)
+    quality.assert_valid(quality.schema_columns(features, CUSTOMER_FEATURES), "customer_features")
+
+    def name(facts: dict) -> str:
+        if facts["first"] is None or facts["first"] != facts["last"]:
+            raise ValueError(f"one feature set and as-of date expected, found {facts['first']} to {facts['last']}")
+        return facts["first"]
+
+    commit = store.write(
+        features, name, quality.feature_counters(features),
+        {"first": F.min(partitions.feature_key()), "last": F.max(partitions.feature_key())},
+        lambda check, n: quality.detail_text(CUSTOMER_FEATURES, check, n), strict=strict, expected_rows=expected_rows)
     if log_path:
-        first = kept.select("feature_set_version", "as_of_date").first()
+        version, day = commit["partition"].split("/")
         append_log(
-            kept.sparkSession, log_path, dataset="customer_features", row_count=written, passed=strict or None,
-            version=first["feature_set_version"], as_of_date=first["as_of_date"],
-            partition={"as_of_date": first["as_of_date"]},
-        )
-    return written
+            spark, log_path, dataset="customer_features", row_count=commit["row_count"], passed=commit["passed"],
+            version=version, as_of_date=day, partition={"as_of_date": day}, report=commit["report"])
+    return commit["row_count"]
 
 
 def run_feature_table(spark: SparkSession, root: str, as_of: str | date, window_days: int = 365,
@@ -85,35 +115,33 @@ def run_feature_table(spark: SparkSession, root: str, as_of: str | date, window_
     The enriched items are written once and the features are built from them."""
     ingested = partitions.ingest_window(spark, f"{root}/landing", f"{root}/processed", as_of, window_days)
     sources = load_sources(spark, f"{root}/processed", as_of, window_days)
-    items = build_enriched(sources, f"{root}/enriched", as_of, window_days, statuses, strict)
+    enriched, items = build_enriched(sources, f"{root}/enriched", as_of, window_days, statuses, strict)
     if not items:
         raise ValueError("no enriched items: features cannot be built")
-    day = as_date(as_of).isoformat()
-    enriched = spark.read.parquet(f"{root}/enriched").where(f"as_of_date = '{day}'").drop("as_of_date")
     features = feature_table.features_from_enriched(enriched, as_of, version)
-    rows = persist_features(features, f"{root}/features", f"{root}/log", strict)
+    rows = persist_features(features, f"{root}/features", f"{root}/log", strict, expected_rows=items)
     return {**ingested, "enriched_rows": items, "feature_rows": rows, "feature_set_version": version}
 
 
 def run_batch_scoring(spark: SparkSession, root: str, as_of: str | date, model: SegmentModel,
-                      version: str = FEATURE_SET_VERSION) -> dict:
-    """Score one feature table, replace its segments partition and publish it as current."""
-    features = partitions.load_features(spark, f"{root}/features", as_of, version)
-    scored = assign_segments(features, model, feature_set_version=version)
-    summary = persist_segments(scored, f"{root}/segments", f"{root}/log")
-    publish_current(spark, f"{root}/current", as_of, dataset="customer_segments",
+                      version: str = FEATURE_SET_VERSION, scored_at: str | None = None) -> dict:
+    """Score one feature table, store its segments as a new version and publish that as current."""
+    features, commit = partitions.stored_features(spark, f"{root}/features", as_of, version)
+    # what was validated when it was stored is not validated again
+    scored = assign_segments(
+        features, model, feature_set_version=version, scored_at=scored_at, strict=not (commit["passed"] and commit["row_count"]))
+    summary = persist_segments(scored, f"{root}/segments", f"{root}/log", expected_rows=commit["row_count"])
+    publish_current(spark, f"{root}/segments", as_of, dataset="customer_segments",
                     model_name=model.name, model_version=model.version)
     return summary
 
 
 def current_segments(spark: SparkSession, root: str) -> DataFrame:
     """The published segments; the newest as-of date when nothing was published."""
-    table = spark.read.schema(CONTRACTS["customer_segments"].schema).parquet(f"{root}/segments")
-    try:
-        pointer = spark.read.parquet(f"{root}/current")
-    except AnalysisException as error:
-        # only an absent pointer means that nothing was published
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        pointer = None
-    return partitions.current_partition(table, pointer)
+    return segment_store(spark, f"{root}/segments").current()
+
+
+def lookup_segments(spark: SparkSession, root: str, ids: DataFrame) -> DataFrame:
+    """The current segment of each requested id, from the files that can hold them."""
+    store = segment_store(spark, f"{root}/segments")
+    return scoring.segment_lookup(ids, store.matching(ids, store.snapshot().current))

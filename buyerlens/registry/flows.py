@@ -4,20 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from buyerlens.operators import cleaning
 from buyerlens.oracle_base import AS_OF, SOURCES, features_cte
 from buyerlens.plans import pipelines
 from buyerlens.registry import register
 from buyerlens.registry.data import _MONTHS
 from buyerlens.registry.features import _FEATURES, rounded
-from buyerlens.registry.models import ONE_PERIOD, given_model
+from buyerlens.registry.given import given_model
+from buyerlens.registry.models import ONE_PERIOD
 from buyerlens.session import scratch_path
 from buyerlens.sources import adapters, partitions
+from buyerlens.sources.adapters import Sources
 from buyerlens.streaming.deliveries import ingest_deliveries
 
 
-def _landed(spark, sf_dir) -> str:
+def _landed(spark, sf_dir, clean: bool = False) -> str:
     root = scratch_path(spark)
     sources = adapters.retail(spark, sf_dir)
+    if clean:
+        sources = Sources(
+            cleaning.clean_orders(sources.orders), cleaning.clean_customers(sources.customers),
+            cleaning.clean_order_items(sources.items), cleaning.clean_order_payments(sources.payments))
     partitions.land_sources(sources.orders, sources.customers, sources.items, sources.payments, f"{root}/landing")
     return root
 
@@ -45,6 +52,14 @@ def feature_table_persisted(spark, sf_dir):
     return rounded(partitions.load_features(spark, f"{root}/features", AS_OF, "1.0.0"))
 
 
+@register("feature_table_strict", f"WITH {features_cte()} SELECT {_FEATURES} FROM feat")
+def feature_table_strict(spark, sf_dir):
+    """The same from landing files that keep their contracts, with all checks on."""
+    root = _landed(spark, sf_dir, clean=True)
+    pipelines.run_feature_table(spark, root, AS_OF)
+    return rounded(partitions.load_features(spark, f"{root}/features", AS_OF, "1.0.0"))
+
+
 @register("batch_scoring_persisted", f"""WITH {ONE_PERIOD}
 SELECT customer_unique_id, as_of_date, segment_id, segment_label, 'purchase_segments' AS model_name,
   '7' AS model_version FROM scored""")

@@ -9,7 +9,7 @@ from buyerlens.contracts import CUSTOMER_SEGMENTS
 from buyerlens.functions.scalars import SEGMENT_DESCRIPTIONS
 from buyerlens.operators import cluster_metrics as metrics
 from buyerlens.operators import gates, preprocess, profiles, scoring, selection, stability
-from buyerlens.operators.clustering import CentroidModel, fit_clusterer
+from buyerlens.operators.clustering import fit_clusterer
 from buyerlens.operators.quality import contract_expressions
 from buyerlens.oracle_base import AS_OF, PRIOR, enriched, features_cte, r6
 from buyerlens.oracle_base import rollup as rollup_cte
@@ -17,19 +17,10 @@ from buyerlens.plans import feature_table as plan
 from buyerlens.plans import training
 from buyerlens.registry import register
 from buyerlens.registry.features import rounded
+from buyerlens.registry.given import CENTRES, LABELS, STAMP, given_model
+from buyerlens.registry.published import published
 from buyerlens.sources import adapters
-from buyerlens.sources.partitions import current_partition, dataset_summary
-
-# Parameters of a given model: centroids in the prepared space, column order as
-# the preparation puts it out, and labels for three of its four segments.
-CENTRES = [
-    [-1.0, 1.5, 1.0, 0.3, 0.2, 1.6],
-    [0.8, -0.6, -0.9, -0.8, -0.7, -0.4],
-    [0.5, -0.5, 0.8, 1.0, 0.9, -0.4],
-    [-1.2, -0.6, -0.1, 0.1, 0.0, -0.5],
-]
-LABELS = {0: "champions", 1: "hibernating", 2: "big_spenders"}
-STAMP = "2001-08-06 07:00:00"
+from buyerlens.sources.partitions import dataset_summary
 
 
 def _prepared_cte(suffix: str = "") -> str:
@@ -63,21 +54,11 @@ def _features(spark, sf_dir, as_of: str = AS_OF) -> DataFrame:
     return plan.feature_table(adapters.retail(spark, sf_dir), as_of)
 
 
-def given_model(features: DataFrame) -> scoring.SegmentModel:
-    """The given centroids behind a preparation fitted on these features."""
-    prepared = preprocess.fit_preprocessor(features)
-    return scoring.SegmentModel(prepared, CentroidModel(prepared.outputs, CENTRES), LABELS, version="7")
-
-
 def _segments(spark, sf_dir, as_of: str = AS_OF) -> DataFrame:
     features = _features(spark, sf_dir, as_of)
     return scoring.assign_segments(features, given_model(features), scored_at=STAMP, strict=False)
 
 
-def _two_periods(spark, sf_dir) -> DataFrame:
-    return _segments(spark, sf_dir, PRIOR).unionByName(_segments(spark, sf_dir))
-
-
 # --- preparation and assignment -----------------------------------------------------
 
 _STATS = " UNION ALL ".join(
@@ -456,6 +437,13 @@ def gate_tags(spark, sf_dir):
     )
 
 
+def _periods(spark, sf_dir) -> list[DataFrame]:
+    """Both stored dates, the earlier one first."""
+    store = published(spark, sf_dir)
+    live = store.snapshot().live
+    return [store.read(live[day]) for day in sorted(live)]
+
+
 # --- published segments ------------------------------------------------------------------
 
 @register("segment_lookup", f"""WITH {ONE_PERIOD}
@@ -466,15 +454,35 @@ SELECT c.customer_unique_id, segment_id, segment_label, as_of_date,
 FROM (SELECT DISTINCT customer_unique_id FROM cust) c LEFT JOIN scored s ON c.customer_unique_id = s.customer_unique_id""")
 def segment_lookup(spark, sf_dir):
     """Every known customer; those without a purchase in the window have no segment."""
-    current = current_partition(_two_periods(spark, sf_dir))
-    return scoring.segment_lookup(adapters.customers(spark, sf_dir), current)
+    store, ids = published(spark, sf_dir), adapters.customers(spark, sf_dir)
+    return scoring.segment_lookup(ids, store.matching(ids, store.snapshot().current))
+
+
+@register("segment_lookup_few", f"""WITH {ONE_PERIOD}, busy AS (
+  SELECT c_nationkey, o_custkey FROM (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1) JOIN customer ON o_custkey = c_custkey
+  QUALIFY row_number() OVER (PARTITION BY c_nationkey ORDER BY n DESC, o_custkey) = 1),
+ids AS (SELECT DISTINCT customer_unique_id FROM cust JOIN busy ON customer_id = CAST(o_custkey AS VARCHAR))
+SELECT i.customer_unique_id, segment_id, segment_label, as_of_date,
+  CASE WHEN segment_id IS NOT NULL THEN '{STAMP}' END AS updated_at,
+  CASE WHEN segment_id IS NOT NULL THEN 'purchase_segments' END AS model_name,
+  CASE WHEN segment_id IS NOT NULL THEN '7' END AS model_version, feature_set_version
+FROM ids i LEFT JOIN scored s ON i.customer_unique_id = s.customer_unique_id""")
+def segment_lookup_few(spark, sf_dir):
+    """The customer with most orders of each nation: few ids, which reach the scan."""
+    orders = adapters.read_table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).count()
+    homes = adapters.read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    busy = orders.join(homes, "c_custkey").groupBy("c_nationkey").agg(
+        F.max_by("c_custkey", F.struct("count", -F.col("c_custkey"))).cast("string").alias("customer_id"))
+    ids = adapters.customers(spark, sf_dir).join(busy, "customer_id", "left_semi")
+    store = published(spark, sf_dir)
+    return scoring.segment_lookup(ids, store.matching(ids, store.snapshot().current))
 
 
 @register("segments_health", f"""WITH {ONE_PERIOD}
 SELECT 'ok' AS status, true AS scores_available, max(as_of_date) AS as_of_date, 'purchase_segments' AS model_name,
   '7' AS model_version, count(*) AS n_customers, count(DISTINCT segment_id) AS n_segments, '{STAMP}' AS scored_at FROM scored""")
 def segments_health(spark, sf_dir):
-    return scoring.segments_health(current_partition(_two_periods(spark, sf_dir)))
+    return scoring.segments_health(published(spark, sf_dir).current())
 
 
 _BOTH = "history AS (SELECT as_of_date, customer_unique_id, segment_id, segment_label FROM scored UNION ALL SELECT as_of_date, customer_unique_id, segment_id, segment_label FROM scored_p)"
@@ -484,21 +492,31 @@ _BOTH = "history AS (SELECT as_of_date, customer_unique_id, segment_id, segment_
 SELECT as_of_date, segment_label, size, {r6('size / sum(size) OVER (PARTITION BY as_of_date)')} AS share
 FROM (SELECT as_of_date, segment_label, count(*) AS size FROM history GROUP BY 1, 2)""")
 def segment_distribution_history(spark, sf_dir):
-    return rounded(scoring.distribution_history(_two_periods(spark, sf_dir)))
+    return rounded(scoring.distribution_history(published(spark, sf_dir).all()))
 
 
 @register("dataset_summary", f"""WITH {TWO_PERIODS}, {_BOTH}
 SELECT 'customer_segments' AS dataset, '7' AS version, as_of_date, count(*) AS row_count, count(DISTINCT segment_id) AS n_segments
 FROM history GROUP BY ALL""")
 def summary(spark, sf_dir):
-    return dataset_summary(_two_periods(spark, sf_dir), "customer_segments", "model_version")
+    return dataset_summary(published(spark, sf_dir).all(), "customer_segments", "model_version")
+
+
+@register("segment_catalogue", f"""WITH {TWO_PERIODS}, {_BOTH}
+SELECT as_of_date AS "partition", count(*) AS row_count, true AS passed, as_of_date = '{AS_OF}' AS is_current,
+  '7' AS model_version FROM history GROUP BY as_of_date""")
+def segment_catalogue(spark, sf_dir):
+    """Stored dates, their rows and the published one, from the commits alone."""
+    seen = published(spark, sf_dir).snapshot()
+    rows = [(c["partition"], c["row_count"], c["passed"], c["data"] == seen.current["data"], c["facts"]["version"]) for c in seen.live.values()]
+    return spark.createDataFrame(rows, "partition string, row_count long, passed boolean, is_current boolean, model_version string")
 
 
 @register("segment_migration", f"""WITH {TWO_PERIODS}
 SELECT p.segment_label AS from_label, q.segment_label AS to_label, count(*) AS n
 FROM scored_p p FULL JOIN scored q ON p.customer_unique_id = q.customer_unique_id GROUP BY ALL""")
 def segment_migration(spark, sf_dir):
-    return scoring.segment_migration(_segments(spark, sf_dir, PRIOR), _segments(spark, sf_dir))
+    return scoring.segment_migration(*_periods(spark, sf_dir))
 
 
 @register("share_drift", f"""WITH {TWO_PERIODS},
@@ -508,12 +526,12 @@ SELECT coalesce(a.segment_label, b.segment_label) AS segment_label, {r6('coalesc
   {r6('coalesce(a.s, 0)')} AS share_after, {r6('coalesce(a.s, 0) - coalesce(b.s, 0)')} AS delta
 FROM a FULL JOIN b ON a.segment_label = b.segment_label""")
 def share_drift(spark, sf_dir):
-    return rounded(scoring.share_drift(_segments(spark, sf_dir, PRIOR), _segments(spark, sf_dir)))
+    return rounded(scoring.share_drift(*_periods(spark, sf_dir)))
 
 
 @register("campaign_list", f"WITH {ONE_PERIOD} SELECT customer_unique_id, segment_label FROM scored WHERE segment_label = 'champions'")
 def campaign_list(spark, sf_dir):
-    return scoring.campaign_list(_segments(spark, sf_dir), "champions").select("customer_unique_id", "segment_label")
+    return scoring.campaign_list(published(spark, sf_dir).current(), "champions").select("customer_unique_id", "segment_label")
 
 
 @register("segment_contract", f"""WITH {ONE_PERIOD}, src AS (SELECT * FROM scored),

@@ -64,6 +64,25 @@ def scratch_path(spark: SparkSession) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/scratch-{uuid.uuid4().hex}"
 
 
+def _store(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete a file or folder in whatever store its path names; whether there was one."""
+    store, target = _store(spark, path)
+    return store.delete(target, True)
+
+
+def file_names(spark: SparkSession, folder: str) -> list[str] | None:
+    """Names in one folder of whatever store its path names; None if it is absent."""
+    store, target = _store(spark, folder)
+    if not store.exists(target):
+        return None
+    return [entry.getPath().getName() for entry in store.listStatus(target)]
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Materialise ``df`` reliably, so that later passes neither recompute it nor
     depend on the executors that produced it."""

@@ -2,21 +2,28 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from datetime import date, timedelta
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from buyerlens.contracts import CONTRACTS, INCREMENTAL_DATASETS, Contract
 from buyerlens.functions.scalars import as_date, month_key
+from buyerlens.session import file_names
+from buyerlens.sources.versions import REPORT, VersionedTable
 
 LOG_SCHEMA = (
     "dataset string, version string, as_of_date string, partition map<string,string>, "
-    "row_count bigint, passed boolean, n_segments bigint"
+    f"row_count bigint, passed boolean, n_segments bigint, report {REPORT}"
 )
 
+#: Names of landing files; a copy such as ``orders.csv.bak`` is none.
+LANDED = re.compile(r"\.csv(\.(gz|bz2|zst|lz4|snappy|deflate))?$")
+
 
 def read_landing_csv(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
     """CSV with header under the contract's column types; a missing path is an error.
@@ -116,21 +123,13 @@ def missing_partitions(months: DataFrame, observed: DataFrame,
     )
 
 
-def landed_partitions(spark: SparkSession, root: str) -> DataFrame:
-    """(dataset, year, month) of the files under ``root/<dataset>/year=/month=``.
+def landed_months(spark: SparkSession, landing: str, dataset: str,
+                  wanted: Sequence[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The wanted months of a dataset that hold a landing file, compressed or not.
 
-    Compressed files (``.csv.gz`` and the like) count. Lists files without opening
-    them: the content column is never selected."""
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv*").load(root).select("path")
-    )
-    parts = F.regexp_extract("path", r"/([^/]+)/year=\d+/month=\d+/[^/]+$", 1)
-    return files.select(
-        parts.alias("dataset"),
-        F.regexp_extract("path", r"/year=(\d+)/", 1).try_cast("int").alias("year"),
-        F.regexp_extract("path", r"/month=(\d+)/", 1).try_cast("int").alias("month"),
-    ).where("dataset <> ''").distinct()
+    Only the wanted folders are listed, whatever else has ever landed."""
+    return [(y, m) for y, m in wanted if any(
+        LANDED.search(name) for name in file_names(spark, f"{landing}/{dataset}/year={y:04d}/month={m:02d}") or [])]
 
 
 def write_partitions(df: DataFrame, path: str, partition_by: list[str]) -> int:
@@ -194,11 +193,10 @@ def ingest_window(spark: SparkSession, landing: str, processed: str, as_of: str
                   window_days: int = 365) -> dict:
     """Ingest every landed month of the window; absent months are reported."""
     wanted = month_list(as_of, window_days)
-    present = {tuple(r) for r in landed_partitions(spark, landing).collect()}
     rows, missing = {}, []
     for dataset in INCREMENTAL_DATASETS:
-        found = [m for m in wanted if (dataset, *m) in present]
-        missing += [f"{dataset}/{y:04d}-{m:02d}" for y, m in wanted if (dataset, y, m) not in present]
+        found = landed_months(spark, landing, dataset, wanted)
+        missing += [f"{dataset}/{y:04d}-{m:02d}" for y, m in wanted if (y, m) not in found]
         rows[dataset] = ingest_months(spark, landing, processed, dataset, found) if found else 0
     rows["customers"] = ingest_snapshot(spark, landing, processed)
     return {"as_of_date": as_date(as_of).isoformat(), "window_days": window_days,
@@ -231,16 +229,28 @@ def in_months(months: Sequence[tuple[int, int]]):
     return predicate
 
 
-def load_features(spark: SparkSession, path: str, as_of: str | date, version: str) -> DataFrame:
-    """One feature table by version and as-of date; an absent one is an error."""
-    schema = CONTRACTS["customer_features"].schema
-    day = as_date(as_of).isoformat()
-    table = spark.read.schema(schema).parquet(path).where(
-        (F.col("feature_set_version") == version) & (F.col("as_of_date") == day)
-    )
-    if table.isEmpty():
+def feature_store(spark: SparkSession, path: str) -> VersionedTable:
+    """Feature tables by feature set and as-of date."""
+    contract = CONTRACTS["customer_features"]
+    return VersionedTable(spark, path, contract.schema, "customer_features", key="customer_unique_id")
+
+
+def feature_key():
+    """The partition of a row of features."""
+    return F.concat_ws("/", "feature_set_version", F.col("as_of_date").cast("string"))
+
+
+def stored_features(spark: SparkSession, path: str, as_of: str | date, version: str) -> tuple[DataFrame, Row]:
+    """One feature table by version and as-of date, and its commit; an absent one is an error."""
+    store, day = feature_store(spark, path), as_date(as_of).isoformat()
+    commit = store.snapshot().live.get(f"{version}/{day}")
+    if commit is None:
         raise FileNotFoundError(f"feature table {version} of {day} is absent from {path}")
-    return table.select(*CONTRACTS["customer_features"].columns)
+    return store.read(commit), commit
+
+
+def load_features(spark: SparkSession, path: str, as_of: str | date, version: str) -> DataFrame:
+    return stored_features(spark, path, as_of, version)[0]
 
 
 def current_partition(table: DataFrame, pointer: DataFrame | None = None) -> DataFrame:
@@ -257,11 +267,11 @@ def current_partition(table: DataFrame, pointer: DataFrame | None = None) -> Dat
 
 
 def append_log(spark: SparkSession, path: str, **entry) -> None:
-    """Append one record about a written partition to the dataset log."""
-    columns = [c.split(" ")[0] for c in LOG_SCHEMA.split(", ")]
-    row = tuple(entry.get(c) for c in columns)
+    """Append one record about a written partition to the dataset log, with its validation report."""
+    schema = T.StructType.fromDDL(LOG_SCHEMA)
+    row = tuple(entry.get(c) for c in schema.names)
     (
-        spark.createDataFrame([row], LOG_SCHEMA).withColumn("created_at", F.current_timestamp())
+        spark.createDataFrame([row], schema).withColumn("created_at", F.current_timestamp())
         .coalesce(1).write.mode("append").parquet(path)
     )
 

@@ -92,10 +92,10 @@ def test_store_publish_and_read(spark, tmp_path, toy_features, model, segments):
     scoring.persist_segments(later, f"{root}/segments")
     # the pointer still names August
     assert pipelines.current_segments(spark, root).count() == 90
-    scoring.publish_current(spark, f"{root}/current", "2018-09-30")
+    scoring.publish_current(spark, f"{root}/segments", "2018-09-30")
     assert pipelines.current_segments(spark, root).count() == 5
     assert spark.read.parquet(f"{root}/log").count() == 3
-    history = partitions.dataset_summary(spark.read.parquet(f"{root}/segments"), "customer_segments")
+    history = partitions.dataset_summary(scoring.segment_store(spark, f"{root}/segments").all(), "customer_segments")
     assert sorted(r.row_count for r in history.collect()) == [5, 90]
     assert scoring.write_campaigns(segments, f"{root}/campaigns") == 90
 
