@@ -3,10 +3,13 @@
 A document is counted by its chunks, the runs of bytes between ASCII white space, in which all terms lie.
 A block of documents becomes one row: its distinct chunks, and for each document the numbers and counts
 of its own. Only the blocks' dictionaries are shuffled: each globally distinct chunk is split into terms
-once, the terms join the dictionaries, and come back to their block, which then knows for each term in
+once, and its terms come back to the blocks that its places name, which then know for each term in
 how many of its documents it is and how often, per (language, source). These counts add up.
 
-A frequent chunk is one row per block, however often it stands there. Sums over the kept terms of a language are
+A term is in no more documents than its chunks together. Terms that this bound shows to be too rare in any
+language never come back to the blocks, which is most of them; the others are counted in full.
+
+A frequent chunk is one place per block, however often it stands there. Sums over the kept terms of a language are
 taken for all its sources at once, on tables of at most ``CELLS`` terms by sources; a term that a
 source lacks has the same share as all others that it lacks.
 
@@ -25,20 +28,23 @@ from pyspark.sql import functions as F
 
 from buyerlens.llm.words import buffers, slices
 from buyerlens.operators.sizing import broadcast_if_small
-from buyerlens.session import checkpointed
+from buyerlens.session import checkpointed, scratch_path
 
 LEAST_DOCUMENTS = 30
 SMOOTHING = 5
 SCALE = 1_000_000_000
 TOP = 50
-#: Bytes of text that share a dictionary; a longer document is a block of its own.
-BLOCK_BYTES = 16 << 20
+#: Bytes of text that are split at a time, and that share a dictionary; a longer document is taken alone.
+SLICE_BYTES = 4 << 20
+BLOCK_BYTES = 64 << 20
+#: Bytes of terms up to which they are broadcast.
+BROADCAST_BYTES = 32 << 20
 #: Cells of a table of shares that one task holds.
-CELLS = 1 << 22
+CELLS = 1 << 18
 _TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 _UPPER = "".join(map(chr, range(65, 91)))
 
-BLOCK = "block long, lang array<string>, source array<string>, chunks array<string>, counted binary"
+BLOCK = "block long, lang array<string>, source array<string>, chunks array<string>, held array<int>, counted binary"
 
 
 def _squeezed(*columns: np.ndarray) -> bytes:
@@ -58,34 +64,70 @@ def _unsqueezed(data: bytes, n: int) -> list[np.ndarray]:
     return out
 
 
+def _slice_counted(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct chunks of a slice of texts, and the distinct (row, chunk) pairs with their counts, by row."""
+    split = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
+    coded = split.flatten().dictionary_encode()
+    row, many = np.repeat(np.arange(len(texts)), pc.list_value_length(split).to_numpy()), max(len(coded.dictionary), 1)
+    pair, times = np.unique(row * many + coded.indices.to_numpy(), return_counts=True)
+    return coded.dictionary, pair // many, pair % many, times
+
+
+def _block(number: int, parts: list[tuple]) -> pa.RecordBatch:
+    """One row for the counted slices of a block."""
+    coded = pa.chunked_array([p[0] for p in parts]).combine_chunks().dictionary_encode()
+    base = np.cumsum([0, *[len(p[0]) for p in parts]])
+    rows = np.cumsum([0, *[len(p[4]) for p in parts]])
+    renamed = coded.indices.to_numpy().astype(np.int64)
+    code = np.concatenate([renamed[b + p[2]] for p, b in zip(parts, base)])
+    row = np.concatenate([p[1] + r for p, r in zip(parts, rows)])
+    # codes of a row ascend again under their new numbers
+    order = np.lexsort((code, row))
+    code, row, times = code[order], row[order], np.concatenate([p[3] for p in parts])[order]
+    lang, source = (pa.chunked_array([p[k] for p in parts], pa.string()) for k in (4, 5))
+    groups = pa.table({"lang": lang, "source": source, "i": np.arange(rows[-1])}).group_by(["lang", "source"]).aggregate([("i", "list")])
+    of = np.empty(rows[-1], dtype=np.int64)
+    for g, members in enumerate(groups["i_list"]):
+        of[members.values.to_numpy()] = g
+    counted = _squeezed(of, np.bincount(row, minlength=rows[-1]), np.diff(code, prepend=0) % (1 << 32), times)
+    return pa.RecordBatch.from_pydict({
+        "block": pa.array([number]), "lang": pa.array([groups["lang"].to_pylist()], pa.list_(pa.string())),
+        "source": pa.array([groups["source"].to_pylist()], pa.list_(pa.string())),
+        "chunks": _single(coded.dictionary.cast(pa.string())),
+        "held": _single(pa.array(np.bincount(code, minlength=len(coded.dictionary)), pa.int32())),
+        "counted": pa.array([counted], pa.binary()),
+    })
+
+
+def _single(values: pa.Array) -> pa.Array:
+    """``values`` as the one list of a list column."""
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+
 def _count_chunks(batches):
-    """Blocks of documents: distinct chunks, and per document the number of each of its chunks.
+    """Blocks of documents: distinct chunks with the number of documents that hold each, and per document its chunks.
 
     ``counted`` holds the group of each document, its number of different chunks, and of these the steps from one
-    number to the next and how often each stands there."""
-    part, n = TaskContext.get().partitionId(), 0
+    number to the next and how often each stands there. A slice's texts are given up once they are counted."""
+    number, parts, size = TaskContext.get().partitionId() << 32, [], 0
     for batch in batches:
         _, offsets = buffers(batch.column(0))
-        for low, high in slices(offsets, BLOCK_BYTES):
-            texts = batch.column(0).slice(low, high - low).cast(pa.large_string()).fill_null("")
-            split = pc.ascii_split_whitespace(texts)
-            coded = split.flatten().dictionary_encode()
-            row = np.repeat(np.arange(high - low), pc.list_value_length(split).to_numpy())
-            code, words = coded.indices.to_numpy().astype(np.int64), len(coded.dictionary)
-            pair, times = np.unique(row * max(words, 1) + code, return_counts=True)
-            row, code = pair // max(words, 1), pair % max(words, 1)
-            lang, source = (batch.column(i).slice(low, high - low).fill_null("") for i in (1, 2))
-            groups = pa.table({"lang": lang, "source": source, "i": np.arange(high - low)}).group_by(["lang", "source"]).aggregate([("i", "list")])
-            of = np.empty(high - low, dtype=np.int64)
-            for g, rows in enumerate(groups["i_list"].to_pylist()):
-                of[rows] = g
-            yield pa.RecordBatch.from_pydict({
-                "block": pa.array([part << 32 | n]), "lang": pa.array([groups["lang"].to_pylist()], pa.list_(pa.string())),
-                "source": pa.array([groups["source"].to_pylist()], pa.list_(pa.string())),
-                "chunks": pa.array([coded.dictionary.to_pylist()], pa.list_(pa.string())),
-                "counted": pa.array([_squeezed(of, np.bincount(row, minlength=high - low), np.diff(code, prepend=0) % (1 << 32), times)], pa.binary()),
-            })
-            n += 1
+        for low, high in slices(offsets, SLICE_BYTES):
+            text, lang, source = (batch.column(i).slice(low, high - low) for i in range(3))
+            parts.append((*_slice_counted(text), *[c.cast(pa.string()).fill_null("") for c in (lang, source)]))
+            size += int(offsets[high] - offsets[low])
+            if size >= BLOCK_BYTES:
+                yield _block(number, parts)
+                number, parts, size = number + 1, [], 0
+    if parts:
+        yield _block(number, parts)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` as a compressed table in the shared folder: chunks and terms take far less than in a checkpoint."""
+    path = scratch_path(df.sparkSession)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def chunk_counts(docs: DataFrame) -> DataFrame:
@@ -93,46 +135,76 @@ def chunk_counts(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(_count_chunks, BLOCK)
 
 
-def chunk_terms(chunks: DataFrame) -> DataFrame:
-    """``chunk, term, times``: each distinct chunk split into its terms once."""
+def chunk_terms(blocks: DataFrame) -> DataFrame:
+    """``held, at, terms``: each distinct chunk that has terms, the documents that hold it, its places in the blocks'
+    dictionaries, and its terms, found once."""
+    entries = blocks.select("block", F.posexplode(F.arrays_zip("chunks", "held")).alias("i", "e")).select(
+        F.col("e.chunks").alias("chunk"), F.col("e.held").alias("held"), F.struct("block", "i").alias("at"))
+    # a chunk has a row per block here, so a frequent one is no larger than the list of blocks
+    distinct = entries.where("chunk <> ''").repartition("chunk").groupBy("chunk").agg(
+        F.sum("held").alias("held"), F.collect_list("at").alias("at"))
     found = F.regexp_extract_all(F.translate("chunk", _UPPER, _UPPER.lower()), F.lit(_TERM), F.lit(0))
-    split = chunks.distinct().select("chunk", found.alias("found"))
-    one = split.select("chunk", F.explode(F.array_distinct("found")).alias("term"), "found")
-    return one.select("chunk", "term", F.size(F.filter("found", lambda x: x == F.col("term"))).alias("times"))
+    split = distinct.select("held", "at", found.alias("found")).where(F.size("found") > 0)
+    terms = F.transform(F.array_distinct("found"), lambda t: F.struct(
+        t.alias("term"), F.size(F.filter("found", lambda x: x == t)).alias("times")))
+    return split.select("held", "at", terms.alias("terms"))
 
 
-def _block_terms(key: tuple, blocks: pd.DataFrame, terms: pd.DataFrame) -> pd.DataFrame:
-    """Documents and occurrences per group and term of one block."""
-    lang, source = blocks["lang"].iloc[0], blocks["source"].iloc[0]
-    of, many, step, times = _unsqueezed(blocks["counted"].iloc[0], 4)
+def _block_terms(blocks: pa.Table, terms: pa.Table) -> pa.Table:
+    """Documents and occurrences per language and term of one block, by source."""
+    lang, source = (blocks[c].combine_chunks()[0].values for c in ("lang", "source"))
+    of, many, step, times = _unsqueezed(blocks["counted"][0].as_py(), 4)
     code = np.cumsum(step.astype(np.uint32), dtype=np.uint32).astype(np.int64)
     row = np.repeat(np.arange(len(of)), many)
     # the terms of each chunk lie together
-    terms = terms.sort_values("i", kind="stable")
-    number, names = pd.factorize(terms["term"])
-    where = terms["i"].to_numpy(np.int64)
+    where = terms["i"].to_numpy().astype(np.int64)
+    order = np.argsort(where, kind="stable")
+    coded = terms["term"].combine_chunks().dictionary_encode()
+    number, each, where = coded.indices.to_numpy().astype(np.int64)[order], terms["times"].to_numpy()[order], where[order]
+    names = max(len(coded.dictionary), 1)
     first, last = np.searchsorted(where, code), np.searchsorted(where, code, side="right")
     size = last - first
     at = np.repeat(first - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
     # a term that stands in several chunks of a document counts that document once
-    pair, inverse = np.unique(np.repeat(row, size) * max(len(names), 1) + number[at], return_inverse=True)
-    occurs = np.bincount(inverse, weights=np.repeat(times, size) * terms["times"].to_numpy()[at], minlength=len(pair)).astype(np.int64)
-    cell, inverse = np.unique(of[pair // max(len(names), 1)] * max(len(names), 1) + pair % max(len(names), 1), return_inverse=True)
-    group, term = cell // max(len(names), 1), cell % max(len(names), 1)
-    return pd.DataFrame({
-        "lang": np.asarray(lang, dtype=object)[group], "source": np.asarray(source, dtype=object)[group], "term": np.asarray(names, dtype=object)[term],
-        "docs": np.bincount(inverse, minlength=len(cell)), "n": np.bincount(inverse, weights=occurs, minlength=len(cell)).astype(np.int64),
+    pair, inverse = np.unique(np.repeat(row, size) * names + number[at], return_inverse=True)
+    occurs = np.bincount(inverse, weights=np.repeat(times, size) * each[at], minlength=len(pair))
+    langs = lang.dictionary_encode()
+    # cells by language, term and group
+    group = of[pair // names]
+    key = (langs.indices.to_numpy().astype(np.int64)[group] * names + pair % names) * len(lang) + group
+    cell, inverse = np.unique(key, return_inverse=True)
+    whole, begin = np.unique(cell // len(lang), return_index=True)
+    offsets = pa.array(np.append(begin, len(cell)), pa.int32())
+
+    def listed(values: pa.Array) -> pa.Array:
+        return pa.ListArray.from_arrays(offsets, values)
+
+    return pa.table({
+        "lang": langs.dictionary.take(pa.array(whole // names)).cast(pa.string()),
+        "term": coded.dictionary.take(pa.array(whole % names)).cast(pa.string()),
+        "source": listed(source.take(pa.array(cell % len(lang))).cast(pa.string())),
+        "docs": listed(pa.array(np.bincount(inverse, minlength=len(cell)), pa.int64())),
+        "n": listed(pa.array(np.bincount(inverse, weights=occurs, minlength=len(cell)).astype(np.int64))),
     })
 
 
-def term_counts(blocks: DataFrame) -> DataFrame:
-    """``lang, source, term, docs, n``: documents with the term and its occurrences, in each group."""
-    dictionary = blocks.select("block", F.posexplode("chunks").alias("i", "chunk")).where("chunk <> ''")
-    terms = dictionary.join(chunk_terms(dictionary.select("chunk")), "chunk").select("block", "i", "term", "times")
+def term_counts(blocks: DataFrame, least: int = LEAST_DOCUMENTS) -> DataFrame:
+    """``lang, source, term, n``: occurrences of the kept terms, those in at least ``least`` documents of the language."""
+    split = stored(chunk_terms(blocks))
+    single = split.select("held", "at", F.explode("terms").alias("t")).select("held", "at", "t.*")
+    likely = stored(single.groupBy("term").agg(F.sum("held").alias("held")).where(F.col("held") >= least).select("term"))
+    size = likely.agg(F.sum(F.octet_length("term") + 16)).first()[0] or 0
+    wanted = single.join(F.broadcast(likely) if size <= BROADCAST_BYTES else likely, "term", "left_semi")
+    terms = wanted.select("term", "times", F.explode("at").alias("a")).select("a.block", "a.i", "term", "times")
     counted = blocks.select(F.col("block").alias("of"), "lang", "source", "counted")
-    found = counted.groupBy("of").cogroup(terms.groupBy("block")).applyInPandas(
-        _block_terms, "lang string, source string, term string, docs long, n long")
-    return found.groupBy("lang", "source", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
+    found = counted.groupBy("of").cogroup(terms.groupBy("block")).applyInArrow(
+        _block_terms, "lang string, term string, source array<string>, docs array<long>, n array<long>")
+    # one exchange: sums by source and over the sources of a language meet in the same tasks
+    by_source = found.repartition("lang", "term").select(
+        "lang", "term", F.explode(F.arrays_zip("source", "docs", "n")).alias("s")).groupBy("lang", "term", "s.source").agg(
+        F.sum("s.docs").alias("docs"), F.sum("s.n").alias("n"))
+    in_lang = F.sum("docs").over(Window.partitionBy("lang", "term"))
+    return by_source.withColumn("in_lang", in_lang).where(F.col("in_lang") >= least).select("lang", "source", "term", "n")
 
 
 def share(n: str, total: str, terms: str) -> Column:
@@ -181,13 +253,13 @@ def source_distances(shares: DataFrame, facts: DataFrame) -> DataFrame:
 def divergence(docs: DataFrame, least: int = LEAST_DOCUMENTS, top: int = TOP) -> DataFrame:
     """``lang, source, part, item, value, rank``: parts ``pair`` (all other sources of the language) and ``term``
     (terms with a greater share than in the language as a whole, the ``top`` first)."""
-    blocks = checkpointed(chunk_counts(docs))
-    counts = checkpointed(term_counts(blocks))
-    often = counts.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("all")).where(F.col("docs") >= least)
-    kept = checkpointed(counts.drop("docs").join(often.drop("docs"), ["lang", "term"]))
+    blocks = stored(chunk_counts(docs))
+    kept = stored(term_counts(blocks, least))
     facts = checkpointed(group_facts(blocks, kept))
     side = broadcast_if_small(facts)
-    shares = kept.join(side, ["lang", "source"]).select(
+    # a row per source in each window
+    whole = F.sum("n").over(Window.partitionBy("lang", "term"))
+    shares = kept.withColumn("all", whole).join(side, ["lang", "source"]).select(
         "lang", "source", "g", "term", "terms", "sources", share("n", "total", "terms").alias("p"), share("all", "lang_total", "terms").alias("q"))
     pairs = source_distances(shares, facts)
     both = pairs.unionByName(pairs.select("lang", F.col("b").alias("a"), F.col("a").alias("b"), "value"))
