@@ -366,14 +366,19 @@ def known_algorithm(name: str) -> str:
     return own
 
 
-def fit_clusterer(algorithm: str, df: DataFrame, columns: list[str], id_column: str, k: int,
-                  seed: int = 42, **params):
-    """Fit the named algorithm; names and parameters that it does not know are errors."""
-    name = known_algorithm(algorithm)
-    fit, by_id, accepted = _FITS[name]
+def checked_params(algorithm: str, params: dict) -> tuple[str, dict[str, int]]:
+    """The algorithm's own name and its parameters as numbers; unknown ones are errors."""
+    name, params = known_algorithm(algorithm), dict(params)
     if name == "gaussian_mixture" and params.pop("covariance_type", "diag") != "diag":
         raise ValueError("only diagonal covariances are supported")
-    if unknown := set(params) - accepted:
+    if unknown := set(params) - _FITS[name][2]:
         raise ValueError(f"{name} takes no {', '.join(sorted(unknown))}")
-    given = {key: int(value) for key, value in params.items()}
+    return name, {key: int(value) for key, value in params.items()}
+
+
+def fit_clusterer(algorithm: str, df: DataFrame, columns: list[str], id_column: str, k: int,
+                  seed: int = 42, **params):
+    """Fit the named algorithm; names and parameters that it does not know are errors."""
+    name, given = checked_params(algorithm, params)
+    fit, by_id, _ = _FITS[name]
     return fit(df, columns, k, *([id_column] if by_id else []), seed=seed, **given)

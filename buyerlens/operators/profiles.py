@@ -48,12 +48,12 @@ def segment_statistics(df: DataFrame, label: str = "segment_id",
     )
 
 
-def label_segments(statistics: DataFrame) -> DataFrame:
-    """Add a unique business label and its description to segment statistics."""
+def label_segments(statistics: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Add a business label, unique among the rows that agree in ``by``, and its description."""
     based = statistics.withColumn(
         "base_label", segment_label(F.col("z_recency_inverted"), F.col("z_frequency"), F.col("z_monetary"))
     )
-    named = disambiguate_labels(based, "base_label", "segment_id", "segment_label")
+    named = disambiguate_labels(based, "base_label", "segment_id", "segment_label", by)
     return named.withColumn("description", label_description(F.col("base_label"))).drop("base_label")
 
 

@@ -234,6 +234,17 @@ def sample_fraction(df: DataFrame, id_column: str, fraction: float, seed: int) -
     return _first_in_order(df, id_column, position, lambda n: min(max(int(n * fraction), 2), n))
 
 
+def in_samples(df: DataFrame, id_column: str, fraction: float, seeds: list[int]) -> list[Column]:
+    """Per seed, whether a row is among those that ``sample_fraction`` takes; all cuts are found in one pass."""
+    size = lambda n: min(max(int(n * fraction), 2), n)
+    positions = {f"p{i}": hash_position(F.col(id_column), seed).cast("double") for i, seed in enumerate(seeds)}
+    found = order_statistics(df, positions, lambda n: [size(n)], id_column)
+    return [
+        F.lit(True) if found[name].n == size(found[name].n)
+        else ~_after(position, F.col(id_column).cast("string"), found[name].rows[size(found[name].n)])
+        for name, position in positions.items()]
+
+
 def first_by_hash(df: DataFrame, id_column: str, rows: int, seed: int) -> DataFrame:
     """The first ``rows`` rows in the seeded hash order of the id, for small ``rows``.
 
@@ -268,8 +279,8 @@ def last_per_key(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFra
     return df.withColumn("_row", F.row_number().over(window)).where("_row = 1").drop("_row")
 
 
-def disambiguate_labels(df: DataFrame, base: str, order_by: str, out: str) -> DataFrame:
-    """Second and later uses of a base label get ``_2``, ``_3`` … in order."""
-    nth = F.row_number().over(Window.partitionBy(base).orderBy(order_by))
+def disambiguate_labels(df: DataFrame, base: str, order_by: str, out: str, by: list[str] | None = None) -> DataFrame:
+    """Second and later uses of a base label get ``_2``, ``_3`` … in order, among rows that agree in ``by``."""
+    nth = F.row_number().over(Window.partitionBy(*(by or []), base).orderBy(order_by))
     suffix = F.when(nth > 1, F.concat(F.lit("_"), nth.cast("string"))).otherwise("")
     return df.withColumn(out, F.concat(F.col(base), suffix))

@@ -33,11 +33,18 @@ class SegmentModel:
     labels: dict[int, str] = field(default_factory=dict)
     name: str = MODEL_NAME
     version: str = "candidate"
+    spec: dict = field(default_factory=dict)
 
     @property
     def input_columns(self) -> list[str]:
         return self.preprocessor.inputs
 
+    @property
+    def refit_spec(self) -> dict:
+        """The grid point to fit this model again: as it was fitted, or for a given model the nearest one."""
+        algorithm = "gaussian_mixture" if isinstance(self.clusters, MixtureModel) else "kmeans"
+        return {"algorithm": algorithm, "n_clusters": self.clusters.k, "params": {}, "columns": self.input_columns} | self.spec
+
     def prepare(self, df: DataFrame) -> DataFrame:
         return self.preprocessor.transform(df)
 
@@ -52,7 +59,8 @@ def fit_model(features: DataFrame, algorithm: str, k: int, id_column: str = "cus
     """Fit preparation and clusters on the same rows."""
     prepared = fit_preprocessor(features, list(columns), list(log_columns))
     matrix = prepared.transform(features).select(id_column, *prepared.outputs)
-    return SegmentModel(prepared, fit_clusterer(algorithm, matrix, prepared.outputs, id_column, k, seed, **params))
+    clusters = fit_clusterer(algorithm, matrix, prepared.outputs, id_column, k, seed, **params)
+    return SegmentModel(prepared, clusters, spec={"algorithm": algorithm, "n_clusters": k, "params": params, "columns": list(columns)})
 
 
 def label_lookup(df: DataFrame, labels: DataFrame) -> DataFrame:

@@ -8,15 +8,14 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from buyerlens.operators import quality
+from buyerlens.operators import quality, together
 from buyerlens.operators.cluster_metrics import cluster_metrics
 from buyerlens.operators.clustering import MixtureModel, known_algorithm
 from buyerlens.operators.gates import PromotionPolicy, evaluate_promotion, with_champion
-from buyerlens.operators.profiles import build_profiles
-from buyerlens.operators.scoring import (
-    SegmentModel, fit_model, integration_probe, signature_compatible, smoke_predict,
-)
+from buyerlens.operators.profiles import label_segments
+from buyerlens.operators.scoring import SegmentModel, integration_probe, signature_compatible, smoke_predict
 from buyerlens.operators.selection import TrialGates, select_candidate, with_lineage
 from buyerlens.operators.stability import period_stability, subsample_stability
 from buyerlens.session import checkpointed
@@ -39,6 +38,10 @@ TRIAL_SCHEMA = (
     "min_size bigint, max_size bigint, min_share double, "
     "stability_ari_subsample double, stability_ari_subsample_std double"
 )
+PROFILE_SCHEMA = (
+    "trial_index int, segment_id int, size bigint, share double, recency_days_mean double, frequency_mean double, "
+    "monetary_mean double, avg_ticket_mean double, z_recency_inverted double, z_frequency double, z_monetary double"
+)
 
 
 def search_space(search: dict[str, dict[str, list]]) -> Iterator[dict]:
@@ -60,6 +63,7 @@ class Experiment:
     model: SegmentModel
     profiles: DataFrame
     period: Row | None = None
+    trial_profiles: DataFrame | None = None
 
 
 def evaluate_model(model: SegmentModel, features: DataFrame) -> tuple[DataFrame, dict]:
@@ -74,55 +78,72 @@ def evaluate_model(model: SegmentModel, features: DataFrame) -> tuple[DataFrame,
     return labelled.drop(*model.preprocessor.outputs), metrics
 
 
+@dataclass(frozen=True)
+class Search:
+    """All trials of a search, their models in grid order, and the labelled profiles of their segments."""
+
+    trials: DataFrame
+    models: list[SegmentModel]
+    profiles: DataFrame
+
+
+def search_clusters(features: DataFrame, search: dict = SEARCH, stability: dict = STABILITY, seed: int = 42,
+                    centres: list[list[float]] | None = None, rounds: int | None = None) -> Search:
+    """Fit and measure every grid point, on all rows and on the subsamples, in shared passes.
+
+    With ``centres`` all models start at the first of these instead of at seeded starts, and with ``rounds``
+    they take exactly so many. The driver holds a row per grid point and segment; the observed number of
+    clusters replaces the requested one."""
+    specs = list(search_space(search))
+    matrix = together.prepared(features, ID, seed=seed, **stability)
+    members = together.given_starts(matrix, specs, centres) if centres else together.starts(matrix, specs, seed)
+    models = together.best_models(matrix, together.fit_all(matrix, members, rounds))
+    rows, segments = [], []
+    for index, (spec, metrics) in enumerate(zip(specs, together.measure_all(matrix, models))):
+        rows.append({**spec, "trial_index": index, "params": {k: str(v) for k, v in spec["params"].items()}, **metrics})
+        segments += [{"trial_index": index, **segment} for segment in metrics["segments"]]
+    spark = features.sparkSession
+    names, profile_names = T.StructType.fromDDL(TRIAL_SCHEMA).names, T.StructType.fromDDL(PROFILE_SCHEMA).names
+    return Search(
+        spark.createDataFrame([tuple(r[n] for n in names) for r in rows], TRIAL_SCHEMA),
+        [SegmentModel(matrix.views[0], models[i, 0], spec=spec) for i, spec in enumerate(specs)],
+        label_segments(spark.createDataFrame([tuple(s[n] for n in profile_names) for s in segments], PROFILE_SCHEMA), ["trial_index"]),
+    )
+
+
 def cluster_search(features: DataFrame, search: dict = SEARCH, stability: dict = STABILITY,
                    seed: int = 42) -> DataFrame:
-    """Fit every grid point; one trial row each with metrics and stability.
+    """The trials of a search: one row per grid point with metrics and stability."""
+    return search_clusters(features, search, stability, seed).trials
 
-    The features are materialised once. The driver holds one row per grid point;
-    the observed number of clusters replaces the requested one."""
-    base = checkpointed(features)
-    rows = []
-    for index, spec in enumerate(search_space(search)):
-        def fit(df: DataFrame, spec=spec) -> SegmentModel:
-            return fit_model(df, spec["algorithm"], spec["n_clusters"], seed=seed, **spec["params"])
 
-        model = fit(base)
-        labelled, metrics = evaluate_model(model, base)
-        metrics |= subsample_stability(fit, base, labelled, ID, seed=seed, **stability)
-        rows.append({
-            **spec, "trial_index": index, "params": {k: str(v) for k, v in spec["params"].items()}, **metrics,
-        })
-    names = [c.split()[0] for c in TRIAL_SCHEMA.split(", ")]
-    return features.sparkSession.createDataFrame([tuple(r[n] for n in names) for r in rows], TRIAL_SCHEMA)
+def fit_spec(features: DataFrame, spec: dict, seed: int = 42) -> SegmentModel:
+    """One grid point on these features, with its own preparation."""
+    matrix = together.prepared(features, ID, seed=seed, columns=spec.get("columns"))
+    members = together.fit_all(matrix, together.starts(matrix, [spec], seed))
+    return SegmentModel(matrix.views[0], together.best_models(matrix, members)[0, 0], spec=spec)
 
 
 def run_experiment(features: DataFrame, search: dict = SEARCH, gates: TrialGates = TrialGates(),
                    stability: dict = STABILITY, other_period: DataFrame | None = None, seed: int = 42,
                    features_uri: str = "", parent_id: str = "") -> Experiment:
-    """Search, select, refit the winner on all rows and profile its segments."""
+    """Search, select, and compare the winner, which was fitted on all rows, with that of another period."""
     base = checkpointed(features)
-    trials = cluster_search(base, search, stability, seed)
+    found = search_clusters(base, search, stability, seed)
     first = base.select("feature_set_version", "as_of_date").first()
     winner = select_candidate(
-        trials.withColumn("experiment", F.lit(1)), ["experiment"], gates
+        found.trials.withColumn("experiment", F.lit(1)), ["experiment"], gates
     ).drop("experiment").first()
-
-    spec = list(search_space(search))[winner["trial_index"]]
-
-    def fit(df: DataFrame) -> SegmentModel:
-        return fit_model(df, spec["algorithm"], spec["n_clusters"], seed=seed, **spec["params"])
-
-    model = fit(base)
-    labelled = model.assign(base)
-    profiles = build_profiles(labelled)
+    model = found.models[winner["trial_index"]]
+    profiles = found.profiles.where(F.col("trial_index") == winner["trial_index"]).drop("trial_index").orderBy("segment_id")
     labels = {r["segment_id"]: r["segment_label"] for r in profiles.collect()}
     period = None
     if other_period is not None:
         # each model labels its own period
-        theirs = fit(other_period).assign(other_period)
-        period = period_stability(labelled, theirs, ID).first()
-    logged = with_lineage(trials, first["feature_set_version"], first["as_of_date"], features_uri, parent_id)
-    return Experiment(logged, winner, replace(model, labels=labels), profiles, period)
+        theirs = fit_spec(other_period, model.spec, seed).assign(other_period)
+        period = period_stability(model.assign(base), theirs, ID).first()
+    logged = with_lineage(found.trials, first["feature_set_version"], first["as_of_date"], features_uri, parent_id)
+    return Experiment(logged, winner, replace(model, labels=labels), profiles, period, found.profiles)
 
 
 def run_quality_gates(features: DataFrame, model: SegmentModel, probe_path: str,
@@ -137,11 +158,8 @@ def run_quality_gates(features: DataFrame, model: SegmentModel, probe_path: str,
     labelled, computed = evaluate_model(model, base)
     facts = {**computed, **(metrics or {})}
     if facts.get("stability_ari_subsample") is None:
-        algorithm = "gaussian_mixture" if isinstance(model.clusters, MixtureModel) else "kmeans"
-        facts |= subsample_stability(
-            lambda df: fit_model(df, algorithm, model.clusters.k, seed=seed), base, labelled, ID,
-            n_subsamples=1, seed=seed,
-        )
+        # the candidate's own algorithm, columns and parameters
+        facts |= subsample_stability(lambda df: fit_spec(df, model.refit_spec, seed), base, labelled, ID, n_subsamples=1, seed=seed)
     signature = signature_compatible(model, base)
     smoke = smoke_predict(model, base, policy.smoke_min_rows)
     probe = integration_probe(base, model, probe_path)

@@ -9,12 +9,10 @@ from buyerlens.contracts import CUSTOMER_SEGMENTS
 from buyerlens.functions.scalars import SEGMENT_DESCRIPTIONS
 from buyerlens.operators import cluster_metrics as metrics
 from buyerlens.operators import gates, preprocess, profiles, scoring, selection, stability
-from buyerlens.operators.clustering import fit_clusterer
 from buyerlens.operators.quality import contract_expressions
 from buyerlens.oracle_base import AS_OF, PRIOR, enriched, features_cte, r6
 from buyerlens.oracle_base import rollup as rollup_cte
 from buyerlens.plans import feature_table as plan
-from buyerlens.plans import training
 from buyerlens.registry import register
 from buyerlens.registry.features import rounded
 from buyerlens.registry.given import CENTRES, LABELS, STAMP, given_model
@@ -546,51 +544,3 @@ UNION ALL SELECT 'freshness_48h', 'sla', 41.0, true""")
 def segment_contract(spark, sf_dir):
     """Declared checks of the segments table, 41 hours after scoring."""
     return contract_expressions(_segments(spark, sf_dir), CUSTOMER_SEGMENTS, "TIMESTAMP '2001-08-08 00:00:00'")
-
-
-# --- fits: no SQL form, invariants are tested --------------------------------------------
-
-def _fitted_summary(spark, sf_dir, algorithm: str, k: int = 4) -> DataFrame:
-    """Size and mean squared distance to the own mean of every fitted cluster."""
-    features = _features(spark, sf_dir)
-    prepared = preprocess.fit_preprocessor(features)
-    matrix = prepared.transform(features).select("customer_unique_id", *prepared.outputs)
-    model = fit_clusterer(algorithm, matrix, prepared.outputs, "customer_unique_id", k)
-    labelled = metrics.with_own_centroid(model.assign(matrix), "segment_id", prepared.outputs)
-    return labelled.groupBy(F.col("label").alias("segment_id")).agg(
-        F.count(F.lit(1)).alias("size"), F.avg("d2").alias("mean_d2")
-    )
-
-
-@register("kmeans_fit")
-def kmeans_fit(spark, sf_dir):
-    return _fitted_summary(spark, sf_dir, "kmeans")
-
-
-@register("minibatch_kmeans_fit")
-def minibatch_kmeans_fit(spark, sf_dir):
-    return _fitted_summary(spark, sf_dir, "minibatch_kmeans")
-
-
-@register("gmm_diag_fit")
-def gmm_diag_fit(spark, sf_dir):
-    return _fitted_summary(spark, sf_dir, "gaussian_mixture")
-
-
-@register("subsample_stability")
-def subsample_stability(spark, sf_dir):
-    features = _features(spark, sf_dir)
-
-    def fit(df):
-        return scoring.fit_model(df, "kmeans", 3)
-
-    found = stability.subsample_stability(
-        fit, features, fit(features).assign(features), "customer_unique_id", n_subsamples=2
-    )
-    return spark.createDataFrame([tuple(float(v) for v in found.values())], [*found])
-
-
-@register("cluster_search")
-def cluster_search(spark, sf_dir):
-    """The short grid: one row per fitted clustering."""
-    return training.cluster_search(_features(spark, sf_dir), training.SEARCH_QUICK)
