@@ -34,10 +34,20 @@ def keep_first(df: DataFrame, keys: list[str], order_by: list[Column] | None = N
     return df.withColumn("_row", F.row_number().over(window)).where("_row = 1").drop("_row")
 
 
+# columns of the month that a row was delivered in; the first of several copies is that of the earliest
+MONTH = ("year", "month")
+
+
+def delivered_months(df: DataFrame) -> list[str]:
+    return list(MONTH) if all(c in df.columns for c in MONTH) else []
+
+
 def _dedup(df: DataFrame, keys: list[str], required: list[str]) -> DataFrame:
     # rows without a key are dropped in any case; dropping them first keeps a
     # large null group out of the shuffle
-    return keep_first(df.dropna(subset=keys), keys).dropna(subset=required)
+    months = delivered_months(df)
+    first = keep_first(df.dropna(subset=keys), keys, [F.col(c).asc_nulls_first() for c in months])
+    return first.drop(*months).dropna(subset=required)
 
 
 def clean_orders(orders: DataFrame) -> DataFrame:

@@ -54,9 +54,10 @@ class Watched:
 
 def _first_counted(rows: DataFrame, keys: list[str]) -> DataFrame:
     """As ``keep_first`` keeps them, with the number of copies; partial sums keep a hot key small."""
-    rest = [c for c in rows.columns if c not in keys]
+    months = cleaning.delivered_months(rows)
+    rest = [*months, *[c for c in rows.columns if c not in (*keys, *months)]]
     found = rows.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("r"), F.count(F.lit(1)).alias(_COPIES))
-    return found.select(*[F.col(c) if c in keys else F.col(f"r.{c}") for c in rows.columns], _COPIES)
+    return found.select(*[F.col(c) if c in keys else F.col(f"r.{c}") for c in rows.columns if c not in months], _COPIES)
 
 
 def checked_items(sources: Sources, as_of: str | date, window_days: int = 365,
@@ -99,7 +100,7 @@ def checked_items(sources: Sources, as_of: str | date, window_days: int = 365,
     items = raw("order_items", sources.items).join(side, "order_id", "left")
     items = cleaning.with_price(deduplicated("order_items", items))
     items = orphans("fk_items_orders", items, F.count_if(F.col(_ORDER).isNull()), "order_id")
-    wide = items.select(*sources.items.columns, f"{_ORDER}.*").where("_known")
+    wide = items.select("*", f"{_ORDER}.*").drop(_ORDER).where("_known")
     kept = cleaning.observation_window(wide, as_of, window_days, statuses)
     columns = feature_table.enriched_items(sources, as_of, window_days, statuses).columns
     return kept.select(*columns), watched

@@ -22,12 +22,13 @@ from buyerlens.sources.versions import VersionedTable
 def load_sources(spark: SparkSession, processed: str, as_of: str | date, window_days: int = 365) -> Sources:
     """The processed months of the window and the customer snapshot."""
     months = partitions.month_list(as_of, window_days)
-    customers = spark.read.schema(CONTRACTS["customers"].landing_schema).parquet(f"{processed}/customers")
 
     def months_of(dataset: str) -> DataFrame:
-        return partitions.load_partitions(spark, processed, dataset, months).drop("year", "month")
+        # year and month stay: of several copies of a row, that of the earliest month is the first
+        return partitions.load_partitions(spark, processed, dataset, months)
 
-    return Sources(months_of("orders"), customers, months_of("order_items"), months_of("order_payments"))
+    return Sources(
+        months_of("orders"), partitions.load_snapshot(spark, processed), months_of("order_items"), months_of("order_payments"))
 
 
 def check_sources(sources: Sources) -> None:

@@ -75,12 +75,39 @@ def remove_path(spark: SparkSession, path: str) -> bool:
     return store.delete(target, True)
 
 
-def file_names(spark: SparkSession, folder: str) -> list[str] | None:
-    """Names in one folder of whatever store its path names; None if it is absent."""
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file within one store; the folder of the target is made where it is absent."""
+    store, old = _store(spark, source)
+    new = _store(spark, target)[1]
+    store.mkdirs(new.getParent())
+    if not store.rename(old, new):
+        raise OSError(f"{source} was not renamed to {target}")
+
+
+def listed(spark: SparkSession, folder: str) -> list[tuple[str, int]] | None:
+    """Names and times (milliseconds) in one folder of whatever store its path names; None if it is absent."""
     store, target = _store(spark, folder)
     if not store.exists(target):
         return None
-    return [entry.getPath().getName() for entry in store.listStatus(target)]
+    return [(entry.getPath().getName(), entry.getModificationTime()) for entry in store.listStatus(target)]
+
+
+def file_names(spark: SparkSession, folder: str) -> list[str] | None:
+    found = listed(spark, folder)
+    return None if found is None else [name for name, _ in found]
+
+
+def first_line(spark: SparkSession, path: str) -> str:
+    """The first line of a text file, compressed or not; empty if there is none."""
+    store, target = _store(spark, path)
+    java = spark._jvm.java.io
+    codec = spark._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark._jsc.hadoopConfiguration()).getCodec(target)
+    stream = store.open(target)
+    reader = java.BufferedReader(java.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8"))
+    try:
+        return reader.readLine() or ""
+    finally:
+        reader.close()
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

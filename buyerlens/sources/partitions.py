@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 from datetime import date, timedelta
 
@@ -13,7 +12,7 @@ from pyspark.sql import types as T
 
 from buyerlens.contracts import CONTRACTS, INCREMENTAL_DATASETS, Contract
 from buyerlens.functions.scalars import as_date, month_key
-from buyerlens.session import file_names
+from buyerlens.sources import ledger
 from buyerlens.sources.versions import REPORT, VersionedTable
 
 LOG_SCHEMA = (
@@ -21,10 +20,6 @@ LOG_SCHEMA = (
     f"row_count bigint, passed boolean, n_segments bigint, report {REPORT}"
 )
 
-#: Names of landing files; a copy such as ``orders.csv.bak`` is none.
-LANDED = re.compile(r"\.csv(\.(gz|bz2|zst|lz4|snappy|deflate))?$")
-
-
 def read_landing_csv(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
     """CSV with header under the contract's column types; a missing path is an error.
 
@@ -123,15 +118,6 @@ def missing_partitions(months: DataFrame, observed: DataFrame,
     )
 
 
-def landed_months(spark: SparkSession, landing: str, dataset: str,
-                  wanted: Sequence[tuple[int, int]]) -> list[tuple[int, int]]:
-    """The wanted months of a dataset that hold a landing file, compressed or not.
-
-    Only the wanted folders are listed, whatever else has ever landed."""
-    return [(y, m) for y, m in wanted if any(
-        LANDED.search(name) for name in file_names(spark, f"{landing}/{dataset}/year={y:04d}/month={m:02d}") or [])]
-
-
 def write_partitions(df: DataFrame, path: str, partition_by: list[str]) -> int:
     """Replace exactly the partitions present in ``df``; return the rows written.
 
@@ -164,40 +150,33 @@ def is_partition_complete(spark: SparkSession, path: str, **partition) -> bool:
 
 def ingest_months(spark: SparkSession, landing: str, processed: str, dataset: str,
                   months: Sequence[tuple[int, int]]) -> int:
-    """Move the given landing months of one dataset to Parquet in one job."""
+    """Bring the given months of one dataset up to their newest delivery in one job; return their stored rows."""
     if dataset not in INCREMENTAL_DATASETS:
         raise ValueError(f"{dataset} is not delivered by month")
-    contract = CONTRACTS[dataset]
-    rows = (
-        spark.read.schema(contract.landing_schema).option("header", True)
-        # columns in another order are an error, not swapped values
-        .option("enforceSchema", False).option("escape", '"')
-        .option("basePath", f"{landing}/{dataset}")
-        .csv([f"{landing}/{dataset}/year={y:04d}/month={m:02d}" for y, m in months])
-    )
-    return write_partitions(rows, f"{processed}/{dataset}", ["year", "month"])
+    wanted = [ledger.month_name(y, m) for y, m in months]
+    ledger.refresh(spark, landing, processed, dataset, wanted)
+    live = ledger.dataset_store(spark, processed, dataset).snapshot().live
+    return sum(live[name]["row_count"] for name in wanted if name in live)
 
 
 def ingest_snapshot(spark: SparkSession, landing: str, processed: str) -> int:
-    """Replace the customer snapshot; a missing landing snapshot is an error."""
-    rows = read_landing_csv(spark, f"{landing}/customers/snapshot=full", CONTRACTS["customers"])
-    seen = Observation()
-    (
-        rows.observe(seen, F.count(F.lit(1)).alias("n"))
-        .write.mode("overwrite").parquet(f"{processed}/customers")
-    )
-    return seen.get["n"]
+    """Bring the customer snapshot up to its newest delivery; without any it is an error."""
+    ledger.refresh(spark, landing, processed, "customers", [ledger.SNAPSHOT])
+    stored = ledger.dataset_store(spark, processed, "customers").snapshot().live.get(ledger.SNAPSHOT)
+    if stored is None:
+        raise FileNotFoundError(f"no customer snapshot has landed in {landing}")
+    return stored["row_count"]
 
 
 def ingest_window(spark: SparkSession, landing: str, processed: str, as_of: str | date,
                   window_days: int = 365) -> dict:
-    """Ingest every landed month of the window; absent months are reported."""
+    """Ingest every landed month of the window; months that are not stored then are reported."""
     wanted = month_list(as_of, window_days)
     rows, missing = {}, []
     for dataset in INCREMENTAL_DATASETS:
-        found = landed_months(spark, landing, dataset, wanted)
-        missing += [f"{dataset}/{y:04d}-{m:02d}" for y, m in wanted if (y, m) not in found]
-        rows[dataset] = ingest_months(spark, landing, processed, dataset, found) if found else 0
+        rows[dataset] = ingest_months(spark, landing, processed, dataset, wanted)
+        stored = ledger.dataset_store(spark, processed, dataset).snapshot().live
+        missing += [f"{dataset}/{ledger.month_name(y, m)}" for y, m in wanted if ledger.month_name(y, m) not in stored]
     rows["customers"] = ingest_snapshot(spark, landing, processed)
     return {"as_of_date": as_date(as_of).isoformat(), "window_days": window_days,
             "months": wanted, "rows": rows, "missing_partitions": sorted(missing)}
@@ -205,28 +184,15 @@ def ingest_window(spark: SparkSession, landing: str, processed: str, as_of: str
 
 def load_partitions(spark: SparkSession, processed: str, dataset: str,
                     months: Sequence[tuple[int, int]]) -> DataFrame:
-    """Rows of the given months in one pruned read; absent months are skipped and
+    """Rows of the given months in one read of their files alone; absent months are skipped and
     no month at all gives an empty table."""
-    contract = CONTRACTS[dataset]
-    schema = contract.landing_schema.add("year", "integer").add("month", "integer")
-    try:
-        table = spark.read.schema(schema).parquet(f"{processed}/{dataset}")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-    return table.where(in_months(months))
-
-
-def in_months(months: Sequence[tuple[int, int]]):
-    """Predicate on the partition columns; prunes directories."""
-    by_year: dict[int, list[int]] = {}
-    for year, month in months:
-        by_year.setdefault(year, []).append(month)
-    predicate = F.lit(False)
-    for year, wanted in by_year.items():
-        predicate = predicate | ((F.col("year") == year) & F.col("month").isin(wanted))
-    return predicate
+    store = ledger.dataset_store(spark, processed, dataset)
+    live = store.snapshot().live
+    return store.read(*[live.get(ledger.month_name(y, m)) for y, m in months])
+
+
+def load_snapshot(spark: SparkSession, processed: str) -> DataFrame:
+    return ledger.dataset_store(spark, processed, "customers").current()
 
 
 def feature_store(spark: SparkSession, path: str) -> VersionedTable:

@@ -33,7 +33,7 @@ BUCKET_ROWS = 1_000_000
 #: Requested keys up to which they are pushed into the scan; more meet the rows in a join.
 PUSHED_KEYS = 1_000
 # columns that the folders of a table are named by
-BUCKET, COMMIT = "_bucket", "_commit"
+BUCKET, COMMIT, PART = "_bucket", "_commit", "_part"
 KEY_CHECK = "primary_key_unique"
 
 
@@ -90,14 +90,18 @@ class VersionedTable:
             next((r["c"] for r in newest if r["kind"] == "publish"), None))
 
     def _append(self, kind: str, **entry) -> Row:
+        return self._append_all(kind, [entry])[0]
+
+    def _append_all(self, kind: str, entries: list[dict]) -> list[Row]:
+        """Commits that readers see together: their rows are one file, which appears at once."""
         last = self.commits().agg(F.max("version")).first()[0]
         schema = T.StructType.fromDDL(COMMITS.rpartition(", ")[0])
-        row = dict.fromkeys(schema.names) | {"version": (last or 0) + 1, "kind": kind} | entry
+        rows = [dict.fromkeys(schema.names) | {"version": (last or 0) + 1, "kind": kind} | entry for entry in entries]
         (
-            self.spark.createDataFrame([tuple(row[f.name] for f in schema)], schema).withColumn("created_at", F.current_timestamp())
-            .coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
+            self.spark.createDataFrame([tuple(row[f.name] for f in schema) for row in rows], schema)
+            .withColumn("created_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
         )
-        return Row(**row)
+        return [Row(**row) for row in rows]
 
     # --- writing --------------------------------------------------------------------------
 
@@ -146,6 +150,20 @@ class VersionedTable:
             raise
         return self._append("write", **entry)
 
+    def write_parts(self, rows: DataFrame, part: Column, facts: dict[str, dict[str, str]]) -> list[Row]:
+        """One job that writes new versions of several partitions, named by ``part``, and one commit of all.
+
+        ``facts`` names the partitions; one without rows is committed empty. A hot partition is many files."""
+        commit = uuid.uuid4().hex
+        named = rows.select(*self.schema.names, part.alias(PART))
+        named.hint("rebalance", PART).write.partitionBy(PART).parquet(self._folder(commit))
+        stored = self.spark.read.schema(self._stored_schema([PART])).parquet(self._folder(commit))
+        counts = {r[PART]: r["count"] for r in stored.groupBy(PART).count().collect()}
+        return self._append_all("write", [
+            {"commit": commit, "data": f"{commit}/{PART}={name}" if name in counts else None, "partition": name,
+             "row_count": counts.get(name, 0), "facts": of}
+            for name, of in facts.items()])
+
     def _verdict(self, found: dict, upstream: Callable[[], list[tuple]] | None, explain: Callable[[str, int], str] | None) -> dict:
         report = list(upstream()) if upstream else []
         for check, n in ((k[2:], v) for k, v in found.items() if k.startswith("v:")):
@@ -174,11 +192,14 @@ class VersionedTable:
     def _folder(self, commit: str) -> str:
         return f"{self.root}/data/{COMMIT}={commit}"
 
+    def _stored_schema(self, folders: list[str]) -> T.StructType:
+        return T.StructType([*self.schema, *[T.StructField(c, T.IntegerType() if c == BUCKET else T.StringType()) for c in folders]])
+
     # --- reading --------------------------------------------------------------------------
 
     def _scan(self, commits: list[Row]) -> DataFrame:
-        buckets = [T.StructField(BUCKET, T.IntegerType())] if self.key else []
-        schema = T.StructType([*self.schema, T.StructField(COMMIT, T.StringType()), *buckets])
+        commits = [c for c in commits if c["data"]]
+        schema = self._stored_schema([COMMIT, *([BUCKET] if self.key else []), *([PART] if any("/" in c["data"] for c in commits) else [])])
         if not commits:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).option("basePath", f"{self.root}/data").parquet(

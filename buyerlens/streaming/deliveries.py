@@ -1,105 +1,44 @@
-"""Incremental ingest: a file stream in which the newest delivery replaces its month."""
+"""Incremental ingest: a file stream that names the months with news, and the ledger that brings them up to date."""
 
 from __future__ import annotations
 
-from urllib.parse import unquote
-
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from buyerlens.contracts import CONTRACTS, INCREMENTAL_DATASETS
-from buyerlens.operators.sizing import broadcast_if_small
-from buyerlens.sources.partitions import write_partitions
-
 
-#: A file of a month's deliveries.
-STORED = "year int, month int, _delivery string, _file string, _delivered timestamp"
+from buyerlens.contracts import INCREMENTAL_DATASETS
+from buyerlens.sources import ledger
 
 
 def delivery_stream(spark: SparkSession, landing: str, dataset: str) -> DataFrame:
-    """Rows of new files under ``landing/<dataset>/year=/month=`` with their origin.
-
-    A delivery is one new file per month, or all files of one Spark write. A file
-    rewritten under its old name is not seen again, so deliveries carry distinct
-    names. Parts of one that become visible later join it in a later run."""
-    if dataset not in INCREMENTAL_DATASETS:
-        raise ValueError(f"{dataset} is not delivered by month")
-    schema = CONTRACTS[dataset].landing_schema.add("year", "integer").add("month", "integer")
-    reader = (
-        spark.readStream.schema(schema).option("header", True)
-        # columns in another order are an error, not swapped values
-        .option("enforceSchema", False).option("escape", '"')
-    )
-    return _with_origin(reader.csv(f"{landing}/{dataset}"))
-
-
-def _with_origin(rows: DataFrame) -> DataFrame:
-    """Rows with their file, its delivery and its time. A delivery is the name up to the first dot, without
-    the task number and the file counter that a Spark write puts around it."""
-    stem = F.regexp_extract(F.col("_metadata.file_name"), r"^([^.]+)", 1)
-    return rows.select(
-        "*", F.regexp_replace(stem, r"^part-\d+-(.+?)(-c\d+)?$", "$1").alias("_delivery"),
-        F.col("_metadata.file_modification_time").alias("_delivered"), F.col("_metadata.file_path").alias("_file"),
-    )
-
-
-def _stored_files(spark: SparkSession, path: str) -> DataFrame:
-    try:
-        return spark.read.schema(STORED).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], STORED)
-
-
-def newest_files(arrived: DataFrame, stored: DataFrame) -> DataFrame:
-    """All files of the months of ``arrived``; ``_wins`` are those that a changed month is made of.
+    """Lines of new files under ``landing/<dataset>`` with the folder columns that they came with.
 
-    The newest delivery of a month counts, of those that arrived and the stored one; ties go to the greater
-    name. Further files of a delivery join it, and a month whose newest delivery got none is left
-    as it is. One row per file, so a month is never gathered in one task."""
-    month = ["year", "month"]
-    known = stored.join(F.broadcast(arrived.select(*month).distinct()), month, "left_semi")
-    every = known.withColumn("_new", F.lit(0)).unionByName(arrived.withColumn("_new", F.lit(1)))
-    every = every.groupBy(*month, "_delivery", "_file").agg(F.max("_delivered").alias("_delivered"), F.max("_new").alias("_new"))
-    of_delivery = every.groupBy(*month, "_delivery").agg(F.max("_delivered").alias("at"), F.max("_new").alias("changed"))
-    newest = of_delivery.groupBy(*month).agg(F.max(F.struct("at", "_delivery", "changed")).alias("n")).where("n.changed = 1")
-    newest = newest.select(*month, F.col("n._delivery").alias("_delivery"), F.lit(True).alias("_wins"))
-    return every.join(newest, [*month, "_delivery"], "left").select(
-        *month, "_delivery", "_file", "_delivered", "_new", F.coalesce("_wins", F.lit(False)).alias("_wins"))
+    A file rewritten under its old name is not seen again; the batch ingest sees it by its time."""
+    if dataset in INCREMENTAL_DATASETS:
+        schema = "value string, year int, month int"
+    elif dataset == "customers":
+        schema = "value string, snapshot string"
+    else:
+        raise ValueError(f"{dataset} is not delivered")
+    return spark.readStream.schema(schema).option("pathGlobFilter", "*.csv*").text(f"{landing}/{dataset}")
 
 
 def ingest_deliveries(spark: SparkSession, landing: str, processed: str, dataset: str, checkpoint: str) -> None:
     """Process all deliveries that have arrived, then stop.
 
-    A micro-batch overwrites exactly the months it touches and reads nothing back from the target. Beside
-    the data, ``_deliveries/<dataset>`` names the files of each month's deliveries: when a further part of the
-    newest arrives, the month is written again from all its landing files, so these stay until the delivery is
-    whole. Files are a set and their names are stored after the data, so replaying a batch after a failure
-    changes nothing. An older delivery that arrives late changes nothing either."""
-    names = f"{processed}/_deliveries/{dataset}"
+    A micro-batch only says which months, or that the snapshot, got files; :func:`ledger.refresh` decides and
+    writes. Replaying a batch after a failure finds nothing new or does what is left to do."""
+    monthly = dataset in INCREMENTAL_DATASETS
 
-    def replace_months(batch: DataFrame, _: int) -> None:
-        arrived = batch.groupBy("year", "month", "_delivery", "_file").agg(F.max("_delivered").alias("_delivered"))
-        files = newest_files(arrived, _stored_files(spark, names)).collect()  # as many as the source lists
-        if not files:
-            return
-        named = spark.createDataFrame(files, STORED + ", _new int, _wins boolean")
-        rows = batch.join(broadcast_if_small(named.where("_wins").select("_file")), "_file", "left_semi").drop("_delivery", "_delivered", "_file")
-        earlier = [unquote(f["_file"]) for f in files if f["_wins"] and not f["_new"]]
-        if earlier:
-            contract = CONTRACTS[dataset].landing_schema.add("year", "integer").add("month", "integer")
-            rows = rows.unionByName(
-                spark.read.schema(contract).option("header", True).option("enforceSchema", False).option("escape", '"')
-                .option("basePath", f"{landing}/{dataset}").option("__globPaths__", False).csv(earlier))
-        if any(f["_wins"] for f in files):
-            write_partitions(rows, f"{processed}/{dataset}", ["year", "month"])
-        write_partitions(named.drop("_new", "_wins"), names, ["year", "month"])
+    def bring_up_to_date(batch: DataFrame, _: int) -> None:
+        if monthly:
+            touched = batch.select("year", "month").distinct().collect()  # a row per month
+            names = [ledger.month_name(r["year"], r["month"]) for r in touched]
+        else:
+            names = [] if batch.isEmpty() else [ledger.SNAPSHOT]
+        ledger.refresh(spark, landing, processed, dataset, names)
 
     query = (
         delivery_stream(spark, landing, dataset)
-        .writeStream.foreachBatch(replace_months).trigger(availableNow=True)
+        .writeStream.foreachBatch(bring_up_to_date).trigger(availableNow=True)
         .option("checkpointLocation", f"{checkpoint}/{dataset}").start()
     )
     query.awaitTermination()

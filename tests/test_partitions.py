@@ -8,6 +8,8 @@ import pytest
 from pyspark.errors import AnalysisException, StreamingQueryException
 
 from buyerlens.contracts import CONTRACTS
+from buyerlens.operators import cleaning
+from buyerlens.sources import ledger
 from buyerlens.sources import partitions as P
 from buyerlens.streaming.deliveries import ingest_deliveries
 
@@ -46,7 +48,7 @@ def test_ingest_window(spark, tmp_path):
     landing, processed = f"{tmp_path}/landing", f"{tmp_path}/processed"
     payments(landing, 7, "order_payments", "o1,1,boleto,1,10.5")
     payments(landing, 8, "order_payments", "o2,1,boleto,1,1.5", "o3,1,voucher,2,2.5")
-    with pytest.raises(AnalysisException):
+    with pytest.raises(FileNotFoundError):
         P.ingest_window(spark, landing, processed, "2018-08-31", 60)
     customers(landing)
     for _ in range(2):
@@ -58,16 +60,17 @@ def test_ingest_window(spark, tmp_path):
     only = P.load_partitions(spark, processed, "order_payments", [(2018, 7)])
     assert [r.payment_value for r in only.collect()] == [10.5]
     assert P.load_partitions(spark, processed, "orders", [(2018, 7)]).count() == 0
-    assert spark.read.parquet(f"{processed}/customers").first().customer_zip_code_prefix == "01234"
-    plan = only._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters" in plan and "month" in plan.split("PartitionFilters")[1][:200]
+    assert P.load_snapshot(spark, processed).first().customer_zip_code_prefix == "01234"
+    assert all("_part=2018-07" in file for file in only.inputFiles())
+    commits = [c.kind for c in ledger.dataset_store(spark, processed, "order_payments").commits().collect()]
+    assert commits == ["write", "write"]  # both months at once, and nothing by the second run
 
 
 def test_unknown_dataset(spark, tmp_path):
     with pytest.raises(ValueError):
         P.ingest_months(spark, str(tmp_path), str(tmp_path), "customers", [(2018, 7)])
     with pytest.raises(ValueError):
-        ingest_deliveries(spark, str(tmp_path), str(tmp_path), "customers", str(tmp_path))
+        ingest_deliveries(spark, str(tmp_path), str(tmp_path), "products", str(tmp_path))
 
 
 def test_missing_landing_file(spark, tmp_path):
@@ -116,13 +119,88 @@ def test_compressed_landing_files_count(spark, tmp_path):
     assert P.ingest_window(spark, landing, processed, "2018-08-31", 60)["rows"]["order_payments"] == 2
 
 
-def test_swapped_columns_stop_the_stream(spark, tmp_path):
-    csv(f"{tmp_path}/l/order_payments/year=2018/month=07/a.csv",
-        "payment_type,order_id,payment_sequential,payment_installments,payment_value", "boleto,o1,1,1,1.0")
-    with pytest.raises(StreamingQueryException):
+def test_columns_are_found_by_name(spark, tmp_path):
+    folder = f"{tmp_path}/l/order_payments/year=2018"
+    csv(f"{folder}/month=07/a.csv", "payment_type,order_id,note,payment_sequential,payment_installments,payment_value", "boleto,o1,x,1,1,1.0")
+    csv(f"{folder}/month=08/a.csv", PAY, "o2,1,voucher,1,2.0")
+    ingest_deliveries(spark, f"{tmp_path}/l", f"{tmp_path}/p", "order_payments", f"{tmp_path}/c")
+    assert stored(spark, f"{tmp_path}/p") == [("o1", 1.0, 7), ("o2", 2.0, 8)]
+    csv(f"{folder}/month=09/a.csv", "order_id,payment_value", "o3,1.0")
+    with pytest.raises(StreamingQueryException, match="lacks payment_sequential, payment_type, payment_installments"):
         ingest_deliveries(spark, f"{tmp_path}/l", f"{tmp_path}/p", "order_payments", f"{tmp_path}/c")
 
 
+def test_a_part_with_another_header_is_an_error(spark, tmp_path):
+    folder = f"{tmp_path}/l/order_payments/year=2018/month=07"
+    csv(f"{folder}/x-d1-p1of2.csv", PAY, "o1,1,boleto,1,1.0")
+    csv(f"{folder}/x-d1-p2of2.csv", "payment_type,order_id,payment_sequential,payment_installments,payment_value", "boleto,o1,2,1,1.0")
+    with pytest.raises(Exception, match="header"):
+        P.ingest_months(spark, f"{tmp_path}/l", f"{tmp_path}/p", "order_payments", [(2018, 7)])
+    assert ledger.dataset_store(spark, f"{tmp_path}/p", "order_payments").snapshot().newest is None
+
+
+def test_deliveries_by_name():
+    files = [("x-d10.csv", 5), ("x-d9.csv", 9), ("y.csv", 99), ("x-d11-p1of2.csv", 7), ("z.csv.bak", 100), ("_SUCCESS", 100)]
+    assert ledger.chosen(files).name == "x-d10"
+    assert ledger.chosen([*files, ("x-d11-p2of2.csv.gz", 1)]).name == "x-d11"
+    assert ledger.chosen([("b.csv", 1), ("a.csv", 2)]).name == "a" and ledger.chosen([("a.csv", 1), ("b.csv", 1)]).name == "b"
+    assert ledger.chosen([("x-d1-p1of2.csv", 1), ("x-d1-p1of2.csv.gz", 1)]) is None and ledger.chosen([]) is None
+    (one,) = ledger.deliveries([("part-00000-5e0b-c000.csv", 1), ("part-00001-5e0b-c000.csv", 2), ("part-00001-5e0b-c001.csv", 2)])
+    assert (one.name, one.number, len(one.files)) == ("5e0b", None, 3)
+
+
+def test_numbered_deliveries(spark, tmp_path):
+    """Parts over several runs, an older delivery that is late, a copied file, and batch and stream on one ledger."""
+    landing, processed = f"{tmp_path}/l", f"{tmp_path}/p"
+
+    def stream():
+        ingest_deliveries(spark, landing, processed, "order_payments", f"{tmp_path}/c")
+        return [r[0] for r in stored(spark, processed)]
+
+    def batch():
+        P.ingest_months(spark, landing, processed, "order_payments", [(2018, 7)])
+        return [r[0] for r in stored(spark, processed)]
+
+    payments(landing, 7, "pay", "o1,1,boleto,1,1.0")
+    assert batch() == ["o1"]
+    payments(landing, 7, "pay-d2-p1of2", "o2,1,boleto,1,1.0")
+    assert stream() == ["o1"] and batch() == ["o1"]
+    payments(landing, 7, "pay-d2-p2of2", "o3,1,boleto,1,1.0")
+    assert stream() == ["o2", "o3"]
+    payments(landing, 7, "pay-d1", "o4,1,boleto,1,1.0")
+    payments(landing, 7, "copy of pay", "o1,1,boleto,1,1.0")
+    assert stream() == ["o2", "o3"] and batch() == ["o2", "o3"]
+    # files that have been put away leave the stored month as it is
+    os.remove(f"{landing}/order_payments/year=2018/month=07/pay-d2-p1of2.csv")
+    assert batch() == ["o2", "o3"]
+    payments(landing, 7, "pay-d3")
+    assert batch() == []
+    commits = ledger.dataset_store(spark, processed, "order_payments").snapshot().live
+    assert commits["2018-07"]["facts"]["number"] == "3" and commits["2018-07"]["row_count"] == 0
+
+
+def test_a_file_rewritten_in_place(spark, tmp_path):
+    landing, processed = f"{tmp_path}/l", f"{tmp_path}/p"
+    payments(landing, 7, "order_payments", "o1,1,boleto,1,1.0")
+    customers(landing)
+    P.ingest_window(spark, landing, processed, "2018-07-31", 10)
+    time.sleep(0.05)
+    payments(landing, 7, "order_payments", "o2,1,boleto,1,1.0", "o3,1,boleto,1,1.0")
+    csv(f"{landing}/customers/snapshot=full/customers.csv",
+        "customer_state,customer_id,customer_unique_id,customer_zip_code_prefix,customer_city", "SP,c1,u1,01234,x", "RJ,c2,u2,00001,y")
+    assert P.ingest_window(spark, landing, processed, "2018-07-31", 10)["rows"] == {
+        "orders": 0, "order_items": 0, "order_payments": 2, "customers": 2}
+    assert {r.customer_state for r in P.load_snapshot(spark, processed).collect()} == {"SP", "RJ"}
+
+
+def test_the_copy_of_the_earliest_month_is_the_first(spark):
+    rows = spark.createDataFrame(
+        [("o1", "c1", "delivered", "2018-08-01", 2018, 8), ("o1", "c1", "shipped", "2018-07-01", 2018, 7), ("o2", "c1", "canceled", "2018-08-01", 2018, 8)],
+        "order_id string, customer_id string, order_status string, order_purchase_timestamp string, year int, month int")
+    kept = {r.order_id: r.order_status for r in cleaning.clean_orders(rows).collect()}
+    assert kept == {"o1": "shipped", "o2": "canceled"} and "year" not in cleaning.clean_orders(rows).columns
+
+
 def test_children_inherit_their_month(spark):
     orders = spark.createDataFrame(
         [("o1", "2018-08-15 10:00:00"), ("o2", "2018"), ("o3", None)], "order_id string, order_purchase_timestamp string")
@@ -133,7 +211,8 @@ def test_children_inherit_their_month(spark):
 
 
 def stored(spark, processed):
-    return sorted((r.order_id, r.payment_value, r.month) for r in spark.read.parquet(f"{processed}/order_payments").collect())
+    rows = ledger.dataset_store(spark, processed, "order_payments").all()
+    return sorted((r.order_id, r.payment_value, r.month) for r in rows.collect())
 
 
 def test_deliveries(spark, tmp_path):
