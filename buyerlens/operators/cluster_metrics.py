@@ -11,10 +11,15 @@ from pyspark.sql import functions as F
 
 from buyerlens.operators.ranking import first_by_hash
 from buyerlens.operators.sizing import broadcast_if_small
+from buyerlens.session import checkpointed
 
 # numbers in a centroid table that is still broadcast
 CENTROID_VALUES = 200_000
 
+# centroids of a tile, and pairs of centroids that are compared at a time
+TILE = 2_048
+PAIRS = 1 << 20
+
 # Size and seed of the silhouette sample.
 SILHOUETTE_ROWS = 4000
 SILHOUETTE_SEED = 42
@@ -78,31 +83,49 @@ def inertia(df: DataFrame, label: str, columns: list[str]) -> DataFrame:
     return with_own_centroid(df, label, columns).agg(F.sum("d2").alias("inertia"))
 
 
+def _tiles(centres: pd.DataFrame, columns: list[str]) -> np.ndarray:
+    return centres[[f"m_{c}" for c in columns]].to_numpy("float64")
+
+
+def worst_ratios(columns: list[str]):
+    """Of one pair of tiles of centroids: for each in the first, its greatest (S_i + S_j) / M_ij with one of the second."""
+    def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if left.empty or right.empty:
+            return pd.DataFrame({"label": [], "w": []})
+        mine, theirs = _tiles(left, columns), _tiles(right, columns)
+        spread, reach = left["s"].to_numpy("float64"), right["s"].to_numpy("float64")
+        worst = np.full(len(left), -np.inf)
+        for low in range(0, len(right), PAIRS // max(1, len(left)) + 1):
+            high = low + PAIRS // max(1, len(left)) + 1
+            gap = np.zeros((len(left), len(theirs[low:high])))
+            for j in range(len(columns)):
+                gap += (mine[:, j][:, None] - theirs[low:high, j][None, :]) ** 2
+            gap = np.sqrt(gap)
+            # coinciding centroids separate nothing: as in the usual definition they count 0
+            ratio = np.divide(spread[:, None] + reach[None, low:high], gap, out=np.zeros_like(gap), where=gap > 0)
+            ratio[left["label"].to_numpy()[:, None] == right["label"].to_numpy()[None, low:high]] = -np.inf
+            worst = np.maximum(worst, ratio.max(axis=1))
+        return pd.DataFrame({"label": left["label"], "w": worst})
+    return run
+
+
 def davies_bouldin(df: DataFrame, label: str, columns: list[str]) -> DataFrame:
     """One row: mean over clusters of the worst (S_i + S_j) / M_ij; null below two clusters.
 
-    The pairs are those of the centroids, of which there are as many as labels."""
-    spread = with_own_centroid(df, label, columns).groupBy("label").agg(
-        F.avg(F.sqrt("d2")).alias("s"), *[F.first(f"m_{c}").alias(f"m_{c}") for c in columns]
-    )
-    one = F.struct("label", "s", F.array(*[f"m_{c}" for c in columns]).alias("m"))
-    table = spread.agg(F.collect_list(one).alias("all"))
-
-    def ratio(me: Column):
-        def to(other: Column) -> Column:
-            gap = F.sqrt(F.aggregate(
-                F.zip_with(me["m"], other["m"], lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda t, x: t + x
-            ))
-            reach = me["s"] + other["s"]
-            # coinciding centroids separate nothing: as in the usual definition they count 0
-            return F.when(gap > 0, reach / gap).otherwise(F.lit(0.0))
-        return to
-
-    worst = F.transform("all", lambda me: F.array_max(F.transform(
-        F.filter("all", lambda other: other["label"] != me["label"]), ratio(me)
-    )))
-    mean = F.aggregate(worst, F.lit(0.0), lambda t, x: t + x) / F.size("all")
-    return table.select(F.when(F.size("all") >= 2, mean).alias("davies_bouldin"))
+    Every centroid has to meet every other one, which is the measure's own work. They are dealt into tiles of about ``TILE`` by the
+    hash of their label, and a task takes one pair of tiles, so that none holds more than two of them; each tile is sent
+    once to each other one. The running maximum is taken within a pair of tiles, then over them."""
+    spread = with_own_centroid(df.withColumn(label, F.col(label).cast("string")), label, columns).where("label IS NOT NULL").groupBy("label").agg(
+        F.avg(F.sqrt("d2")).alias("s"), *[F.first(f"m_{c}").alias(f"m_{c}") for c in columns])
+    spread = checkpointed(spread)
+    tiles = max(1, -(-spread.count() // TILE))
+    every = F.sequence(F.lit(0), F.lit(tiles - 1))
+    dealt = spread.withColumn("t", F.pmod(F.xxhash64("label"), F.lit(tiles)).cast("int"))
+    left = dealt.select(F.col("t").alias("a"), F.explode(every).alias("b"), "label", "s", *[f"m_{c}" for c in columns])
+    right = dealt.select(F.explode(every).alias("c"), F.col("t").alias("d"), "label", "s", *[f"m_{c}" for c in columns])
+    pairs = left.groupBy("a", "b").cogroup(right.groupBy("c", "d")).applyInPandas(worst_ratios(columns), "label string, w double")
+    worst = pairs.groupBy("label").agg(F.max("w").alias("w"))
+    return worst.agg(F.when(F.count("w") >= 2, F.avg("w")).alias("davies_bouldin"))
 
 
 def bounded_sample(df: DataFrame, id_column: str, rows: int = SILHOUETTE_ROWS,

@@ -146,6 +146,9 @@ def run_experiment(features: DataFrame, search: dict = SEARCH, gates: TrialGates
     return Experiment(logged, winner, replace(model, labels=labels), profiles, period, found.profiles)
 
 
+UNMEASURED = {"silhouette": None, "davies_bouldin": None, "n_clusters": 0, "min_size": 0, "min_share": 0.0, "stability_ari_subsample": None}
+
+
 def run_quality_gates(features: DataFrame, model: SegmentModel, probe_path: str,
                       champions: DataFrame | None = None, policy: PromotionPolicy = PromotionPolicy(),
                       metrics: dict | None = None, seed: int = 42) -> DataFrame:
@@ -155,18 +158,23 @@ def run_quality_gates(features: DataFrame, model: SegmentModel, probe_path: str,
     base = checkpointed(features)
     report = quality.validate_features(base)
     data_ok = quality.report_passed(report).first()[0]
-    labelled, computed = evaluate_model(model, base)
-    facts = {**computed, **(metrics or {})}
-    if facts.get("stability_ari_subsample") is None:
-        # the candidate's own algorithm, columns and parameters
-        facts |= subsample_stability(lambda df: fit_spec(df, model.refit_spec, seed), base, labelled, ID, n_subsamples=1, seed=seed)
     signature = signature_compatible(model, base)
+    if signature["predict_error"]:
+        # a model that refuses the features has no clusters to measure
+        facts = UNMEASURED | (metrics or {})
+    else:
+        labelled, computed = evaluate_model(model, base)
+        facts = {**computed, **(metrics or {})}
+        if facts.get("stability_ari_subsample") is None:
+            # the candidate's own algorithm, columns and parameters
+            facts |= subsample_stability(
+                lambda df: fit_spec(df, model.refit_spec, seed), base, labelled, ID, n_subsamples=1, seed=seed)
     smoke = smoke_predict(model, base, policy.smoke_min_rows)
     probe = integration_probe(base, model, probe_path)
     row = (
         model.name, model.version, data_ok, f"rows={base.count()}", facts["silhouette"], facts["davies_bouldin"],
         facts["n_clusters"], facts["min_size"], facts["min_share"], facts["stability_ari_subsample"],
-        signature["passed"], "ok" if signature["passed"] else str(signature),
+        signature["passed"], "ok" if signature["passed"] else signature["predict_error"] or str(signature),
         probe["passed"], probe["detail"], smoke["passed"], smoke["detail"],
     )
     candidate = features.sparkSession.createDataFrame([row], (

@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from buyerlens.registry import data, features, fits, flows, models  # noqa: F401
+from buyerlens.registry import data, features, fits, flows, gate_runs, models  # noqa: F401

@@ -413,6 +413,11 @@ def promotion_gates(spark, sf_dir):
     return gates.check_rows(evaluated, ["experiment", "trial_index", "decision", "failed"]).drop("detail")
 
 
+def _up(number: str) -> str:
+    """A number whose exact half-way cases, which are binary fractions, are printed away from zero, as the JVM does it."""
+    return f"(CASE WHEN ({number}) * 65536 = floor(({number}) * 65536) THEN ({number}) + sign({number}) * 1e-12 ELSE {number} END)"
+
+
 @register("gate_tags", f"""{_PROMOTED}, tags AS (
   SELECT experiment, concat('quality_gate_', name) AS tag, CASE WHEN passed THEN 'pass' ELSE 'fail' END AS value
   FROM (UNPIVOT decided ON data_failure, metric_regression, unstable_or_empty_clusters, signature_incompatible,
@@ -422,17 +427,19 @@ def promotion_gates(spark, sf_dir):
   UNION ALL SELECT experiment, 'quality_gate_blocking_failed', CASE WHEN failed = '' THEN '[]'
     ELSE concat('["', replace(failed, ',', '", "'), '"]') END FROM decided
   UNION ALL SELECT experiment, 'quality_gate_data_failure_detail', concat('rows=', n) FROM decided
+  UNION ALL SELECT experiment, 'quality_gate_metric_regression_detail',
+    CASE WHEN cs IS NULL THEN printf('sem champion prévio; silhouette=%.3f (min 0.2)', {_up('silhouette')})
+      ELSE printf('sil %.3f vs champion %.3f (drop=%.3f); db Δ=%.3f', {_up('silhouette')}, {_up('cs')}, {_up('cs - silhouette')}, {_up('davies_bouldin - cd')}) END FROM decided
+  UNION ALL SELECT experiment, 'quality_gate_unstable_or_empty_clusters_detail',
+    printf('k=%d min_size=%d min_share=%.4f ari=%.3f', n_clusters, min_size, {_up('min_share')}, {_up('stability_ari_subsample')}) FROM decided
   UNION ALL SELECT experiment, 'quality_gate_signature_incompatible_detail', 'assinatura ok' FROM decided
   UNION ALL SELECT experiment, 'quality_gate_smoke_detail', 'smoke ok' FROM decided
   UNION ALL SELECT experiment, 'quality_gate_integration_failure_detail',
     CASE WHEN NOT smoke AND n % 5 <> 0 THEN 'integração ok; smoke falhou' ELSE 'integração ok' END FROM decided)
 SELECT experiment, tag, value FROM tags""")
 def gate_tags(spark, sf_dir):
-    """All tags but the two whose text holds rounded numbers."""
-    tags = gates.gate_tags(promotions(spark, sf_dir), ["experiment"])
-    return tags.where(
-        ~F.col("tag").isin("quality_gate_metric_regression_detail", "quality_gate_unstable_or_empty_clusters_detail")
-    )
+    """All fifteen tags of every candidate."""
+    return gates.gate_tags(promotions(spark, sf_dir), ["experiment"])
 
 
 def _periods(spark, sf_dir) -> list[DataFrame]:

@@ -230,3 +230,23 @@ def test_model_on_features(toy_features):
     assert smoke["passed"] and smoke["n"] == 5
     with pytest.raises(AnalysisException):
         model.assign(toy_features.drop("monetary"))
+
+
+def test_davies_bouldin_of_many_labels_in_tiles(spark, monkeypatch):
+    """Two rows a label, its centre on a line with growing gaps, tiles of some forty labels."""
+    monkeypatch.setattr(M, "TILE", 40)
+    monkeypatch.setattr(M, "PAIRS", 64)
+    points = [(k, float(k * k) + side * (1 + k % 3) / 4, float(k % 7)) for k in range(500) for side in (-1, 1)]
+    df = spark.createDataFrame(points, "label int, x double, y double")
+    xy = np.array([p[1:] for p in points])
+    assert M.davies_bouldin(df, "label", ["x", "y"]).first()[0] == pytest.approx(plain_davies_bouldin(xy, np.array([p[0] for p in points])))
+
+
+def test_davies_bouldin_of_fifty_thousand_labels(spark):
+    """No task gets more than two tiles; labels far apart in pairs have a known worst neighbour."""
+    n = 50_000
+    rows = spark.range(2 * n).select(
+        F.floor(F.col("id") / 2).alias("label"),
+        (F.floor(F.col("id") / 4) * 100 + F.floor(F.col("id") / 2) % 2 * 10 + F.col("id") % 2 * 2).cast("double").alias("x"))
+    # every centre has a spread of one and its nearest other centre ten away
+    assert M.davies_bouldin(rows, "label", ["x"]).first()[0] == pytest.approx(0.2)
