@@ -160,12 +160,16 @@ def signature_compatible(model: SegmentModel, sample: DataFrame, expected: list[
     }
 
 
+def head(features: DataFrame, rows: int, id_column: str = "customer_unique_id") -> DataFrame:
+    """The first rows in the order of the id, at least one."""
+    return features.orderBy(id_column).limit(max(rows, 1))
+
+
 def smoke_predict(model: SegmentModel, features: DataFrame, min_rows: int = 5,
                   id_column: str = "customer_unique_id") -> dict:
     """Label the first few rows of a total order and check that every label is finite."""
-    head = features.orderBy(id_column).limit(max(min_rows, 1))
     try:
-        n, finite, unique = model.assign(head).agg(
+        n, finite, unique = model.assign(head(features, min_rows, id_column)).agg(
             F.count(F.lit(1)), F.count_if(is_finite(F.col("segment_id"))), F.count_distinct("segment_id")).first()
     except AnalysisException:
         # a model that does not take these rows predicts nothing

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from buyerlens.contracts import CONTRACTS, CUSTOMER_FEATURES, ORDERS, Contract, Field
+from buyerlens.functions import scalars as S
 from buyerlens.operators import cleaning, quality
 from buyerlens.oracle_base import CLEAN, PRIOR, SOURCES, enriched, r6
 from buyerlens.oracle_base import rollup as rollup_cte
@@ -104,6 +105,16 @@ def orphan_rows(spark, sf_dir):
     return partitions.orphan_count(adapters.order_items(spark, sf_dir), partitions.order_months(delivered))
 
 
+@register("default_as_of", """SELECT o_orderstatus AS status, strftime(max(o_orderdate), '%Y-%m-%d') AS interval_end,
+  strftime(CAST(max(o_orderdate) AS DATE) - 1, '%Y-%m-%d') AS as_of_date FROM orders GROUP BY 1""")
+def default_as_of(spark, sf_dir):
+    """The as-of date of a run whose interval ends with the last order of each status."""
+    ends = adapters.read_table(spark, sf_dir, "orders").groupBy(F.col("o_orderstatus").alias("status")).agg(
+        F.max("o_orderdate").alias("end"))
+    return ends.select(
+        "status", F.date_format("end", "yyyy-MM-dd").alias("interval_end"), S.default_as_of(F.col("end")).cast("string").alias("as_of_date"))
+
+
 # --- data quality ---------------------------------------------------------------
 
 def _blemished(spark, sf_dir) -> DataFrame:
@@ -275,6 +286,30 @@ def feature_validation(spark, sf_dir):
     return quality.validate_features(plan.feature_table(adapters.retail(spark, sf_dir), PRIOR))
 
 
+@register("assert_valid_messages", f"""WITH {SOURCES}, facts AS (
+  SELECT 'order_payments' AS dataset, (SELECT count(*) FROM pay_src) - (SELECT count(*) FROM (SELECT DISTINCT order_id, payment_sequential FROM pay_src)) AS n,
+    ' duplicatas em PK [''order_id'', ''payment_sequential'']' AS text, 'primary_key_unique' AS "check"
+  UNION ALL SELECT 'orders', count(*), concat(' nulos em order_status'), 'not_null:order_status' FROM ord_src WHERE order_status = 'processing'
+  UNION ALL SELECT 'customers', 0, '', '' )
+SELECT dataset, CASE WHEN n > 0 THEN concat('Validação falhou para ', dataset, ': ', "check", ': ', n, text) ELSE 'ok' END AS message FROM facts""")
+def assert_valid_messages(spark, sf_dir):
+    """What stops a run: payments as they are, orders some of whose statuses are blank, customers without fault."""
+    sources = adapters.retail(spark, sf_dir)
+    blank = F.when(F.col("order_status") == "processing", " ").otherwise(F.col("order_status"))
+    tables = {"order_payments": sources.payments, "orders": sources.orders.withColumn("order_status", blank), "customers": sources.customers}
+    rows = []
+    for name, table in tables.items():
+        contract = CONTRACTS[name]
+        # a blank is a missing value here, not a status of its own
+        report = quality.validate(table, contract).where("check NOT LIKE 'allowed_values%'")
+        try:
+            quality.assert_valid(report, name)
+            rows.append((name, "ok"))
+        except ValueError as error:
+            rows.append((name, str(error)))
+    return spark.createDataFrame(rows, "dataset string, message string")
+
+
 @register("write_read_reconcile", f"""WITH {CLEAN}
 SELECT 'raw' AS stage, (SELECT count(*) FROM item_src) AS n, false AS reconciled
 UNION ALL SELECT 'clean', (SELECT count(*) FROM item), false

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from buyerlens.contracts import CUSTOMER_SEGMENTS
+from buyerlens.functions import scalars as S
 from buyerlens.functions.scalars import SEGMENT_DESCRIPTIONS
 from buyerlens.operators import cluster_metrics as metrics
 from buyerlens.operators import gates, preprocess, profiles, scoring, selection, stability
@@ -88,6 +89,13 @@ def model_frame(spark, sf_dir):
     return rounded(preprocess.select_model_frame(_features(spark, sf_dir), id_column="customer_unique_id"))
 
 
+@register("model_head", f"""WITH {features_cte()}
+SELECT customer_unique_id, {", ".join(f"{r6(f'CAST({c} AS DOUBLE)')} AS {c}" for c in preprocess.FEATURE_COLUMNS)} FROM feat ORDER BY customer_unique_id LIMIT 5""")
+def model_head(spark, sf_dir):
+    """The rows that a smoke test takes: the first five in the order of their ids."""
+    return rounded(scoring.head(preprocess.select_model_frame(_features(spark, sf_dir), id_column="customer_unique_id"), 5))
+
+
 @register("fixed_centroid_assign", f"WITH {ONE_PERIOD} SELECT customer_unique_id, segment_id, {r6('d2')} AS d2 FROM assigned")
 def fixed_centroid_assign(spark, sf_dir):
     features = _features(spark, sf_dir)
@@ -333,6 +341,15 @@ def trial_scores(spark, sf_dir):
     return rounded(scored.select("experiment", "trial_index", "composite_score"))
 
 
+@register("run_names", f"""WITH {_TRIALS}
+SELECT experiment, trial_index, concat(algorithm, '_k', n_clusters, '_min_size=', min_size, '_n=', n) AS run_name FROM trials""")
+def run_names(spark, sf_dir):
+    """Names of runs from their algorithm, clusters and parameters."""
+    named = S.run_name(F.col("algorithm"), F.col("n_clusters"), F.create_map(
+        F.lit("min_size"), F.col("min_size").cast("string"), F.lit("n"), F.col("n").cast("string")))
+    return trials(spark, sf_dir).select("experiment", "trial_index", named.alias("run_name"))
+
+
 @register("trial_metrics", f"""WITH {_TRIALS}
 SELECT experiment, trial_index, metric, {r6('value')} AS value FROM (
   SELECT experiment, trial_index, 'silhouette' AS metric, silhouette AS value FROM trials
