@@ -41,7 +41,7 @@ TILE = 2048
 BROADCAST_IDS = 1 << 20
 #: Different members that the buckets of one group try in the second round.
 PIVOTS = 4
-PAIRS_AT_ONCE = 1 << 19
+PAIRS_AT_ONCE = 1 << 16
 #: Values of a set that a tile sees, and how many of the union's least two similar sets share: five
 #: deviations below the mean.
 SKETCH = 1024
@@ -101,6 +101,13 @@ def _masked_keys(lanes: np.ndarray) -> np.ndarray:
     return mix(total[:, _CHUNK_OF] - spread + _LANE_SALT)
 
 
+def _masked_key(lanes: np.ndarray, lane: np.ndarray) -> np.ndarray:
+    """Of the 64 keys of each signature the one that masks the given lane."""
+    spread = mix(lanes.astype(np.uint64) + _LANE_SALT)
+    chunk = np.where(_CHUNK_OF[None, :] == _CHUNK_OF[lane][:, None], spread, np.uint64(0)).sum(axis=1, dtype=np.uint64)
+    return mix(chunk - spread[np.arange(len(lane)), lane] + _LANE_SALT[lane])
+
+
 def _keys(batches):
     for batch in batches:
         for low in range(0, batch.num_rows, 4096):
@@ -230,7 +237,7 @@ def _compare(key, tile_a, tile_b, id_, component, n, tile, lanes, sets):
         ok = (lanes[i] != lanes[j]).sum(axis=1) <= MAX_DISTANCE
         i, j = i[ok], j[ok]
         if len(i):
-            first = _masked_keys(lanes[i])[np.arange(len(i)), _first_lane(lanes[i], lanes[j])]
+            first = _masked_key(lanes[i], _first_lane(lanes[i], lanes[j]))
             ok = first.view(np.int64) == key[i]
             i, j = i[ok], j[ok]
             known = {r: np.frombuffer(sets[r].as_buffer(), dtype=np.uint32) for r in np.unique(np.append(i, j)).tolist()}

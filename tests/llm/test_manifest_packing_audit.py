@@ -11,7 +11,7 @@ from functools import reduce
 import numpy as np
 import pytest
 
-from buyerlens.llm import encoding, exact_packing, merkle_windows, source_audit
+from buyerlens.llm import encoding, exact_packing, hamming_dedup, merkle_windows, pii_votes, source_audit
 from buyerlens.llm.words import SLICE_BYTES
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, key string, pos long, n long, block long, part int, term string"
@@ -255,3 +255,24 @@ def test_shares_are_exact_beyond_64_bits(spark):
     n, total, terms = 10**15 + 7, 10**17 + 11, 10**9
     rows = spark.createDataFrame([(n, total, terms)], "n long, total long, terms long")
     assert rows.select(source_audit.share("n", "total", "terms")).first()[0] == 1 + 10**9 * (n + 5) // (total + 5 * terms)
+
+
+def test_one_masked_key_is_that_of_all():
+    rng = np.random.default_rng(3)
+    lanes, lane = rng.integers(0, 1 << 16, (50, hamming_dedup.LANES), dtype=np.uint16), rng.integers(0, hamming_dedup.LANES, 50)
+    assert (hamming_dedup._masked_key(lanes, lane) == hamming_dedup._masked_keys(lanes)[np.arange(50), lane]).all()
+
+
+def test_numbers_need_a_word_of_context(spark):
+    """Digits of any length, inside hexadecimal text, in card lengths that fail their check; and a number that is named."""
+    texts = [
+        f"{'0' * 5000}.1.1.1 and {'0' * 5000}1.2.3.4", "e721b4f812088970e66a 12 3456 7890aa", "4111 1111 1111 1112 in a row",
+        "10.0.0.256 1.2.3", "phone: 0171 555 1234 ok"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts * 4)], "doc_id long, text string")
+    got = {r.doc_id: r for r in pii_votes.personal_report(rows).collect()}
+    assert (got[0].n_ip, got[3].n_ip) == (2, 0)
+    assert [got[i].spans for i in (1, 2, 3)] == ["", "", ""]
+    model = pii_votes.Votes(np.full((2, 5, 3), 1 / 3), 0.5, np.full(1 + len(pii_votes.KINDS) + len(pii_votes.FEATURES), 1.0))
+    spans = rows.select("doc_id", pii_votes.personal_data(model).alias("f")).select("doc_id", "f.spans").collect()
+    found = {r.doc_id: r.spans for r in spans}
+    assert found[4] == "number:7:20" and found[1] == found[2] == ""
