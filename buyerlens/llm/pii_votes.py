@@ -10,8 +10,8 @@ classifier trained on the weighed votes decides about spans that no base rule co
 4. EM over the counted votes estimates each labeler's reliability and the probability of each vote
    pattern; a logistic regression on the features is trained with these probabilities.
 
-Base spans always stay. Others are added, as kind ``number``, where the classifier says at least one
-half and no base span overlaps. Null and empty texts have no spans. Spans are ``kind:start:end`` in code
+Base spans always stay. Others are added, as kind ``number``, where a context word stands just before, the
+classifier says at least one half and no base span overlaps. Null and empty texts have no spans. Spans are ``kind:start:end`` in code
 points, the end exclusive, by kind and then by start."""
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ _EMAIL = re.compile(rb"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(rb"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(rb"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(rb"\+[0-9][\x20().0-9-]+[0-9]")
-_LOOSE = re.compile(rb"\(?[0-9]{2,4}\)?(?:[\x20.-][0-9]{2,5}){2,4}")
+_LOOSE = re.compile(rb"(?<![0-9A-Za-z])\(?[0-9]{2,4}\)?(?:[\x20.-][0-9]{2,5}){2,4}(?![0-9A-Za-z])")
 
 # ---- gazetteers: fixed values of public registries ----
 _TOP_DOMAINS = {b"com", b"org", b"net", b"edu", b"gov", b"io", b"de", b"fr", b"es", b"uk", b"it", b"nl", b"eu", b"us"}
@@ -68,7 +68,8 @@ def base_ok(kind: int, piece: bytes) -> bool:
     if kind == 0:
         return True
     if kind == 1:
-        return all(len(p.lstrip(b"0")) <= 3 and int(p) <= 255 for p in piece.split(b"."))
+        # thousands of leading zeros are more than a number may be read from
+        return all(len(p) <= 3 and int(p or b"0") <= 255 for p in (p.lstrip(b"0") for p in piece.split(b".")))
     digits = _digits(piece)
     return (16 <= len(digits) <= 19 and luhn(digits)) if kind == 2 else 8 <= len(digits) <= 15
 
@@ -211,6 +212,9 @@ def found_by(model: Votes):
             points, per_row, known = None, {}, {}
             for row, kind, start, end, ok, _, features in candidates(data, offsets):
                 if not ok:
+                    # digits alone say nothing: without a word of context a candidate is not added
+                    if not features[FEATURES.index("near")]:
+                        continue
                     if (kind, features) not in known:
                         known[kind, features] = probability(model, kind, features) >= 0.5
                     if not known[kind, features]:
