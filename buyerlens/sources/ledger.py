@@ -111,25 +111,26 @@ def _files_text(delivery: Delivery) -> str:
     return "\n".join(f"{name}\t{time}" for name, time in delivery.files)
 
 
-def refresh(spark: SparkSession, landing: str, processed: str, dataset: str, partitions: Iterable[str]) -> list[str]:
-    """Bring the named months, or the snapshot, up to what has landed; return those that changed.
+def refresh(spark: SparkSession, landing: str, processed: str, dataset: str, partitions: Iterable[str]) -> dict[str, Row]:
+    """Bring the named months, or the snapshot, up to what has landed; return the commits of all that is stored then.
 
     Only their landing folders are listed. All changed months are written by one job and committed together."""
     store = dataset_store(spark, processed, dataset)
-    live, news = store.snapshot().live, {}
+    seen, news = store.snapshot(), {}
     for name in partitions:
         delivery = chosen(listed(spark, _folder(landing, dataset, name)) or [])
-        if delivery and _is_news(delivery, live.get(name)):
+        if delivery and _is_news(delivery, seen.live.get(name)):
             news[name] = delivery
+    made: list[Row] = []
     if news:
         rows = _read(spark, landing, dataset, news)
         monthly = dataset in INCREMENTAL_DATASETS
         part = F.format_string("%04d-%02d", "year", "month") if monthly else F.lit(SNAPSHOT)
-        store.write_parts(rows, part, {
+        made = store.write_parts(rows, part, {
             name: {"delivery": d.name, "number": None if d.number is None else str(d.number), "parts": str(d.parts),
                    "time": str(max(t for _, t in d.files)), "files": _files_text(d)}
-            for name, d in news.items()})
-    return sorted(news)
+            for name, d in news.items()}, seen)
+    return seen.live | {commit["partition"]: commit for commit in made}
 
 
 def _read(spark: SparkSession, landing: str, dataset: str, news: dict[str, Delivery]) -> DataFrame:

@@ -154,15 +154,13 @@ def ingest_months(spark: SparkSession, landing: str, processed: str, dataset: st
     if dataset not in INCREMENTAL_DATASETS:
         raise ValueError(f"{dataset} is not delivered by month")
     wanted = [ledger.month_name(y, m) for y, m in months]
-    ledger.refresh(spark, landing, processed, dataset, wanted)
-    live = ledger.dataset_store(spark, processed, dataset).snapshot().live
+    live = ledger.refresh(spark, landing, processed, dataset, wanted)
     return sum(live[name]["row_count"] for name in wanted if name in live)
 
 
 def ingest_snapshot(spark: SparkSession, landing: str, processed: str) -> int:
     """Bring the customer snapshot up to its newest delivery; without any it is an error."""
-    ledger.refresh(spark, landing, processed, "customers", [ledger.SNAPSHOT])
-    stored = ledger.dataset_store(spark, processed, "customers").snapshot().live.get(ledger.SNAPSHOT)
+    stored = ledger.refresh(spark, landing, processed, "customers", [ledger.SNAPSHOT]).get(ledger.SNAPSHOT)
     if stored is None:
         raise FileNotFoundError(f"no customer snapshot has landed in {landing}")
     return stored["row_count"]
@@ -174,9 +172,10 @@ def ingest_window(spark: SparkSession, landing: str, processed: str, as_of: str
     wanted = month_list(as_of, window_days)
     rows, missing = {}, []
     for dataset in INCREMENTAL_DATASETS:
-        rows[dataset] = ingest_months(spark, landing, processed, dataset, wanted)
-        stored = ledger.dataset_store(spark, processed, dataset).snapshot().live
-        missing += [f"{dataset}/{ledger.month_name(y, m)}" for y, m in wanted if ledger.month_name(y, m) not in stored]
+        names = [ledger.month_name(y, m) for y, m in wanted]
+        stored = ledger.refresh(spark, landing, processed, dataset, names)
+        rows[dataset] = sum(stored[name]["row_count"] for name in names if name in stored)
+        missing += [f"{dataset}/{name}" for name in names if name not in stored]
     rows["customers"] = ingest_snapshot(spark, landing, processed)
     return {"as_of_date": as_date(as_of).isoformat(), "window_days": window_days,
             "months": wanted, "rows": rows, "missing_partitions": sorted(missing)}

@@ -52,6 +52,7 @@ class Snapshot:
 
     live: dict[str, Row]
     published: Row | None
+    last: int = 0
 
     @property
     def newest(self) -> Row | None:
@@ -83,20 +84,19 @@ class VersionedTable:
     def snapshot(self) -> Snapshot:
         """One row per partition and one publication are fetched, in one job on the commits alone."""
         of = F.when(F.col("kind") == "write", F.col("partition")).otherwise("")
-        newest = self.commits().where("kind <> 'reject'").groupBy("kind", of.alias("of")).agg(
+        newest = self.commits().groupBy("kind", of.alias("of")).agg(
             F.max_by(F.struct("*"), F.struct("version", "commit")).alias("c")).select("kind", "c").collect()
         return Snapshot(
             {r["c"]["partition"]: r["c"] for r in newest if r["kind"] == "write"},
-            next((r["c"] for r in newest if r["kind"] == "publish"), None))
+            next((r["c"] for r in newest if r["kind"] == "publish"), None), max((r["c"]["version"] for r in newest), default=0))
 
-    def _append(self, kind: str, **entry) -> Row:
-        return self._append_all(kind, [entry])[0]
+    def _append(self, seen: Snapshot, kind: str, **entry) -> Row:
+        return self._append_all(seen, kind, [entry])[0]
 
-    def _append_all(self, kind: str, entries: list[dict]) -> list[Row]:
+    def _append_all(self, seen: Snapshot, kind: str, entries: list[dict]) -> list[Row]:
         """Commits that readers see together: their rows are one file, which appears at once."""
-        last = self.commits().agg(F.max("version")).first()[0]
         schema = T.StructType.fromDDL(COMMITS.rpartition(", ")[0])
-        rows = [dict.fromkeys(schema.names) | {"version": (last or 0) + 1, "kind": kind} | entry for entry in entries]
+        rows = [dict.fromkeys(schema.names) | {"version": seen.last + 1, "kind": kind} | entry for entry in entries]
         (
             self.spark.createDataFrame([tuple(row[f.name] for f in schema) for row in rows], schema)
             .withColumn("created_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
@@ -117,15 +117,14 @@ class VersionedTable:
         when a lost executor's tasks run again, but zero stays zero; ``row_count`` is that of the write."""
         commit = uuid.uuid4().hex
         folder = self._folder(commit)
-        seen, buckets = Observation(), None
+        seen, buckets, before = Observation(), None, self.snapshot()
         observed = {f"v:{k}": v for k, v in (counts or {}).items()} | {f"f:{k}": v for k, v in (facts or {}).items()}
         laid = rows.select(*self.schema.names)
         if self.key:
             if expected_rows is None:
-                before = self.snapshot().newest
-                if before is None:
+                if before.newest is None:
                     laid = checkpointed(laid)
-                expected_rows = before["row_count"] if before is not None else laid.count()
+                expected_rows = before.newest["row_count"] if before.newest is not None else laid.count()
             buckets = max(1, -(-expected_rows // self.bucket_rows))
             laid, copies = self._bucketed(laid, buckets)
             observed[f"v:{KEY_CHECK}"] = F.count_if(copies > 1)
@@ -143,23 +142,25 @@ class VersionedTable:
                 "commit": commit, "data": commit, "buckets": buckets,
                 "partition": partition(found_facts(seen.get)) if callable(partition) else partition}
             if strict and not entry["passed"]:
-                self._append("reject", **entry | {"data": None})
+                self._append(before, "reject", **entry | {"data": None})
                 raise RejectedWrite(self.name, entry["report"])
         except Exception:
             remove_path(self.spark, folder)
             raise
-        return self._append("write", **entry)
+        # another writer may have committed in the meantime, so the number is taken now
+        return self._append(self.snapshot(), "write", **entry)
 
-    def write_parts(self, rows: DataFrame, part: Column, facts: dict[str, dict[str, str]]) -> list[Row]:
+    def write_parts(self, rows: DataFrame, part: Column, facts: dict[str, dict[str, str]], seen: Snapshot) -> list[Row]:
         """One job that writes new versions of several partitions, named by ``part``, and one commit of all.
 
-        ``facts`` names the partitions; one without rows is committed empty. A hot partition is many files."""
+        ``facts`` names the partitions; one without rows is committed empty. A hot partition is many files. What
+        was decided on ``seen`` comes right after it: of two writers that saw the same, one wins for all readers."""
         commit = uuid.uuid4().hex
         named = rows.select(*self.schema.names, part.alias(PART))
         named.hint("rebalance", PART).write.partitionBy(PART).parquet(self._folder(commit))
         stored = self.spark.read.schema(self._stored_schema([PART])).parquet(self._folder(commit))
         counts = {r[PART]: r["count"] for r in stored.groupBy(PART).count().collect()}
-        return self._append_all("write", [
+        return self._append_all(seen, "write", [
             {"commit": commit, "data": f"{commit}/{PART}={name}" if name in counts else None, "partition": name,
              "row_count": counts.get(name, 0), "facts": of}
             for name, of in facts.items()])
@@ -182,11 +183,12 @@ class VersionedTable:
 
     def publish(self, partition: str, **facts: str) -> Row:
         """Make the newest version of a partition the current one; an absent partition is an error."""
-        written = self.snapshot().live.get(partition)
+        seen = self.snapshot()
+        written = seen.live.get(partition)
         if written is None:
             raise FileNotFoundError(f"{self.name} has no committed version of {partition}")
         return self._append(
-            "publish", commit=uuid.uuid4().hex, data=written["data"], partition=partition, row_count=written["row_count"],
+            seen, "publish", commit=uuid.uuid4().hex, data=written["data"], partition=partition, row_count=written["row_count"],
             buckets=written["buckets"], passed=written["passed"], facts={k: str(v) for k, v in facts.items()})
 
     def _folder(self, commit: str) -> str:
