@@ -1,15 +1,21 @@
 """Token counts of flat, unindexed token files by a vectorised scan for the end-of-document id.
 
-A flat file is 32-bit little-endian ids and nothing else; a set of files, in the order of their names,
-is one stream. Files are scanned in blocks of a fixed number of ids: each block yields the places of its
-end ids. A document that goes on in the next block or file is stitched by a prefix scan over blocks: a
-block's base is the ids before it, its first document's number the ends before it, and its first
+A flat file is 16-bit little-endian numbers and nothing else: 0 ends a document, every other number is a
+token's id plus one, so no id of the vocabulary can be taken for an end. A set of files, in the order of
+their names, is one stream. Files are scanned in blocks of a fixed number of ids: each block yields the
+places of its ends. A document that goes on in the next block or file is stitched by a prefix scan over
+blocks: a block's base is the ids before it, its first document's number the ends before it, and its first
 document begins behind the last end before it. The scan has two levels, within a file and over files,
 so no task sees more than one row for each file, or each block of a file.
 
+Texts are encoded and written where they are read, without an exchange. The same job writes, beside the
+tokens, which documents a task met, in their order; so the n-th document of the stream has the n-th id.
+Only ids and counts are put in the order of ids.
+
 Ids after the last end are a document that did not end: it is returned with ``ended`` false. Empty
-files have no block. Null texts are empty documents of one id, the end; rows without ``doc_id`` come
-first; ties are ordered by the text's hash."""
+files have no block. Null texts are empty documents of one id, the end. ``doc_id`` is read as an integer;
+what is none counts as null, and rows without ``doc_id`` come first. Rows of one id are ordered by their
+counts, so repeated rows have starts of their own. Other columns are ignored."""
 
 from __future__ import annotations
 
@@ -21,60 +27,72 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from buyerlens.llm.encoding import encoder, vocabulary_path
-from buyerlens.llm.words import buffers, slices
-from buyerlens.session import checkpointed, scratch_path
+from buyerlens.llm.words import buffers
+from buyerlens.session import checkpointed, file_names, scratch_path
 
-#: The vocabulary's end-of-text id, which no text is encoded to.
-SEPARATOR = 49407
+SEPARATOR = 0
 BLOCK = 1 << 20
-#: Pieces of some megabytes that go to one file; Spark reads a file whole.
-PIECES = 8
+#: Pieces of about a megabyte that go to one file; Spark reads a file whole.
+PIECES = 16
+#: Folders of a flat table: the tokens, and the ids of the documents in the order of the tokens.
+TOKENS, DOCUMENTS = "kind=0", "kind=1"
 
 
 def _flat(path: str):
     def run(batches):
-        enc = encoder(path)
+        enc, piece = encoder(path, True), 0
+        # one past the largest number is 0 again: the end
+        end = (1 << 32) - 1
         for batch in batches:
-            data, offsets = buffers(batch.column(0))
-            for low, high in slices(offsets):
-                ids, _ = enc.encode(data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low], SEPARATOR)
-                if ids.max(initial=0) >= 1 << 24:
-                    raise ValueError("ids beyond 24 bits")
-                # the upper byte of the last id is 0: Spark's writer adds it as the end of the record
-                yield pa.RecordBatch.from_pydict({"value": pa.array([ids.astype("<u4").tobytes()[:-1]], pa.binary())})
+            data, offsets = buffers(batch.column(1))
+            for low, high, ids, _ in enc.slices(data, offsets, end):
+                numbers = ids + np.uint32(1)
+                if numbers.max(initial=0) >= 1 << 16:
+                    raise ValueError("ids beyond 16 bits")
+                names = batch.column(0)[low:high].cast(pa.string()).fill_null("").to_pylist()
+                # both end in a zero byte, which Spark's writer adds as the end of the record
+                yield pa.RecordBatch.from_pydict({
+                    "kind": pa.array([0, 1], pa.int32()), "piece": pa.array([piece, piece], pa.int64()),
+                    "value": pa.array([numbers.astype("<u2").tobytes()[:-1], "\0".join(names).encode()], pa.binary())})
+                piece += 1
     return run
 
 
-def _ordered(docs: DataFrame) -> DataFrame:
-    tie = F.xxhash64(F.col("text").cast("string"))
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), tie.alias("tie"))
-    return rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
+def write_flat(docs: DataFrame, path: str, vocabulary: str | None = None) -> None:
+    """Encode ``docs`` to flat files, an end after each document; the ids of the documents lie beside them."""
+    rows = docs.select(F.expr("try_cast(doc_id AS bigint)").alias("doc_id"), F.col("text").cast("string"))
+    flat = rows.mapInArrow(_flat(vocabulary or vocabulary_path()), "kind int, piece long, value binary")
+    pieces = flat.sortWithinPartitions("kind", "piece").select("kind", F.col("value").cast("string"))
+    pieces.write.partitionBy("kind").option("lineSep", "\u0000").option("maxRecordsPerFile", PIECES).text(path)
 
 
-def write_flat(docs: DataFrame, path: str, vocabulary: str | None = None) -> None:
-    """Encode ``docs`` in the order of their ids, an end id after each, to flat files."""
-    flat = _ordered(docs).select("text").mapInArrow(_flat(vocabulary or vocabulary_path()), "value binary")
-    flat.select(F.col("value").cast("string")).write.option("lineSep", "\u0000").option("maxRecordsPerFile", PIECES).text(path)
+def _files(spark: SparkSession, folder: str) -> DataFrame:
+    """``file, content`` of a folder; files by the numbers of the task and of the file in it."""
+    if file_names(spark, folder) is None:
+        return spark.createDataFrame([], "file string, content binary")
+    part = F.lpad(F.regexp_extract("path", r"part-(\d+)-[^/]*$", 1), 12, "0")
+    turn = F.lpad(F.regexp_extract("path", r"[.-]c(\d+)[^/]*$", 1), 12, "0")
+    return spark.read.format("binaryFile").load(folder).select(F.concat_ws("-", part, turn).alias("file"), "content")
 
 
 def _scan(end: int, block: int):
     def run(batches):
         for batch in batches:
-            for path, content in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = np.frombuffer(content.as_buffer(), "<u4")
+            for file, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+                ids = np.frombuffer(content.as_buffer(), "<u2")
                 for i, low in enumerate(range(0, len(ids), block)):
                     part = ids[low : low + block]
                     ends = np.flatnonzero(part == end)
                     yield pa.RecordBatch.from_pydict({
-                        "file": pa.array([path], pa.string()), "block": pa.array([i], pa.int32()), "n": pa.array([len(part)], pa.int64()),
+                        "file": pa.array([file], pa.string()), "block": pa.array([i], pa.int32()), "n": pa.array([len(part)], pa.int64()),
                         "ends": pa.array([ends], pa.list_(pa.int64())),
                     })
     return run
 
 
 def scan_blocks(spark: SparkSession, path: str, end: int = SEPARATOR, block: int = BLOCK) -> DataFrame:
-    """``file, block, n, ends``: ids of each block and the places of end ids in it."""
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    """``file, block, n, ends``: ids of each block of ``path`` and the places of ends in it."""
+    files = _files(spark, f"{path}/{TOKENS}")
     return files.mapInArrow(_scan(end, block), "file string, block int, n long, ends array<long>")
 
 
@@ -106,22 +124,43 @@ def stitched(blocks: DataFrame) -> DataFrame:
         F.col("k").alias("number"), F.col("open").alias("start"), (F.col("all") - F.col("open")).alias("n_tokens"), F.lit(False).alias("ended")))
 
 
-def _numbered(batches):
-    part, n = TaskContext.get().partitionId(), 0
+def _named(batches):
+    for batch in batches:
+        for file, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+            names = content.as_py().split(b"\0")[:-1]
+            yield pa.RecordBatch.from_pydict({
+                "file": pa.array([file] * len(names), pa.string()), "i": pa.array(np.arange(len(names))),
+                "doc_id": pa.array([int(name) if name else None for name in names], pa.int64())})
+
+
+def document_numbers(spark: SparkSession, path: str) -> DataFrame:
+    """``number, doc_id``: the document of each place in the stream of ``path``."""
+    rows = _files(spark, f"{path}/{DOCUMENTS}").mapInArrow(_named, "file string, i long, doc_id long")
+    sizes = rows.groupBy("file").agg(F.count("*").alias("n"))
+    bases = sizes.select("file", F.coalesce(F.sum("n").over(
+        Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
+    return rows.join(bases, "file").select((F.col("base") + F.col("i")).alias("number"), "doc_id")
+
+
+def _running(batches):
+    part, before = TaskContext.get().partitionId(), 0
     for batch in batches:
-        rows = batch.num_rows
+        n = batch.column(1).to_numpy()
+        after = before + np.cumsum(n)
         yield pa.RecordBatch.from_pydict({
-            "part": pa.array(np.full(rows, part), pa.int32()), "i": pa.array(np.arange(n, n + rows)), "doc_id": batch.column(0)})
-        n += rows
+            "part": pa.array(np.full(len(n), part), pa.int32()), "doc_id": batch.column(0), "n_tokens": batch.column(1),
+            "inner": pa.array(after - n, pa.int64())})
+        before = int(after[-1]) if len(n) else before
 
 
-def document_numbers(docs: DataFrame) -> DataFrame:
-    """``number, doc_id``: the place of each row in the order in which ``write_flat`` writes."""
-    rows = checkpointed(_ordered(docs).select("doc_id").mapInArrow(_numbered, "part int, i long, doc_id long"))
-    sizes = rows.groupBy("part").agg(F.count("*").alias("n"))
+def placed(counts: DataFrame) -> DataFrame:
+    """``doc_id, start, n_tokens`` of rows ``doc_id, n_tokens``: the ids of all documents before, in ascending order."""
+    ordered = counts.select("doc_id", "n_tokens").repartitionByRange("doc_id", "n_tokens").sortWithinPartitions("doc_id", "n_tokens")
+    rows = checkpointed(ordered.mapInArrow(_running, "part int, doc_id long, n_tokens long, inner long"))
+    sizes = rows.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     bases = sizes.select("part", F.coalesce(F.sum("n").over(
         Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
-    return rows.join(bases, "part").select((F.col("base") + F.col("i")).alias("number"), "doc_id")
+    return rows.join(bases, "part").select("doc_id", (F.col("base") + F.col("inner")).alias("start"), "n_tokens")
 
 
 def token_counts(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
@@ -130,4 +169,4 @@ def token_counts(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     path = f"{scratch_path(spark)}/flat"
     write_flat(docs, path, vocabulary)
     found = stitched(checkpointed(scan_blocks(spark, path)))
-    return document_numbers(docs).join(found, "number").select("doc_id", "start", "n_tokens")
+    return placed(document_numbers(spark, path).join(found, "number"))

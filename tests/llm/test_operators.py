@@ -131,12 +131,10 @@ def test_simple8b_round_trip():
             assert (simple8b.unpack(payload, blocks, n) == ids).all()
 
 
-def _expected_ids(docs, plain: bool = False) -> dict:
-    """Ids of the library; ``plain`` takes the strings of special tokens as text."""
+def _expected_ids(docs) -> dict:
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(encoding.vocabulary_path())
-    tokenizer.encode_special_tokens = plain
     return {r.doc_id: tokenizer.encode(r.text or "", add_special_tokens=False).ids for r in docs.collect()}
 
 
@@ -149,11 +147,30 @@ def test_token_ids_and_counts(docs, empty):
         assert (r.start, r.n_tokens, r.ids_crc32) == (place, len(mine), zlib.crc32(np.array(mine, "<u4").tobytes()))
         place += len(mine)
     assert [r.doc_id for r in got] == sorted((r.doc_id for r in got), key=lambda x: (x is not None, x))
-    counts, plain = separator_scan.token_counts(docs).orderBy("start").collect(), _expected_ids(docs, True)
-    assert [(r.doc_id, r.n_tokens) for r in counts] == [(r.doc_id, len(plain[r.doc_id]) + 1) for r in got]
+    counts = separator_scan.token_counts(docs).orderBy("start").collect()
+    assert [(r.doc_id, r.start, r.n_tokens) for r in counts] == [(r.doc_id, r.start, r.n_tokens) for r in got]
     assert simple8b.encoded(empty).count() == 0 and separator_scan.token_counts(empty).count() == 0
 
 
+def test_flat_files_of_many_pieces(spark, monkeypatch):
+    monkeypatch.setattr(separator_scan, "PIECES", 2)
+    rows = [(str(i) if i % 50 else None, "a " * (i % 7) if i % 11 else None) for i in range(1, 400)]
+    rows += [("7", "bcdefghijk " * 250_000), ("7", "c"), ("7", "c"), ("no number", "d <|endoftext|> \x00 d")]
+    docs = spark.createDataFrame(rows, "doc_id string, text string").selectExpr("doc_id", "text", "1 AS n_tokens", "'x' AS file")
+    got = [tuple(r) for r in separator_scan.token_counts(docs.coalesce(2)).collect()]
+    again = [tuple(r) for r in separator_scan.token_counts(docs.repartition(5)).collect()]
+    ids = _expected_ids(spark.createDataFrame(list(enumerate(t for _, t in rows)), "doc_id int, text string"))
+    sizes = sorted(((int(d) if d and d.isdigit() else None, len(ids[i]) + 1) for i, (d, _) in enumerate(rows)),
+                   key=lambda r: (r[0] is not None, r))
+    start, expected = 0, []
+    for doc_id, n in sizes:
+        expected.append((doc_id, start, n))
+        start += n
+    assert sorted(got, key=lambda r: r[1]) == sorted(again, key=lambda r: r[1])
+    assert [r[1:] for r in sorted(got, key=lambda r: r[1])] == [r[1:] for r in expected]
+    assert [r[0] for r in sorted(got, key=lambda r: r[1])] == [r[0] for r in expected]
+
+
 def test_stitching_over_blocks_and_files(spark):
     files, size = {"f0": [1, 2, 9, 3, 3, 3, 3, 3], "f1": [3, 9, 9], "f2": [4, 4]}, 3
     rows = [(f, i // size, len(ids[i : i + size]), [j for j, x in enumerate(ids[i : i + size]) if x == 9])
