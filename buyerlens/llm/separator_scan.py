@@ -33,7 +33,7 @@ from buyerlens.session import checkpointed, file_names, scratch_path
 SEPARATOR = 0
 BLOCK = 1 << 20
 #: Pieces of about a megabyte that go to one file; Spark reads a file whole.
-PIECES = 16
+PIECES = 4
 #: Folders of a flat table: the tokens, and the ids of the documents in the order of the tokens.
 TOKENS, DOCUMENTS = "kind=0", "kind=1"
 
@@ -77,6 +77,8 @@ def _files(spark: SparkSession, folder: str) -> DataFrame:
 
 def _scan(end: int, block: int):
     def run(batches):
+        # a worker that encoded before gives back what it knows of words
+        encoder.cache_clear()
         for batch in batches:
             for file, content in zip(batch.column(0).to_pylist(), batch.column(1)):
                 ids = np.frombuffer(content.as_buffer(), "<u2")
