@@ -321,3 +321,83 @@ def test_frame_texts_that_stand_twice_are_template(spark):
     pages = [(i, f"http://h.example/{i}", f"<div>menu</div><div>text {i}</div><div>menu</div>") for i in range(6)]
     got = template_pages.extracted(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
     assert sorted(r.text for r in got) == [f"text {i}" for i in range(6)]
+
+
+def _host_pages(n: int = 12):
+    """Pages of one host without article or class names: a frame, an optional block, lists of various lengths."""
+    out = []
+    for i in range(n):
+        swapped = "<div>One</div><section>Two</section>" if i % 2 else "<section>Two</section><div>One</div>"
+        offer = "<div><h3>Offer</h3><p>Only today</p></div>" if i % 4 else ""
+        items = "".join(f"<li>item {i}-{k}<b> x</b><li>more" for k in range(1 + i % 3))
+        out.append((i, "http://h.example/p", f"<body><div>Home</div><div>Contact us</div>{offer}<div><h1>Page {i}</h1><p>Body of {i}<ul>{items}</ul>"
+                    f"</div>{swapped}<div>Contact us</div></body>"))
+    return out
+
+
+def test_template_without_article_or_class_names(spark):
+    pages = _host_pages()
+    table = spark.createDataFrame(pages, "page_id long, url string, html string").selectExpr("*", "'x' AS host", "1 AS cls")
+    got = {r.page_id: r.text for r in template_pages.extracted(table.repartition(5)).collect()}
+    # of two texts that change places one is out of order on half of the pages, and so no frame; "more" stands alone in its class
+    for i, _, _ in pages:
+        items = " ".join(f"item {i}-{k} x more" for k in range(1 + i % 3))
+        assert got[i].replace(" One", "").replace(" Two", "") == f"Page {i} Body of {i} {items}", got[i]
+        assert (" One" in got[i]) + (" Two" in got[i]) <= 1
+
+
+def test_classes_are_those_of_equal_vectors(spark):
+    pages = _host_pages(16)
+    table = spark.createDataFrame(pages, "page_id long, url string, html string")
+    vectors: dict = {}
+    for i, _, page in pages:
+        for token in (t[0] for t in template_pages.tokens(page)):
+            vectors.setdefault(token, Counter())[i] += 1
+    groups: dict = {}
+    for token, vector in vectors.items():
+        if len(vector) >= 0.6 * len(pages):
+            rigid = len(set(vector.values())) == 1
+            key = (tuple(sorted(vector.items())), token if rigid and max(vector.values()) > 1 else "")
+            groups.setdefault(key, set()).add(int(template_pages._hash([token]).view(np.int64)[0]))
+    expected = {frozenset(v) for (vector, _), v in groups.items()
+                if len({n for _, n in vector}) == 1 or len(v) >= template_pages.MIN_SIZE}
+    got: dict = {}
+    for r in template_pages.classes(table).collect():
+        got.setdefault(r.cls, set()).add(r.token)
+    assert {frozenset(v) for v in got.values()} == expected and len(expected) > 2
+    kept = template_pages.deduce(table).collect()
+    assert {r.token for r in kept} <= {t for v in expected for t in v}
+    inside = {r.cls for r in kept if r.gaps != "0:0"}
+    # what stands on fewer pages hangs in a gap of what stands on all
+    offer = int(template_pages._hash([t for t in vectors if t.endswith("|Only today")]).view(np.int64)[0])
+    assert [r.cls for r in kept if r.token == offer][0] in inside
+
+
+def _held(found, frame):
+    return template_pages.held_by(template_pages.in_order(found, frame)[2])
+
+
+def test_order_and_nesting_of_classes():
+    # class 1: tokens 10 to 13, once a page; class 2: tokens 20 and 21, a pair that repeats
+    frame = {10 + k: (1, k, True, 4) for k in range(4)} | {20 + k: (2, k, False, 2) for k in range(2)}
+    assert _held([10, 11, 20, 21, 20, 21, 12, 13], frame) == {1: [(0, 0)], 2: [(1, 11)]}
+    assert template_pages.in_order([10, 12, 11, 13, 99], frame)[0] in ([11], [12])
+    assert template_pages.in_order([10, 11, 12, 21, 20, 13], frame)[1] == {2}
+    assert _held([10, 11, 20, 12, 21, 13], frame) == {1: [(0, 0)]}
+    assert _held([10, 11, 12, 20, 13, 21], frame) == {1: [(0, 0)]}
+    assert _held([20, 21, 10, 11, 12, 13, 20, 21], frame)[2] == [(0, 0)]
+    assert _held([10, 20, 21, 11, 20, 21, 12, 13], frame)[2] == [(1, 10), (1, 11)]
+    assert _held([], frame) == {}
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<ul><li class=ad>x<li>y</ul>", "y"), ("<table><tr><td class=ad>x<td>y<tr><td>z</table>", "y z"), ("<dl><dt class=ad>x<dd>y</dl>", "y"),
+    ("<p class=ad>x<div>y</div>", "y"), ("<ul><li>a<ul><li class=ad>b</ul><li>c</ul>", "a c"), ("<p class=ad>x<p>y", "y"),
+])
+def test_open_elements_end_where_the_next_begins(page, text):
+    assert template_pages.main_text(page, frozenset()) == text
+
+
+def test_deep_pages_take_time_by_their_length():
+    assert template_pages.main_text("<div>" * 60_000 + "deep" + "</p>" * 60_000, frozenset()) == "deep"
+    assert template_pages.main_text("<ul><li>" * 2_000 + "deep", frozenset()) == "deep"
