@@ -40,7 +40,7 @@ TOKENS, DOCUMENTS = "kind=0", "kind=1"
 
 def _flat(path: str):
     def run(batches):
-        enc, piece = encoder(path, True), 0
+        enc = encoder(path, True)
         # one past the largest number is 0 again: the end
         end = (1 << 32) - 1
         for batch in batches:
@@ -52,18 +52,24 @@ def _flat(path: str):
                 names = batch.column(0)[low:high].cast(pa.string()).fill_null("").to_pylist()
                 # both end in a zero byte, which Spark's writer adds as the end of the record
                 yield pa.RecordBatch.from_pydict({
-                    "kind": pa.array([0, 1], pa.int32()), "piece": pa.array([piece, piece], pa.int64()),
+                    "kind": pa.array([0, 1], pa.int32()),
                     "value": pa.array([numbers.astype("<u2").tobytes()[:-1], "\0".join(names).encode()], pa.binary())})
-                piece += 1
     return run
 
 
 def write_flat(docs: DataFrame, path: str, vocabulary: str | None = None) -> None:
     """Encode ``docs`` to flat files, an end after each document; the ids of the documents lie beside them."""
     rows = docs.select(F.expr("try_cast(doc_id AS bigint)").alias("doc_id"), F.col("text").cast("string"))
-    flat = rows.mapInArrow(_flat(vocabulary or vocabulary_path()), "kind int, piece long, value binary")
-    pieces = flat.sortWithinPartitions("kind", "piece").select("kind", F.col("value").cast("string"))
-    pieces.write.partitionBy("kind").option("lineSep", "\u0000").option("maxRecordsPerFile", PIECES).text(path)
+    flat = rows.mapInArrow(_flat(vocabulary or vocabulary_path()), "kind int, value binary")
+    conf, both = docs.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
+    before = conf.get(both)
+    # a task keeps both folders' files open and writes pieces as they come; otherwise it would sort them by folder
+    conf.set(both, "2")
+    try:
+        flat.select("kind", F.col("value").cast("string")).write.partitionBy("kind").option("lineSep", "\u0000").option(
+            "maxRecordsPerFile", PIECES).text(path)
+    finally:
+        conf.set(both, before)
 
 
 def _files(spark: SparkSession, folder: str) -> DataFrame:
