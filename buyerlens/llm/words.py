@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -47,19 +46,18 @@ LINE_VALUE = numbers(256, 13)
 LINE_VALUE[0x0A] = 0
 
 
-@lru_cache(maxsize=1)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    up, down = np.full(n, _PRIME, dtype=np.uint64), np.full(n, pow(_PRIME, -1, 1 << 64), dtype=np.uint64)
-    up[0] = down[0] = 1
-    return np.multiply.accumulate(up), np.multiply.accumulate(down)
+_POWERS = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = SLICE_BYTES
-    while size < n:
-        size *= 2
-    up, down = _powers(size)
-    return up[:n], down[:n]
+    """The first ``n`` powers of the multiplier and of its inverse; a worker keeps the longest that it needed."""
+    if len(_POWERS[0]) < n:
+        size = 1 << max(18, (n - 1).bit_length())
+        for i, factor in enumerate((_PRIME, pow(_PRIME, -1, 1 << 64))):
+            _POWERS[i] = np.full(size, factor, dtype=np.uint64)
+            _POWERS[i][0] = 1
+            np.multiply.accumulate(_POWERS[i], out=_POWERS[i])
+    return _POWERS[0][:n], _POWERS[1][:n]
 
 
 def buffers(column) -> tuple[np.ndarray, np.ndarray]:

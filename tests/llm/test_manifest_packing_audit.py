@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import bisect
 import hashlib
+import random
+import tracemalloc
 import zlib
 from collections import Counter
 from functools import reduce
@@ -133,6 +135,38 @@ def test_long_texts_are_encoded_in_pieces():
     assert (enc.long_text(one_word) == enc.encode(one_word, np.array([0, len(one_word)]))[0]).all()
 
 
+def _column(rows: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    raw = [r.encode() for r in rows]
+    return np.frombuffer(b"".join(raw), dtype=np.uint8), np.cumsum([0, *map(len, raw)])
+
+
+def test_parts_of_words_are_the_library_s(monkeypatch):
+    # the table holds less than some pieces need, so it is emptied and grows as well
+    monkeypatch.setattr(encoding, "PLACES", 64, raising=False)
+    tokenizer, enc, draw = _tokenizer(), encoding.Encoder(encoding.vocabulary_path(), True), random.Random(5)
+    atoms = [
+        *"'.-\"\n\t\x0b\x00\x7f\x1fsStdmlLre542", "'", "'", " ", " ", "'s", "'S", "'ll", "'L", "'rE", "'ve", "''", "é", "É", "ß", "ſ", "İ", "×",
+        "÷", "ŉ", "Ÿ", "e\u0301", "\u0085", "²", "中文", "й", "😀", "ﬁ", "hello", "World", "<|endoftext|>", "<|endof", "text|>", "A" * 30]
+    for n in (1, 40, 4000):
+        rows = ["".join(draw.choices(atoms, k=draw.randrange(14))) + draw.choice(["", "", f" w{draw.random()}"]) for _ in range(n)]
+        ids, begin = enc.encode(*_column(rows))
+        for row, low, high in zip(rows, begin[:-1], begin[1:]):
+            assert ids[low:high].tolist() == [*tokenizer.encode(row, add_special_tokens=False).ids, 1], row
+
+
+def test_words_of_their_own_take_no_memory_for_good():
+    draw, enc = random.Random(7), encoding.Encoder(encoding.vocabulary_path(), True)
+    data, offsets = _column([" ".join(f"{draw.getrandbits(48):x}" for _ in range(4000)) for _ in range(50)])
+    tracemalloc.start()
+    try:
+        for _ in enc.slices(data, offsets):
+            pass
+        kept, most = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert kept < 24e6 and most < 48e6, (kept, most)
+
+
 def _best_fit(counts: np.ndarray) -> int:
     gaps, n, most = [], 0, len(counts) - 1
     for length in range(most, 0, -1):
