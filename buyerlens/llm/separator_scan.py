@@ -67,7 +67,7 @@ def write_flat(docs: DataFrame, path: str, vocabulary: str | None = None) -> Non
     conf.set(both, "2")
     try:
         flat.select("kind", F.col("value").cast("string")).write.partitionBy("kind").option("lineSep", "\u0000").option(
-            "maxRecordsPerFile", PIECES).text(path)
+            "compression", "none").option("maxRecordsPerFile", PIECES).text(path)
     finally:
         conf.set(both, before)
 
@@ -77,7 +77,8 @@ def _files(spark: SparkSession, folder: str) -> DataFrame:
     if file_names(spark, folder) is None:
         return spark.createDataFrame([], "file string, content binary")
     part = F.lpad(F.regexp_extract("path", r"part-(\d+)-[^/]*$", 1), 12, "0")
-    turn = F.lpad(F.regexp_extract("path", r"[.-]c(\d+)[^/]*$", 1), 12, "0")
+    # the name of the job before it can hold such a group as well
+    turn = F.lpad(F.regexp_extract("path", r"[.-]c(\d+)\.[^/0-9]+$", 1), 12, "0")
     return spark.read.format("binaryFile").load(folder).select(F.concat_ws("-", part, turn).alias("file"), "content")
 
 

@@ -171,6 +171,18 @@ def test_flat_files_of_many_pieces(spark, monkeypatch):
     assert [r[0] for r in sorted(got, key=lambda r: r[1])] == [r[0] for r in expected]
 
 
+@pytest.mark.parametrize("job", ["c1f0a9b2-1111-4111-8111-111111111111", "11111111-c123-4111-8111-c12345678901"])
+def test_files_keep_their_order_whatever_the_job_s_name(spark, tmp_path, job):
+    for kind, ends in ((separator_scan.TOKENS, b"\0\0"), (separator_scan.DOCUMENTS, b"\0")):
+        (tmp_path / kind).mkdir()
+        for i in range(3):
+            mine = ends if kind == separator_scan.TOKENS else str(i).encode() + ends
+            (tmp_path / kind / f"part-00000-{job}.c{i:03}.txt").write_bytes(b"\5\0" * i + mine if kind == separator_scan.TOKENS else mine)
+    found = separator_scan.stitched(separator_scan.scan_blocks(spark, str(tmp_path)))
+    rows = separator_scan.document_numbers(spark, str(tmp_path)).join(found, "number").orderBy("number")
+    assert [(r.number, r.doc_id, r.start, r.n_tokens) for r in rows.collect()] == [(0, 0, 0, 1), (1, 1, 1, 2), (2, 2, 3, 3)]
+
+
 def test_stitching_over_blocks_and_files(spark):
     files, size = {"f0": [1, 2, 9, 3, 3, 3, 3, 3], "f1": [3, 9, 9], "f2": [4, 4]}, 3
     rows = [(f, i // size, len(ids[i : i + size]), [j for j, x in enumerate(ids[i : i + size]) if x == 9])
