@@ -12,11 +12,18 @@ single moves tend to, exact up to ``EXACT`` customers and by the saddle point ab
 Totals of whole restaurants are those of the pass before. Predictive probabilities are averaged over
 the samples after burn-in.
 
-Nothing grows in a single place: totals of restaurants are a table keyed by context that meets the counts
-by a shuffle, and a word after more than ``chunk_rows`` contexts is split over tasks, which take its
-customers in the parent from the pass before. Words and pairs that are broadcast to the scorers hold at
-least ``heavy_share`` of the tokens, so there are at most ``1 / heavy_share`` of each. All others meet
-the model by a shuffle.
+What moves between tasks are packed columns, not rows of pairs:
+
+* A chunk of texts sends each shard of words its different pairs, once, as *asks*. The shard adds them up
+  to its part of the model and keeps, per chunk, where each ask stands in it.
+* Shards exchange the totals of restaurants with *desks* that hold a range of words: a shard names its
+  different words once a pass, and is told their totals in the same order.
+* A chunk is told the scores of its asks in their own order, without keys, and adds them up by text.
+
+A shard holds about ``shard_tokens`` tokens; a word of more than ``chunk_rows`` tokens has shards of its
+own. They are seated together unless it follows more than ``chunk_rows`` words; then each takes the
+word's customers in the parent from the pass before. Only these words, at most one in ``chunk_rows``
+tokens, and sums over the whole model pass the driver.
 
 Random numbers are hashes of what they are for: reruns agree, whatever the partitions. A null text is
 empty and has the end token alone; a null id counts as empty text for the split; repeated rows are rows
@@ -24,7 +31,8 @@ of their own. Without training tokens every token is unknown."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import math
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -34,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from buyerlens.llm.words import buffers, mix, numbers, slices, words
-from buyerlens.session import checkpointed
+from buyerlens.session import releasing_shuffles, remove_path, scratch_path
 
 END_HASH = numbers(1, 211)[0]
 _PAIR = numbers(2, 223) | np.uint64(1)
@@ -43,28 +51,28 @@ STIRLING = 64
 EXACT = 1024
 
 
+#: Bytes of text whose pairs are counted together; a longer text is taken alone.
+CHUNK_BYTES = 8 << 20
+
+
 @dataclass(frozen=True)
 class Settings:
-    heavy_share: float = 1 / (1 << 20)
     burn_in: int = 3
     samples: int = 3
     passes: int = 2
     strength: float = 1.0
     parent_strength: float = 10.0
     chunk_rows: int = 200_000
+    shard_tokens: int = 1_000_000
 
 
 @dataclass
 class Model:
-    """Fitted state. ``table`` holds ``key, base, score, known``: what a word or a pair adds to the
-    scores of a text that has been scored as if all words and contexts were new. A word's score holds what
-    it adds as the context of the next: each text has every token, its end too, once as a context."""
+    """What it learns from, ``texts(text)``. Fitting and scoring are one job, as the texts to score ask
+    for their pairs while those of the training texts are counted."""
 
-    tokens: int
-    types: int
-    unknown: float
-    table: DataFrame
-    heavy: list[np.ndarray] = field(default_factory=list)
+    texts: DataFrame
+    settings: Settings
 
 
 def held_out(doc_id: Column) -> Column:
@@ -81,11 +89,6 @@ def _tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return out, begin
 
 
-def _previous(tokens: np.ndarray) -> np.ndarray:
-    """The token before each; before a text's first stands the end of another."""
-    return np.concatenate([np.full(min(1, len(tokens)), END_HASH), tokens[:-1]])
-
-
 def _place(known: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     """Index of each wanted hash in the sorted ``known``, or -1."""
     if not len(known):
@@ -98,30 +101,175 @@ def _pair_key(word: np.ndarray, context: np.ndarray) -> np.ndarray:
     return mix(word * _PAIR[0] + mix(context) * _PAIR[1])
 
 
-def _texts(batch, column: int):
-    data, offsets = buffers(batch.column(column))
-    for low, high in slices(offsets):
-        yield low, high, _tokens(data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low])
+def _packed(*columns: np.ndarray) -> bytes:
+    """Columns of numbers, whole ones as narrow as their greatest, byte plane by byte plane, compressed."""
+    body, head = [], []
+    for x in columns:
+        if x.dtype.kind in "iu":
+            x = x.astype(np.min_scalar_type(x.max())) if len(x) else x.astype(np.uint8)
+        head.append(f"{x.dtype.str}:{len(x)}")
+        body.append(np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.itemsize).T.tobytes())
+    return ",".join(head).encode() + b"\n" + pa.compress(b"".join(body), codec="zstd", asbytes=True)
+
+
+def _unpacked(data: bytes) -> list[np.ndarray]:
+    """The columns, whole numbers as int64 and hashes as uint64."""
+    head, body = data.split(b"\n", 1)
+    kinds = [(np.dtype(kind), int(n)) for kind, n in (x.split(":") for x in head.decode().split(","))]
+    raw = np.frombuffer(pa.decompress(body, sum(k.itemsize * n for k, n in kinds), codec="zstd"), dtype=np.uint8)
+    out, at = [], 0
+    for kind, n in kinds:
+        x = np.ascontiguousarray(raw[at : at + kind.itemsize * n].reshape(kind.itemsize, n).T).view(kind).ravel()
+        out.append(x.astype(np.int64) if kind.kind in "iu" and kind.itemsize < 8 else x)
+        at += kind.itemsize * n
+    return out
 
 
-def _pairs(batches):
-    """Per batch: how often each token follows each other."""
+def _steps(x: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Differences of runs that ascend, with the first of each run whole."""
+    out = np.diff(x, prepend=0)
+    out[first] = x[first]
+    return out
+
+
+def _walked(steps: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """What `_steps` were taken of; ``sizes`` are those of the runs, none of them empty."""
+    at = np.cumsum(steps)
+    first = np.cumsum(sizes) - sizes
+    return at - np.repeat(at[first] - steps[first], sizes)
+
+
+def _rows(**columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict(columns)
+
+
+def _chunks(batches, column: int):
+    """Up to ``CHUNK_BYTES`` of text: its rows, its different tokens, which of them each token is, and how
+    many tokens each row has."""
     for batch in batches:
-        keys, sample, counts = [], [], []
-        for _, _, (tokens, _) in _texts(batch, 0):
-            context = _previous(tokens)
-            key, first, n = np.unique(_pair_key(tokens, context), return_index=True, return_counts=True)
-            keys.append(key)
-            counts.append(n)
-            sample.append((tokens[first], context[first]))
-        if not keys:
-            continue
-        key, first, inverse = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
-        yield pa.RecordBatch.from_pydict({
-            "h": pa.array(np.concatenate([s[0] for s in sample])[first].view(np.int64)),
-            "u": pa.array(np.concatenate([s[1] for s in sample])[first].view(np.int64)),
-            "c": pa.array(np.bincount(inverse, weights=np.concatenate(counts)).astype(np.int64)),
-        })
+        data, offsets = buffers(batch.column(column))
+        for low, high in slices(offsets, CHUNK_BYTES):
+            at = offsets[low : high + 1]
+            found = [_tokens(data[at[a] : at[b]], at[a : b + 1] - at[a]) for a, b in slices(at)]
+            counts = np.concatenate([np.diff(begin) for _, begin in found])
+            found = np.concatenate([tokens for tokens, _ in found])
+            yield batch.slice(low, high - low), *np.unique(found, return_inverse=True), counts
+
+
+def _word_counts(batches):
+    for _, h, w, _ in _chunks(batches, 1):
+        yield _rows(h=h.view(np.int64), n=np.bincount(w))
+
+
+@dataclass
+class Deal:
+    """Which shard has which pairs. Words of ``hot``, sorted, have ``parts`` shards of their own each, from
+    ``start`` on; all others are dealt to ``shards`` by their hash."""
+
+    shards: int
+    hot: np.ndarray
+    parts: np.ndarray
+
+    @property
+    def start(self) -> np.ndarray:
+        return self.shards + np.cumsum(self.parts) - self.parts
+
+    def of_words(self, h: np.ndarray) -> np.ndarray:
+        return ((h >> np.uint64(32)) * np.uint64(self.shards) >> np.uint64(32)).astype(np.int64)
+
+    def of_pairs(self, vocabulary: np.ndarray, h: np.ndarray, u: np.ndarray) -> np.ndarray:
+        shard, hot = self.of_words(vocabulary)[h], _place(self.hot, vocabulary)[h]
+        at = np.flatnonzero(hot >= 0)
+        part = mix(vocabulary[u[at]]) % self.parts[hot[at]].astype(np.uint64)
+        shard[at] = self.start[hot[at]] + part.astype(np.int64)
+        return shard
+
+
+def _asked(deal):
+    """Per chunk: its texts, with the number of the ask of each token, and its asks by shard. A shard's asks
+    are sorted by word and context; ``c`` of them is how often they occur in training texts."""
+    def run(batches):
+        hot = deal.value
+        number = TaskContext.get().partitionId() << 33
+        for batch, vocabulary, w, counts in _chunks(batches, 1):
+            code = w * len(vocabulary)
+            code[0] += np.searchsorted(vocabulary, END_HASH)
+            code[1:] += w[:-1]
+            del w
+            code, ask = np.unique(code, return_inverse=True)
+            h, u = np.divmod(code, len(vocabulary))
+            shard = hot.of_pairs(vocabulary, h, u)
+            order = np.argsort(shard, kind="stable")
+            rank = np.empty_like(order)
+            rank[order] = np.arange(len(order))
+            ask, h, u, shard = rank[ask], h[order], u[order], shard[order]
+            del code, order, rank
+            train = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
+            c = np.bincount(ask[np.repeat(train, counts)], minlength=len(h))
+            ids, asked = batch.column(0), batch.column(3).to_numpy(zero_copy_only=False).astype(np.uint8)
+            known = ids.is_valid().to_numpy(zero_copy_only=False).astype(np.uint8)
+            ids = ids.fill_null(0).to_numpy(zero_copy_only=False).view(np.uint64)
+            before = np.repeat(np.arange(len(counts)) * len(h), counts)
+            ask += before
+            ask.sort()
+            ask -= before
+            ask = _steps(ask, np.cumsum(counts) - counts)
+            del before
+            to, data = [-1 - number], [_packed(ids, known, asked, counts, ask)]
+            edges = np.flatnonzero(np.diff(shard, prepend=-1, append=-1))
+            for low, high in zip(edges[:-1], edges[1:]):
+                dish = np.flatnonzero(np.diff(h[low:high], prepend=-1))
+                contexts, at = np.unique(u[low:high], return_inverse=True)
+                to.append(int(shard[low]))
+                data.append(_packed(
+                    vocabulary[h[low:high][dish]], np.diff(dish, append=high - low), vocabulary[contexts], _steps(at, dish), c[low:high]))
+            yield _rows(shard=pa.array(to, pa.int64()), m=pa.array([number] * len(to), pa.int64()), data=pa.array(data, pa.binary()))
+            number += 1
+    return run
+
+
+_TEXTS, _SHARD, _PLACES = 2, 0, 1
+
+
+def _merged(deal, table: pa.Table) -> pa.Table:
+    """A shard from the asks of all chunks, and per chunk the places of its asks. Pairs that no training text
+    has are left out, and so are words without any; but a word with other shards, which may have some, keeps
+    one pair of count 0. Rows of texts are passed on."""
+    shard, m, data = (table.column(name).to_pylist() for name in ("shard", "m", "data"))
+    if shard[0] < 0:
+        return table.append_column("kind", pa.array([_TEXTS] * len(m), pa.int32())).select(["shard", "m", "data", "kind"])
+    asks = [_unpacked(x) for x in data]
+    names = np.unique(np.concatenate([x[i] for x in asks for i in (0, 2)]))
+    codes, counts, dishes = [], [], []
+    for h, sizes, contexts, at, c in asks:
+        dish = np.searchsorted(names, h)
+        codes.append(np.repeat(dish, sizes) * len(names) + np.searchsorted(names, contexts)[_walked(at, sizes)])
+        counts.append(c)
+        dishes.append(dish)
+    code, where = np.unique(np.concatenate(codes), return_inverse=True)
+    c = np.bincount(where, weights=np.concatenate(counts)).astype(np.int64)
+    kept = c > 0
+    if shard[0] >= deal.value.shards:
+        own = np.flatnonzero(np.diff(code // len(names), prepend=-1))
+        kept[own[np.add.reduceat(c, own) == 0]] = True
+    place = np.cumsum(kept) - 1
+    h, u = np.divmod(code[kept], len(names))
+    used = np.unique(np.concatenate([h, u]))
+    first = np.flatnonzero(np.diff(h, prepend=-1))
+    dish = h[first]
+    at = np.searchsorted(used, u)
+    out = [_packed(names[used], np.searchsorted(used, dish), np.diff(first, append=len(h)), _steps(at, first), c[kept])]
+    end = 0
+    for x, own in zip(asks, dishes):
+        begin, end = end, end + len(x[4])
+        mine = where[begin:end]
+        seen, known = kept[mine], np.isin(own, dish)
+        out.append(_packed(
+            np.packbits(seen), np.diff(place[mine[seen]], prepend=0), np.packbits(known), np.diff(np.searchsorted(dish, own[known]), prepend=0), x[1]))
+    n = len(out)
+    return pa.table({
+        "shard": pa.array([shard[0]] * n, pa.int64()), "m": pa.array([-1, *m], pa.int64()), "data": pa.array(out, pa.binary()),
+        "kind": pa.array([_SHARD] + [_PLACES] * (n - 1), pa.int32())})
 
 
 def _uniform(key: np.ndarray, *steps: int) -> np.ndarray:
@@ -241,33 +389,86 @@ class Totals:
     tables: float
 
 
-_ROWS = ("h", "u", "part", "c", "customers", "tables", "above", "leads")
+_MERGED = "shard long, m long, data binary, kind int"
+_REQUEST = "desk long, shard long, data binary, n1 long, n2 long"
+_SUMS = ("types", "tokens", "above", "t0", "w1", "w2", "n1", "n2")
+_REPLY = "shard long, desk long, data binary, split array<long>, " + ", ".join(f"{name} long" for name in _SUMS)
 
 
-def _placed(counts: DataFrame, words_: DataFrame, rows: int) -> DataFrame:
-    """Counts beside the totals of their context, dealt by word. A word after more than ``rows`` contexts
-    has several parts, which know its customers in the parent, ``above``; the one that leads has its row."""
-    split = words_.where(F.col("contexts") > rows).select("h", "above", "lead", F.ceil(F.col("contexts") / rows).alias("parts"))
-    beside = counts.join(words_.select(F.col("h").alias("u"), "customers", "tables"), "u").join(F.broadcast(split), "h", "left")
-    part = F.coalesce(F.pmod(F.xxhash64("u"), F.col("parts")), F.lit(0)).cast("int")
-    return beside.select(
-        "h", "u", part.alias("part"), "c", F.col("customers").cast("double").alias("customers"), F.col("tables").cast("double").alias("tables"),
-        F.coalesce(F.col("above").cast("double"), F.lit(-1.0)).alias("above"),
-        F.coalesce(F.col("lead") == F.col("u"), F.lit(True)).cast("int").alias("leads"),
-    ).repartition("h", "part").sortWithinPartitions("h", "part", "u")
+def _shard(data: bytes):
+    """Words of a shard, its dishes among them, where each dish begins and how many pairs it has, and per
+    pair its context among the words and its count."""
+    names, dish, sizes, at, c = _unpacked(data)
+    return names.astype(np.uint64), dish, np.cumsum(sizes) - sizes, sizes, _walked(at, sizes), c
+
+
+def _requests(deal, shard: int, names, *columns, n1: int = 0, n2: int = 0) -> pa.RecordBatch:
+    """One row for each desk: words of its range and numbers of them."""
+    desk = deal.value.of_words(names)
+    edges = np.flatnonzero(np.diff(desk, prepend=-1, append=-1))
+    data = [_packed(names[a:b], *(x[a:b].astype(np.int64) for x in columns)) for a, b in zip(edges[:-1], edges[1:])]
+    n = len(data)
+    return _rows(
+        desk=pa.array(desk[edges[:-1]]), shard=pa.array([shard] * n, pa.int64()), data=pa.array(data, pa.binary()),
+        n1=pa.array(([n1] + [0] * n)[:n], pa.int64()), n2=pa.array(([n2] + [0] * n)[:n], pa.int64()))
+
+
+def _totals_of(names, dish, begin, at, c, t, t0):
+    """Per word of a shard: tables as a context, and as a dish customers of the parent, tables there and count."""
+    n = len(names)
+    above, own, count = np.zeros(n), np.zeros(n), np.zeros(n)
+    if len(dish):
+        above[dish], own[dish], count[dish] = np.add.reduceat(t, begin), t0, np.add.reduceat(c, begin)
+    return np.bincount(at, weights=t, minlength=n), above, own, count
+
+
+def _first_requests(deal):
+    """Requests with one table for each pair, and one in the parent for each word."""
+    def run(batches):
+        for batch in batches:
+            for shard, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                names, dish, begin, _, at, c = _shard(data)
+                totals = _totals_of(names, dish, begin, at, c, np.minimum(c, 1), np.ones(len(dish)))
+                yield _requests(deal, shard, names, *totals, n1=int((c == 1).sum()), n2=int((c == 2).sum()))
+    return run
+
+
+def _served(rows: int):
+    """A desk adds up what shards say of its words and tells each the totals of those it named."""
+    def run(table: pa.Table) -> pa.Table:
+        asks = [_unpacked(x) for x in table.column("data").to_pylist()]
+        names, where = np.unique(np.concatenate([x[0] for x in asks]).astype(np.uint64), return_inverse=True)
+        tables, above, _, c = (np.bincount(where, weights=np.concatenate([x[i] for x in asks])).astype(np.int64) for i in (1, 2, 3, 4))
+        t0 = np.zeros(len(names), dtype=np.int64)  # the parts of a word have the same, as one dish
+        np.maximum.at(t0, where, np.concatenate([x[3] for x in asks]))
+        t0[c == 0] = 0
+        n, end, data = len(asks), 0, []
+        for x in asks:
+            begin, end = end, end + len(x[0])
+            at = where[begin:end]
+            data.append(_packed(c[at], tables[at], above[at]))
+        sums = [(c > 0).sum(), c.sum(), above.sum(), t0.sum(), (above == 1).sum(), (above == 2).sum()]
+        split = names[above > rows].view(np.int64).tolist()
+        out = {"shard": table.column("shard"), "desk": table.column("desk"), "data": pa.array(data, pa.binary()),
+               "split": pa.array([split] + [[]] * (n - 1), pa.list_(pa.int64()))}
+        out |= {name: pa.array([int(x)] + [0] * (n - 1), pa.int64()) for name, x in zip(_SUMS, sums)}
+        return pa.table(out | {name: table.column(name) for name in ("n1", "n2")})
+    return run
 
 
 def _sample(chunk, totals: Totals, types: int, discounts, s: Settings, keep: bool):
-    """Sample the tables of whole dishes, or parts of them; rows are sorted by ``h``, ``part`` and ``u``."""
-    h, u, part, c, customers, tables, known_above, leads = chunk
+    """Sample the tables of whole dishes, or parts of them; rows are sorted by ``h`` and ``u``. Of a part,
+    ``known_above`` are the customers of its whole dish in the parent; of others it is -1. Returns per row
+    the tables and those of its dish in the parent; or averaged, the probability of its dish in the
+    parent, its own, and the weight of the parent."""
+    h, u, c, customers, tables, known_above = chunk
     d, d0 = discounts
     key = _pair_key(h, u)
     new_dish = np.ones(len(h), dtype=bool)
-    new_dish[1:] = (h[1:] != h[:-1]) | (part[1:] != part[:-1])
+    new_dish[1:] = h[1:] != h[:-1]
     first = np.flatnonzero(new_dish)
     dish = np.cumsum(new_dish) - 1
     dish_key = mix(h[first])
-    leads = np.maximum.reduceat(leads, first)
     c = c.astype(np.float64)
     seats, seats0 = seating(d), seating(d0)
     base = 0.5 / max(1, types)
@@ -279,7 +480,7 @@ def _sample(chunk, totals: Totals, types: int, discounts, s: Settings, keep: boo
     def above_of(t):
         return np.where(known_above[first] >= 0, known_above[first], np.add.reduceat(t, first))
 
-    t = np.ones(len(h))
+    t = np.minimum(c, 1)
     above = above_of(t)
     t0 = seats0.draw(above, parent_new, dish_key, 0, 1)
     p = (above - d0 * t0 + parent_new) / total
@@ -293,180 +494,191 @@ def _sample(chunk, totals: Totals, types: int, discounts, s: Settings, keep: boo
             mean += p
             mean_pair += (c - d * t + scale * p[dish]) / room
     if not keep:
-        return first, t, np.add.reduceat(t, first), t0 * leads
-    return first, dish, leads, mean / s.samples, mean_pair / s.samples, scale / room
+        return t, t0[dish]
+    return mean[dish] / s.samples, mean_pair / s.samples, scale / room
+
+
+def _sampled(left: pa.Table, right: pa.Table, totals: Totals, types: int, discounts, s: Settings, keep: bool):
+    """Sample the shards of a group: per shard its number, arrays, totals of its words and what `_sample`
+    returns. Only shards of one word are together, so its pairs are sorted anew."""
+    replies: dict = {}
+    for shard, desk, data in zip(*(right.column(name).to_pylist() for name in ("shard", "desk", "data"))):
+        replies.setdefault(shard, []).append((desk, data))
+    shards, columns = [], []
+    for shard, kind, data in zip(*(left.column(name).to_pylist() for name in ("shard", "kind", "data"))):
+        if kind != _SHARD:
+            continue
+        x = names, dish, begin, sizes, at, c = _shard(data)
+        if not len(c):
+            continue
+        told = [_unpacked(d) for _, d in sorted(replies[shard])]
+        customers, tables, above = (np.concatenate([r[i] for r in told]).astype(np.float64) for i in range(3))
+        shards.append((shard, x, customers, tables))
+        known = above[dish] if left.column("split")[0].as_py() else np.full(len(dish), -1.0)
+        columns.append((np.repeat(names[dish], sizes), names[at], c, customers[at], tables[at], np.repeat(known, sizes)))
+    if not shards:
+        return
+    rows = [np.concatenate(x) for x in zip(*columns)]
+    order = np.lexsort((rows[1], rows[0])) if len(shards) > 1 else np.arange(len(rows[0]))
+    rows = [x[order] for x in rows] if len(shards) > 1 else rows
+    dishes = np.append(np.flatnonzero(np.diff(rows[0].view(np.int64), prepend=~rows[0][:1].view(np.int64))), len(order))
+    found, low = [], 0
+    while low < len(order):  # whole dishes, of ``chunk_rows`` pairs together or one
+        high = int(dishes[max(np.searchsorted(dishes, low + s.chunk_rows, side="right") - 1, np.searchsorted(dishes, low) + 1)])
+        found.append(_sample([x[low:high] for x in rows], totals, types, discounts, s, keep))
+        low = high
+    back = np.empty_like(order)
+    back[order] = np.arange(len(order))
+    found = [np.concatenate(x)[back] for x in zip(*found)]
+    end = 0
+    for shard, x, customers, tables in shards:
+        begin, end = end, end + len(x[5])
+        yield shard, x, customers, tables, [f[begin:end] for f in found]
+
+
+def _totals_again(deal, *state):
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = []
+        for shard, (names, dish, begin, _, at, c), _, _, (t, t0) in _sampled(left, right, *state, keep=False):
+            out.append(_requests(deal, shard, names, *_totals_of(names, dish, begin, at, c, t, t0[begin])))
+        return pa.Table.from_batches(out, _requests(deal, 0, np.zeros(0, dtype=np.uint64)).schema)
+    return run
 
 
-def _dishes(batches, rows: int):
-    """Chunks of whole dishes, or whole parts of dishes, as arrays."""
-    held: list = []
-    size = 0
+def _answers(unknown: float, totals, types, discounts, s):
+    """Per chunk and shard, in the order of its asks: what each adds to the score of a text in which all
+    words and contexts are new, and how often each word occurs. A word's score holds what it adds as
+    the context of the next: each text has every token, its end too, once as a context."""
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        values = {}
+        for shard, (names, dish, begin, sizes, _, _), customers, tables, (p, pair, parent) in _sampled(left, right, totals, types, discounts, s, keep=True):
+            as_context = np.log10((s.strength + discounts[0] * tables[dish]) / (s.strength + customers[dish]))
+            word = np.where(customers[dish] > 0, np.log10(p[begin] / unknown) + as_context, 0.0)
+            both = np.repeat(word, sizes) + np.log10(pair) - np.log10(parent * p)
+            values[shard] = both, np.append(word, 0.0), np.append(customers[dish], 0)
+        none = np.zeros(0), np.zeros(1), np.zeros(1)
+        out: dict = {"m": [], "shard": [], "data": []}
+        for shard, m, kind, data in zip(*(left.column(name).to_pylist() for name in ("shard", "m", "kind", "data"))):
+            if kind == _PLACES:
+                both, word, count = values.get(shard, none)
+                seen, place, known, dish, sizes = _unpacked(data)
+                own = np.full(len(sizes), len(word) - 1)
+                own[np.flatnonzero(np.unpackbits(known.astype(np.uint8), count=len(sizes)))] = np.cumsum(dish)
+                value = np.repeat(word[own], sizes)
+                value[np.flatnonzero(np.unpackbits(seen.astype(np.uint8), count=len(value)))] = both[np.cumsum(place)]
+                out["m"].append(m)
+                out["shard"].append(shard)
+                out["data"].append(_packed(value, sizes, count[own].astype(np.int64)))
+        return pa.table({"m": pa.array(out["m"], pa.int64()), "shard": pa.array(out["shard"], pa.int64()), "data": pa.array(out["data"], pa.binary())})
+    return run
 
-    def arrays():
-        table = pa.Table.from_batches(held)
-        return [table.column(name).to_numpy() for name in _ROWS]
 
-    def chunk(x):
-        return [x[0].view(np.uint64), x[1].view(np.uint64), *x[2:]]
+_SCORED = "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        held.append(batch)
-        size += batch.num_rows
-        if size >= rows:
-            x = arrays()
-            other = np.flatnonzero((x[0] != x[0][-1]) | (x[2] != x[2][-1]))
-            if len(other):  # the last dish may go on
-                cut = int(other[-1]) + 1
-                yield chunk([a[:cut] for a in x])
-                held = [pa.RecordBatch.from_arrays([pa.array(a[cut:]) for a in x], names=list(_ROWS))]
-                size -= cut
-    if size:
-        yield chunk(arrays())
-
-
-def _totals_of(totals, types, discounts, s):
-    """Per chunk: tables of each context, customers and tables of each word in the parent."""
-    def run(batches):
-        for chunk in _dishes(batches, s.chunk_rows):
-            first, t, above, t0 = _sample(chunk, totals, types, discounts, s, keep=False)
-            context, at = np.unique(chunk[1], return_inverse=True)
-            none, nothing = np.zeros(len(context)), np.zeros(len(first))
-            yield pa.RecordBatch.from_pydict({
-                "h": pa.array(np.concatenate([context, chunk[0][first]]).view(np.int64)),
-                "tables": pa.array(np.concatenate([np.bincount(at, weights=t), nothing])),
-                "above": pa.array(np.concatenate([none, above])), "t0": pa.array(np.concatenate([none, t0])),
-            })
-    return run
 
+def _summed(tokens: int, types: int, unknown: float):
+    """A chunk's texts with the answers to its asks added up."""
+    def run(table: pa.Table) -> pa.Table:
+        rows = sorted(zip(table.column("shard").to_pylist(), table.column("data").to_pylist()))
+        ids, known, asked, counts, steps = _unpacked(rows[0][1])
+        answers = [_unpacked(data) for _, data in rows[1:]]
+        ask = _walked(steps, counts)
+        begin = np.cumsum(counts) - counts
+        value = np.concatenate([x[0] for x in answers])
+        count = np.concatenate([np.repeat(x[2], x[1]) for x in answers])
 
-def _scores_of(totals, types, discounts, unknown, s):
-    """Rows of the model's table; ``n`` is the count by which a row is heavy."""
-    def run(batches):
-        for chunk in _dishes(batches, s.chunk_rows):
-            h, u, c = chunk[0], chunk[1], chunk[3]
-            first, dish, leads, p, pair, backoff = _sample(chunk, totals, types, discounts, s, keep=True)
-            own = np.flatnonzero(leads)
-            yield pa.RecordBatch.from_pydict({
-                "key": pa.array(np.concatenate([h[first[own]], _pair_key(h, u)]).view(np.int64)),
-                "score": pa.array(np.concatenate([np.log10(p[own] / unknown), np.log10(pair) - np.log10(backoff * p[dish])])),
-                "known": pa.array(np.repeat([1, 0], [len(own), len(h)]), pa.int32()),
-                "n": pa.array(np.concatenate([np.zeros(len(own), dtype=np.int64), c])),
-            })
+        def added(x):
+            return np.add.reduceat(x[ask], begin)
+
+        log_total = math.log10(tokens + 0.5 * (types + 1))
+        out = {
+            "doc_id": pa.array(ids.astype(np.uint64).view(np.int64), pa.int64(), mask=known == 0), "n_tokens": pa.array(counts, pa.int64()),
+            "n_known": pa.array(added((count > 0).astype(np.int64)), pa.int64()), "train_tokens": pa.array(np.full(len(counts), tokens), pa.int64()),
+            "base_score": pa.array(added(np.log10(count + 0.5)) - counts * log_total), "score": pa.array(added(value) + counts * math.log10(unknown)),
+        }
+        return pa.table(out).filter(pa.array(asked == 1))
     return run
 
 
+def _scores(texts: DataFrame, s: Settings) -> DataFrame:
+    """Scores of the rows of ``texts(doc_id, text, train, asked)`` that are ``asked``, learnt from those of ``train``."""
+    spark = texts.sparkSession
+    work = scratch_path(spark)
+
+    def stored(df: DataFrame, name: str, *by: str) -> DataFrame:
+        df.write.partitionBy(*by).option("compression", "none").parquet(f"{work}/{name}")  # packed columns are compressed
+        return spark.read.schema(df.schema).parquet(f"{work}/{name}")
+
+    with releasing_shuffles(spark):
+        counted = texts.mapInArrow(_word_counts, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+        row = counted.agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.collect_list(F.when(F.col("n") > s.chunk_rows, F.struct("h", "n"))).alias("hot")).first()
+        hot = sorted((h & 0xFFFFFFFFFFFFFFFF, math.ceil(n / s.chunk_rows)) for h, n in row.hot)
+        deal = Deal(max(1, math.ceil(row.n / s.shard_tokens)), np.array([h for h, _ in hot], dtype=np.uint64), np.array([n for _, n in hot], dtype=np.int64))
+        sent = spark.sparkContext.broadcast(deal)
+        asks = texts.mapInArrow(_asked(sent), "shard long, m long, data binary")
+        kept = stored(asks.groupBy("shard").applyInArrow(lambda table: _merged(sent, table), _MERGED), "kept", "kind")
+
+        def served(requests: DataFrame, name: str):
+            replies = stored(requests.groupBy("desk").applyInArrow(_served(s.chunk_rows), _REPLY), name)
+            sums = replies.agg(*[F.coalesce(F.sum(x), F.lit(0)).alias(x) for x in _SUMS], F.flatten(F.collect_list("split")).alias("split")).first()
+            return replies, sums
+
+        replies, sums = served(kept.where(F.col("kind") == _SHARD).select("shard", "data").mapInArrow(_first_requests(sent), _REQUEST), "replies-0")
+        tokens, types = sums.tokens, sums.types
+        totals = Totals(float(sums.above), float(sums.t0))
+
+        def discount(n1: int, n2: int) -> float:
+            return min(0.95, max(0.1, n1 / (n1 + 2 * n2))) if n1 + n2 else 0.5
+
+        discounts = (discount(sums.n1, sums.n2), discount(sums.w1, sums.w2))
+        # shards of a word that fits are seated as one group; the others, each by itself
+        split = {h & 0xFFFFFFFFFFFFFFFF for h in sums.split}
+        groups = [(int(a) + i, int(a) + (i if h in split else 0), h in split) for (h, n), a in zip(hot, deal.start) for i in range(n)]
+        own = spark.createDataFrame(groups, "shard long, own long, alone boolean")
+
+        def grouped(df: DataFrame) -> DataFrame:
+            return df.join(F.broadcast(own), "shard", "left").select(
+                *df.columns, F.coalesce("own", "shard").alias("group"), F.coalesce("alone", F.lit(False)).alias("split"))
+
+        def cogrouped(kinds: Column, run, schema: str) -> DataFrame:
+            left = grouped(kept.where(kinds)).groupBy("group")
+            return left.cogroup(grouped(replies.select("shard", "desk", "data")).groupBy("group")).applyInArrow(run, schema)
+
+        for i in range(1, s.passes):
+            requests = cogrouped(F.col("kind") == _SHARD, _totals_again(sent, totals, types, discounts, s), _REQUEST)
+            replies, sums = served(requests, f"replies-{i}")
+            totals = Totals(float(sums.above), float(sums.t0))
+            remove_path(spark, f"{work}/replies-{i - 1}")
+        unknown = 0.5 * (s.parent_strength + discounts[1] * totals.tables) / (s.parent_strength + totals.customers)
+        answers = stored(cogrouped(
+            F.col("kind") != _TEXTS, _answers(unknown, totals, types, discounts, s), "m long, shard long, data binary"), "answers")
+        for name in (f"replies-{s.passes - 1}", f"kept/kind={_SHARD}", f"kept/kind={_PLACES}"):
+            remove_path(spark, f"{work}/{name}")
+        rows = kept.where(F.col("kind") == _TEXTS).select("m", "shard", "data").unionAll(answers)
+        return rows.groupBy("m").applyInArrow(_summed(tokens, types, unknown), _SCORED)
+
+
 def fit(docs: DataFrame, settings: Settings = Settings()) -> Model:
     """The model of all rows of ``docs(text)``."""
-    texts = docs.select(F.col("text").cast("string"))
-    counts = checkpointed(texts.mapInArrow(_pairs, "h long, u long, c long").groupBy("h", "u").agg(F.sum("c").alias("c")))
-    # every token is a context as often as a word, as each text's end comes before its first word
-    of_dish = counts.groupBy("h").agg(F.sum("c").alias("c"), F.count("*").alias("contexts"), F.min("u").alias("lead"))
-    of_context = counts.groupBy(F.col("u").alias("h")).agg(F.sum("c").alias("customers"), F.count("*").cast("double").alias("tables"))
-    words_ = checkpointed(of_dish.join(of_context, "h").withColumn("above", F.col("contexts").cast("double")))
-    row = words_.agg(
-        F.count("*").alias("types"), F.coalesce(F.sum("c"), F.lit(0)).alias("tokens"), F.coalesce(F.sum("above"), F.lit(0)).alias("above"),
-        F.count_if(F.col("above") == 1).alias("n1"), F.count_if(F.col("above") == 2).alias("n2"),
-    ).first()
-    pair = counts.agg(F.count_if(F.col("c") == 1).alias("n1"), F.count_if(F.col("c") == 2).alias("n2")).first()
-    totals = Totals(float(row.above), float(row.types))
-
-    def discount(n1: int, n2: int) -> float:
-        return min(0.95, max(0.1, n1 / (n1 + 2 * n2))) if n1 + n2 else 0.5
-
-    discounts = (discount(pair.n1, pair.n2), discount(row.n1, row.n2))
-    for _ in range(settings.passes - 1):
-        found = _placed(counts, words_, settings.chunk_rows).mapInArrow(
-            _totals_of(totals, row.types, discounts, settings), "h long, tables double, above double, t0 double")
-        found = found.groupBy("h").agg(*[F.sum(name).alias(name) for name in ("tables", "above", "t0")])
-        words_ = checkpointed(words_.drop("tables", "above", "t0").join(found, "h"))
-        whole = words_.agg(F.sum("above").alias("above"), F.sum("t0").alias("t0")).first()
-        totals = Totals(whole.above or 0.0, whole.t0 or 0.0)
-    unknown = 0.5 * (settings.parent_strength + discounts[1] * totals.tables) / (settings.parent_strength + totals.customers)
-    rows = checkpointed(_placed(counts, words_, settings.chunk_rows).mapInArrow(
-        _scores_of(totals, row.types, discounts, unknown, settings), "key long, score double, known int, n long"))
-    half = 0.5
-    backoff = F.log10((settings.strength + discounts[0] * F.col("tables")) / (settings.strength + F.col("customers")))
-    of_word = words_.select(F.col("h").alias("key"), F.log10((F.col("c") + half) / half).alias("base"), backoff.alias("backoff"), F.col("c").alias("n"))
-    table = rows.where("known = 0").select("key", F.lit(0.0).alias("base"), "score", "known", "n").unionAll(
-        rows.where("known = 1").drop("n").join(of_word, "key").select("key", "base", (F.col("score") + F.col("backoff")).alias("score"), "known", "n"))
-    most = max(1.0, settings.heavy_share * row.tokens)
-    heavy = table.where(F.col("n") >= most).select("key", "base", "score", "known").toArrow()
-    heavy = [heavy.column(i).to_numpy() for i in range(4)]
-    order = np.argsort(heavy[0].view(np.uint64))
-    heavy = [heavy[0].view(np.uint64)[order], *(x[order] for x in heavy[1:])]
-    return Model(row.tokens, row.types, unknown, table.where(F.col("n") < most).drop("n"), heavy)
-
-
-def _local(broadcast, tokens_total: int, types: int, unknown: float):
-    """Scores from what every task has; the rest as requests to the model's table."""
-    base_unknown = float(np.log10(0.5 / (tokens_total + 0.5 * (types + 1))))
+    return Model(docs.select(F.col("text").cast("string")), settings)
 
-    def run(batches):
-        key, base, score, known = broadcast.value
-        log_unknown = float(np.log10(unknown))
-        row_id = TaskContext.get().partitionId() << 33
-        for batch in batches:
-            for low, high, (tokens, begin) in _texts(batch, 1):
-                rows = high - low
-                row = np.repeat(np.arange(rows), np.diff(begin))
-                pair = _pair_key(tokens, _previous(tokens))
-                at_word, at_pair = _place(key, tokens), _place(key, pair)
-                word, both = at_word >= 0, at_pair >= 0
-                sums = []
-                for value, default in ((base, base_unknown), (score, log_unknown), (known, 0)):
-                    x = np.full(len(tokens), default, dtype=float)
-                    x[word] += value[at_word[word]]
-                    sums.append(x)
-                sums[1][both] += score[at_pair[both]]
-                ask = np.concatenate([tokens[~word], pair[~both]])
-                ask_row = np.concatenate([row[~word], row[~both]])
-                code, first, n = np.unique(mix(ask ^ mix(ask_row.astype(np.uint64))), return_index=True, return_counts=True)
-                ids = row_id + np.arange(rows)
-                row_id += rows
-                none = len(first)
-
-                def column(own, kind, more=None):
-                    tail = pa.nulls(none, kind) if more is None else pa.array(more, kind)
-                    return pa.concat_arrays([own.cast(kind) if isinstance(own, pa.Array) else pa.array(own, kind), tail])
-
-                per_row = [np.add.reduceat(x, begin[:-1]) for x in sums]
-                # rows of their own ask for a key that nothing has: their id, spread
-                yield pa.RecordBatch.from_pydict({
-                    "row": column(ids, pa.int64(), ids[ask_row[first]]),
-                    "key": column(mix(ids.astype(np.uint64)).view(np.int64), pa.int64(), ask[first].view(np.int64)),
-                    "n": column(np.zeros(rows, dtype=np.int64), pa.int64(), n),
-                    "doc_id": column(batch.column(0).slice(low, rows), pa.int64()),
-                    "n_tokens": column(np.diff(begin), pa.int64()),
-                    "base_own": column(per_row[0], pa.float64()), "score_own": column(per_row[1], pa.float64()),
-                    "known_own": column(per_row[2].astype(np.int64), pa.int64()),
-                })
-    return run
+
+def _with_split(scores: DataFrame) -> DataFrame:
+    return scores.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
-    sent = docs.sparkSession.sparkContext.broadcast(tuple(model.heavy))
-    asked = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        _local(sent, model.tokens, model.types, model.unknown),
-        "row long, key long, n long, doc_id long, n_tokens long, base_own double, score_own double, known_own long")
-    found = asked.join(model.table, "key", "left")
-
-    def added(name: str, own: str) -> Column:
-        return F.sum(F.coalesce(own, F.lit(0)) + F.coalesce(F.when(F.col("n") > 0, F.col("n") * F.col(name)), F.lit(0)))
-
-    return found.groupBy("row").agg(
-        F.max("doc_id").alias("doc_id"), F.sum("n_tokens").alias("n_tokens"), added("known", "known_own").cast("long").alias("n_known"),
-        added("base", "base_own").alias("base_score"), added("score", "score_own").alias("score"),
-    ).select(
-        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known",
-        F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+    train = model.texts.select(F.lit(None).cast("long").alias("doc_id"), "text", F.lit(True).alias("train"), F.lit(False).alias("asked"))
+    asked = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.lit(False).alias("train"), F.lit(True).alias("asked"))
+    return _with_split(_scores(train.unionAll(asked), model.settings))
 
 
 def scored(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Fit on the rows that are not held out, score all."""
-    return score(docs, fit(docs.where(~held_out(F.col("doc_id"))), settings))
+    return _with_split(_scores(docs.select(
+        F.col("doc_id").cast("long"), F.col("text").cast("string"), (~held_out(F.col("doc_id"))).alias("train"), F.lit(True).alias("asked")), settings))
 
 
 def perplexity(scores: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -110,6 +111,18 @@ def first_line(spark: SparkSession, path: str) -> str:
         reader.close()
 
 
+@contextmanager
+def releasing_shuffles(spark: SparkSession):
+    """Queries made inside delete their shuffle files as they end; for those that are run once."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Materialise ``df`` reliably, so that later passes neither recompute it nor
     depend on the executors that produced it."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import os
 import re
 import zlib
 from collections import Counter
@@ -233,6 +234,38 @@ def test_rare_words_are_contexts_too(spark):
     assert scores[1] == pytest.approx(scores[0], abs=0.3)
 
 
+def test_language_model_leaves_little_on_disk(spark, tmp_path):
+    """24,000 pairs, more than an Arrow batch and ``chunk_rows``: parts of dishes go on over batches, and neither
+    checkpoints of all pairs nor their shuffles are left."""
+    rows = [(i, " ".join(f"w{(i * 31 + j * j) % 7000}" for j in range(300))) for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    context = spark.sparkContext
+    before, own = context.getCheckpointDir(), str(tmp_path / "shared")
+    context.setCheckpointDir(own)
+    try:
+        got = {r.doc_id: r.score for r in pitman_yor.scored(docs, pitman_yor.Settings(chunk_rows=2000)).collect()}
+        left = sum(os.path.getsize(os.path.join(folder, name)) for folder, _, names in os.walk(own) for name in names)
+    finally:
+        context.setCheckpointDir(before or str(tmp_path / "later"))
+    assert len(got) == 100 and all(x < 0 for x in got.values())
+    assert left < 20 * 301 * 100  # bytes a token
+
+
+def test_scores_do_not_depend_on_shards(spark, docs):
+    one, many = (sorted((str(r.doc_id), r.score) for r in pitman_yor.scored(d, pitman_yor.Settings(shard_tokens=n)).collect())
+                 for d, n in ((docs, 1_000_000), (docs.repartition(5), 50)))
+    assert [i for i, _ in one] == [i for i, _ in many]
+    assert [x for _, x in many] == pytest.approx([x for _, x in one], rel=1e-12)
+
+
+def test_packed_columns():
+    columns = [np.arange(5, dtype=np.uint64) << np.uint64(60), np.zeros(0, dtype=np.int64), np.array([0, 300, 70_000]), np.array([0.1, -2.5])]
+    assert [x.tolist() for x in pitman_yor._unpacked(pitman_yor._packed(*columns))] == [x.tolist() for x in columns]
+    assert pitman_yor._unpacked(pitman_yor._packed(columns[1]))[0].tolist() == []
+    runs, sizes = np.array([3, 3, 9, 1, 0, 4]), np.array([3, 1, 2])
+    assert pitman_yor._walked(pitman_yor._steps(runs, np.array([0, 3, 4])), sizes).tolist() == runs.tolist()
+
+
 @pytest.mark.parametrize("c, new", [(7, 0.4), (64, 3.0), (65, 0.02), (400, 5.0), (400, 0.3), (900, 300.0), (2000, 0.3), (2000, 40.0)])
 def test_a_sweep_seats_all_customers_of_a_dish(c, new):
     """Table counts against the law ``S(c, t) * new ** t`` from whole Stirling numbers."""
