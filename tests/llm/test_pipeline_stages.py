@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import time
 import zlib
 from collections import Counter
 
@@ -72,6 +73,24 @@ def test_the_chain(spark, sf_dir):
     assert Counter((r.doc_id, r.n_tokens, r.ids_crc32) for r in whole) == want
 
 
+def _shuffles(spark) -> set[str]:
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = (files.apply(i).getName() for i in range(files.size()))
+    return {name.split("_")[1] for name in names if name.startswith("shuffle_")}
+
+
+def test_stages_leave_no_shuffle_files(spark, sf_dir):
+    docs, kept = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
+    for name, stage in corpus_pipeline.STAGES:
+        before = _shuffles(spark)
+        kept.append(stage(spark, docs, sf_dir))
+        until = time.monotonic() + 5
+        while (left := _shuffles(spark) - before) and time.monotonic() < until:
+            time.sleep(0.1)
+        assert not left, f"{name} left {len(left)} shuffles"
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
 def _ids(docs) -> Counter:
     from tokenizers import Tokenizer
 
